@@ -1,0 +1,24 @@
+"""Broadcast of class-sized tables behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window as W, functions as F
+
+# Most rows a table keyed by class (label, model, control) may have to be broadcast.
+MAX_CLASSES = 100_000
+
+
+def class_side(table: DataFrame, bound: int | None = MAX_CLASSES) -> DataFrame:
+    """Mark a class-sized table for broadcast; more than ``bound`` rows fail the job.
+
+    Without the mark Spark could start shuffling the full document side by
+    class before it learns how small the class side is, and one class may hold
+    a third of the documents. ``bound=None`` returns the table unmarked, which
+    leaves the join to Spark for label sets of any size.
+    """
+    if bound is None:
+        return table
+    counted = table.withColumn("_rows", F.count("*").over(W.partitionBy(F.lit(1))))
+    message = F.lit(f"class table has more than {bound} rows; join it with bound=None")
+    checked = counted.where(F.assert_true(F.col("_rows") <= bound, message).isNull())
+    return F.broadcast(checked.drop("_rows"))
