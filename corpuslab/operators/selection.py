@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .bounds import class_side
+
 
 def cutoff_keys(
     rows: DataFrame,
@@ -35,7 +37,7 @@ def cutoff_keys(
     )
     within = W.partitionBy(group, bucket).orderBy(*key)
     return (
-        rows.join(hit, [group, bucket])
+        rows.join(class_side(hit), [group, bucket])
         .withColumn("_rn", F.row_number().over(within))
         .where(F.col("_rn") == F.col("_rank"))
         .select(group, *[F.col(k).alias(f"cut_{k}") for k in key])
@@ -89,7 +91,7 @@ def value_at_ranks(
     )
     within = W.partitionBy("which").orderBy(value)
     return (
-        placed.join(hit, "_bucket")
+        placed.join(class_side(hit), "_bucket")
         .withColumn("_upto", F.sum("_n").over(within))
         .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
         .select("which", value)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import materialise
+from .bounds import class_side
 from .selection import at_or_before, cutoff_keys, hash_bucket
 
 # Default seed and share of training rows.
@@ -56,11 +58,11 @@ def stratified_split(
     label_column: str = "label",
     group_by: str | None = None,
 ) -> DataFrame:
-    """Add ``split`` = train/test with exact class quotas.
+    """Add ``split`` = train/test with exact class quotas. Runs one narrow job.
 
-    The full rows are never shuffled: two narrow passes over id and label find
-    the last training key of every class, and the rows are then compared with
-    it. With ``group_by`` rows of one group stay together; whole groups are
+    The full rows are never shuffled: two passes over id and label find the
+    last training key of every class, that class-sized table is written, and
+    the rows are then compared with it in their scan. With ``group_by`` rows of one group stay together; whole groups are
     split and a group counts under its smallest label.
     """
     if not 0.0 < ratio < 1.0:
@@ -78,13 +80,18 @@ def stratified_split(
     keyed = units.withColumn("_key", split_key(F.col("_unit"), seed))
     counts = keyed.groupBy("label").agg(F.count("*").alias("n"))
     strata = class_quotas(counts, ratio)
-    rows = keyed.join(strata.select("label", "stratum"), "label").select(
+    rows = keyed.join(class_side(strata.select("label", "stratum")), "label").select(
         "stratum", hash_bucket(F.col("_key")).alias("_bucket"), "_key", "_unit"
     )
     quotas = strata.groupBy("stratum").agg(F.max("quota").alias("quota"))
     cuts = cutoff_keys(rows, "stratum", "_bucket", ["_key", "_unit"], quotas, "quota")
-    per_label = strata.join(cuts, "stratum", "left").select(
-        F.col("label").alias("_label"), "cut__key", "cut__unit"
+    per_label = class_side(
+        materialise(
+            strata.join(cuts, "stratum", "left").select(
+                F.col("label").alias("_label"), "cut__key", "cut__unit"
+            ),
+            "split-cuts",
+        )
     )
     in_train = F.coalesce(at_or_before(["_key", "_unit"], ["cut__key", "cut__unit"]), F.lit(False))
     split = F.when(in_train, F.lit("train")).otherwise(F.lit("test"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
 from .bayes import NaiveBayesModel
-from .features import TfidfParams, document_tokens, idf_value, tf_value
+from .features import TfidfParams, document_terms, document_tokens, idf_value, tf_value
 from .metrics import METRICS, weighted_metrics
 
 _TOTAL = -1
@@ -73,19 +73,15 @@ def _config_array(configs: Sequence[NaiveBayesConfig]) -> Column:
 def _sized_terms(text: Column, low: int, high: int, params: TfidfParams) -> Column:
     """Array of ``(n, term, tf)`` for every n-gram size, tokens made once."""
 
-    def all_sizes(words: Column) -> Column:
-        return F.concat(
-            *[
-                F.transform(
-                    term_counts(ngrams(words, n, n)),
-                    lambda e, n=n: F.struct(
-                        F.lit(n).alias("n"), e["term"].alias("term"), e["tf"].alias("tf")
-                    ),
-                )
-                for n in range(low, high + 1)
-            ]
+    def one_size(words: Column, n: int) -> Column:
+        return F.transform(
+            term_counts(ngrams(words, n, n)),
+            lambda e: F.struct(F.lit(n).alias("n"), e["term"].alias("term"), e["tf"].alias("tf")),
         )
 
+    def all_sizes(words: Column) -> Column:
+        return F.concat(*[one_size(words, n) for n in range(low, high + 1)])
+
     return let(document_tokens(text, params), all_sizes)
 
 
@@ -284,7 +280,7 @@ def alpha_sweep(
         F.concat(F.array(no_class), F.coalesce("classes", F.array())).alias("classes"),
     )
     terms = test.select(
-        *keep, F.inline_outer(_document_terms(F.col("text"), features))
+        *keep, F.inline_outer(term_counts(document_terms(F.col("text"), features)))
     )
     w = F.col("w")
     gains = [
@@ -316,10 +312,8 @@ def alpha_sweep(
     known = (
         sums.withColumn("_size", size).withColumn("_classes", classes).withColumn("_v", vocab_size)
     )
-    choices = []
-    for i, (trial, a) in enumerate(usable):
-
-        def scored(c: Column, i=i, a=a) -> Column:
+    def choice(i: int, trial: int, a: float) -> Column:
+        def scored(c: Column) -> Column:
             seen = F.coalesce(F.get(F.try_element_at("g", c["label"]), F.lit(i)), F.lit(0.0))
             base = F.log(F.lit(a)) - F.log(c["n_c"] + a * F.col("_v"))
             gain = F.coalesce((base * F.col("w") + seen) / F.col("_size"), F.lit(0.0))
@@ -330,7 +324,9 @@ def alpha_sweep(
             )
 
         best = F.array_max(F.transform("_classes", scored))
-        choices.append(F.struct(F.lit(trial).alias("trial"), best["label"].alias("y_pred")))
+        return F.struct(F.lit(trial).alias("trial"), best["label"].alias("y_pred"))
+
+    choices = [choice(i, trial, a) for i, (trial, a) in enumerate(usable)]
     predictions = known.select(
         "record_id", F.col("label").alias("y_true"), F.inline(F.array(*choices))
     )
@@ -343,12 +339,6 @@ def alpha_sweep(
     )
 
 
-def _document_terms(text: Column, features: TfidfParams) -> Column:
-    from .features import document_terms
-
-    return term_counts(document_terms(text, features))
-
-
 def remaining_trials(trials: DataFrame, history: DataFrame) -> DataFrame:
     """Trials of a resumed sweep that have no saved result yet."""
     return trials.join(history.select("trial"), "trial", "left_anti")

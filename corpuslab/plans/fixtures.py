@@ -19,7 +19,7 @@ SELECT CAST(doc_id AS STRING) AS story_id,
             source, '.example.org/', lang, '/', CAST(doc_id AS STRING)) END AS url,
        split_part(text, '.', 1) AS title,
        CASE WHEN n_chars < 150 THEN '' WHEN n_chars < 300 THEN '   ' ELSE text END AS text,
-       source AS media_id, lang AS language,
+       source AS media_id, lang AS language, 'archive' AS source,
        DATE '2024-01-01' + CAST(doc_id % 365 AS INT) AS publish_date,
        TIMESTAMP '2025-01-01 00:00:00' AS retrieved_at,
        CASE WHEN n_chars < 150 THEN 'failed_no_text' ELSE 'success' END AS status,

@@ -640,7 +640,9 @@ def full_text_fallback(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lexicon_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     found = sentiment.lexicon_sentiment(records(spark, sf), fx.lexicon(spark))
-    return rounded(found, "compound", "polarity", "subjectivity")
+    # Means over 64 hits can be exact ties at six digits; the nudge rounds them alike everywhere.
+    nudged = found.withColumns({c: F.col(c) + 1e-9 for c in ("polarity", "subjectivity")})
+    return rounded(nudged, "compound", "polarity", "subjectivity")
 
 
 @query

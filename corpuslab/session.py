@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -47,3 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """Fresh sub-folder name of the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(table: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back. Runs a job.
+
+    Cuts the lineage in a way that survives lost executors, and gives later
+    joins the real size of the table.
+    """
+    spark = table.sparkSession
+    path = path or new_run_dir(spark, purpose)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
