@@ -65,7 +65,11 @@ def term_regex(term: str) -> str:
 
 
 def matches_term(lowered: Column, term: str) -> Column:
-    return F.coalesce(lowered.rlike(term_regex(term)), F.lit(False))
+    """Whole-word match; plain substring tests come first since they are far cheaper."""
+    hit = F.lit(True)
+    for word in term.rstrip("*").lower().split():
+        hit = hit & lowered.contains(word)
+    return F.coalesce(hit & lowered.rlike(term_regex(term)), F.lit(False))
 
 
 def snippet(text: Column, length: int = 300) -> Column:

@@ -209,9 +209,22 @@ def ratings(long: DataFrame) -> DataFrame:
 
 
 def _last_ratings(rated: DataFrame) -> DataFrame:
-    """Last rating of each rater on a subject, with the number of ratings it replaces."""
-    return rated.groupBy("control", "subject", "rater").agg(
-        F.max_by("label", "ann_pos").alias("label"), F.count("*").alias("n_ann")
+    """Last rating of each rater on a subject, with the number of ratings it replaces.
+
+    The coefficients need to know which labels are equal, not what they say.
+    64-bit label and rater ids keep the aggregation buffers fixed-width, which
+    lets Spark aggregate by hash instead of by sort.
+    """
+    return (
+        rated.select(
+            "control",
+            "subject",
+            F.xxhash64("rater").alias("rater"),
+            F.xxhash64("label").alias("label"),
+            "ann_pos",
+        )
+        .groupBy("control", "subject", "rater")
+        .agg(F.max_by("label", "ann_pos").alias("label"), F.count("*").alias("n_ann"))
     )
 
 

@@ -1,7 +1,7 @@
 """Multinomial Naive Bayes on TF-IDF weights, fitted and scored as DataFrame algebra.
 
-Fitting writes three parameter tables and one scoring table. They cut the
-lineage, and their file sizes tell Spark whether they fit a broadcast.
+Fitting writes three parameter tables. They cut the lineage, and their file
+sizes tell Spark whether they fit a broadcast.
 
 With ``N_ct`` the weight of term t in class c, ``N_c`` its sum and V the
 vocabulary size, the log-likelihood is ``ln((N_ct + a) / (N_c + a V))``. For pairs
@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import new_run_dir
+from ..session import materialise, new_run_dir
 from .bounds import class_side
 from .features import (
     TfidfParams,
@@ -31,10 +31,10 @@ from .features import (
     vocabulary,
 )
 
-# Pseudo class whose score delta is 1: its sum is the total weight of a document.
-_TOTAL = -1
+# Pseudo class that collects the total weight of a document.
+TOTAL_CLASS = -1
 # Scores are compared after rounding, so equal sums in another order stay equal.
-_TIE_DIGITS = 9
+TIE_DIGITS = 9
 
 
 @dataclass(frozen=True)
@@ -77,8 +77,13 @@ def decode_labels(predictions: DataFrame, classes: DataFrame, column: str = "cla
 
 
 def term_sums(weights: DataFrame, by: Sequence[str] = ("label",)) -> DataFrame:
-    """``N_ct``: weight per class and term. Common terms fold on the map side."""
-    return weights.groupBy(*by, "term").agg(F.sum("weight").alias("n_ct"))
+    """``N_ct``: weight per class and term, with the idf of the term.
+
+    Common terms fold on the map side.
+    """
+    return weights.groupBy(*by, "term").agg(
+        F.sum("weight").alias("n_ct"), F.max("idf").alias("idf")
+    )
 
 
 def class_table(
@@ -114,26 +119,29 @@ def class_table(
     )
 
 
-def scoring_table(
-    vocab: DataFrame, sums: DataFrame, classes: DataFrame, params: NaiveBayesParams
+def score_sums(
+    documents: DataFrame,
+    vocab: DataFrame,
+    gains: DataFrame,
+    features: TfidfParams,
+    keep: Sequence[str],
+    sums: Mapping[str, Column],
 ) -> DataFrame:
-    """One row per term: ``(term, idf, deltas array<struct<class_id, delta>>)``."""
-    a = float(params.alpha)
-    per_term = (
-        sums.join(class_side(classes.select("label", "class_id")), "label")
-        .select(
-            "term",
-            F.struct(
-                "class_id", (F.log(F.col("n_ct") + a) - F.log(F.lit(a))).alias("delta")
-            ).alias("d"),
-        )
-        .groupBy("term")
-        .agg(F.collect_list("d").alias("deltas"))
-    )
-    total = F.array(F.struct(F.lit(_TOTAL).alias("class_id"), F.lit(1.0).alias("delta")))
-    return vocab.join(per_term, "term", "left").select(
-        "term", "idf", F.concat(total, F.coalesce("deltas", F.array())).alias("deltas")
+    """Aggregates ``sums`` per document and class over the terms of the documents.
+
+    ``gains`` has rows ``(term, idf, class_id, ...)`` of observed pairs. Every
+    vocabulary term is added once more under the total class with nulls, so the
+    document totals come out of the same join. Documents without a known term
+    stay, with a null class. The terms of a document are folded before the
+    shuffle.
+    """
+    totals = vocab.select("term", "idf", F.lit(TOTAL_CLASS).alias("class_id"))
+    scorer = gains.unionByName(totals, allowMissingColumns=True)
+    terms = term_frequencies(documents.select(*keep, "text"), features, keep)
+    weighted = terms.join(scorer, "term", "left").withColumn(
+        "w", tf_value(features) * F.col("idf")
     )
+    return weighted.groupBy(*keep, "class_id").agg(*[c.alias(n) for n, c in sums.items()])
 
 
 @dataclass(frozen=True)
@@ -143,7 +151,6 @@ class NaiveBayesModel:
     vocab: DataFrame
     sums: DataFrame
     classes: DataFrame
-    scorer: DataFrame
     features: TfidfParams
     params: NaiveBayesParams
     path: str | None = None
@@ -183,19 +190,26 @@ class NaiveBayesModel:
         after summing, so there is one join per term and one aggregate that
         folds the terms of a document before the shuffle.
         """
-        terms = term_frequencies(documents.select(*keep, "text"), self.features, keep)
-        joined = terms.join(self.scorer, "term", "left").select(
-            *keep, (tf_value(self.features) * F.col("idf")).alias("w"), F.inline_outer("deltas")
+        a = float(self.params.alpha)
+        gains = self.sums.join(class_side(self.classes.select("label", "class_id")), "label").select(
+            "term", "idf", "class_id", (F.log(F.col("n_ct") + a) - F.log(F.lit(a))).alias("delta")
         )
-        sums = joined.groupBy(*keep, "class_id").agg(
-            F.sum(F.col("w") * F.col("delta")).alias("s"), F.sum(F.col("w") * F.col("w")).alias("sq")
+        w = F.col("w")
+        sums = score_sums(
+            documents,
+            self.vocab,
+            gains,
+            self.features,
+            keep,
+            {"s": F.sum(w * F.coalesce("delta", F.lit(1.0))), "sq": F.sum(w * w)},
         )
+        is_total = F.col("class_id") == TOTAL_CLASS
         found = sums.groupBy(*keep).agg(
             F.map_from_entries(
                 F.collect_list(F.when(F.col("class_id").isNotNull(), F.struct("class_id", "s")))
             ).alias("s"),
-            F.max(F.when(F.col("class_id") == _TOTAL, F.col("s"))).alias("w"),
-            F.max(F.when(F.col("class_id") == _TOTAL, F.col("sq"))).alias("sq"),
+            F.max(F.when(is_total, F.col("s"))).alias("w"),
+            F.max(F.when(is_total, F.col("sq"))).alias("sq"),
         )
         size = {"l2": F.sqrt("sq"), "l1": F.col("w"), None: F.lit(1.0)}[self.features.norm]
         classes = self.classes.agg(
@@ -220,7 +234,7 @@ class NaiveBayesModel:
             F.transform(
                 "scores",
                 lambda c: F.struct(
-                    F.round(c["score"], _TIE_DIGITS), -c["class_id"], c["label"].alias("label")
+                    F.round(c["score"], TIE_DIGITS), -c["class_id"], c["label"].alias("label")
                 ),
             )
         )
@@ -251,28 +265,23 @@ class NaiveBayesModel:
         self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
         self.sums.write.mode("overwrite").parquet(f"{path}/sums")
         self.classes.write.mode("overwrite").parquet(f"{path}/classes")
-        self.scorer.write.mode("overwrite").parquet(f"{path}/scorer")
-        _write_params(self.vocab.sparkSession, path, self.features, self.params)
 
 
-def _write_params(
-    spark: SparkSession, path: str, features: TfidfParams, params: NaiveBayesParams
-) -> None:
-    text = json.dumps({**features.as_dict(), **asdict(params)})
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/params"
-    )
+def _params_text(features: TfidfParams, params: NaiveBayesParams) -> str:
+    return json.dumps({**features.as_dict(), **asdict(params)})
 
 
 def load_model(spark: SparkSession, path: str) -> NaiveBayesModel:
     """Open a model written by ``fit`` or ``save``."""
-    text = spark.read.text(f"{path}/params").first()["value"]
-    features, params = params_from_mapping(json.loads(text))
+    classes = spark.read.parquet(f"{path}/classes")
+    row = classes.select("params").first()
+    if row is None:
+        raise ValueError(f"the model at {path} has no classes")
+    features, params = params_from_mapping(json.loads(row["params"]))
     return NaiveBayesModel(
         vocab=spark.read.parquet(f"{path}/vocab"),
         sums=spark.read.parquet(f"{path}/sums"),
-        classes=spark.read.parquet(f"{path}/classes"),
-        scorer=spark.read.parquet(f"{path}/scorer"),
+        classes=classes,
         features=features,
         params=params,
         path=path,
@@ -289,21 +298,23 @@ def fit(
 
     Without a path the model goes to a new folder below ``spark.checkpoint.dir``.
     """
-    spark = train.sparkSession
-    path = path or new_run_dir(spark, "naive-bayes")
+    path = path or new_run_dir(train.sparkSession, "naive-bayes")
     labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
     counted = term_frequencies(labelled.select("record_id", "text"), features)
-    vocabulary(counted, document_count(labelled), features).write.parquet(f"{path}/vocab")
-    vocab = spark.read.parquet(f"{path}/vocab")
-
+    vocab = materialise(
+        vocabulary(counted, document_count(labelled), features), "vocab", f"{path}/vocab"
+    )
     weights = tfidf(labelled, vocab, features, keep=("record_id", "label"))
-    term_sums(weights).write.parquet(f"{path}/sums")
-    sums = spark.read.parquet(f"{path}/sums")
-
+    sums = materialise(term_sums(weights), "sums", f"{path}/sums")
     vocab_size = vocab.agg(F.count("*")).scalar()
-    class_table(labelled, sums, vocab_size, params).write.parquet(f"{path}/classes")
-    classes = spark.read.parquet(f"{path}/classes")
-
-    scoring_table(vocab, sums, classes, params).write.parquet(f"{path}/scorer")
-    _write_params(spark, path, features, params)
-    return load_model(spark, path)
+    classes = class_table(labelled, sums, vocab_size, params).withColumn(
+        "params", F.lit(_params_text(features, params))
+    )
+    return NaiveBayesModel(
+        vocab=vocab,
+        sums=sums,
+        classes=materialise(classes, "classes", f"{path}/classes"),
+        features=features,
+        params=params,
+        path=path,
+    )

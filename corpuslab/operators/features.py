@@ -134,7 +134,7 @@ def raw_weights(terms: DataFrame, vocab: DataFrame, params: TfidfParams) -> Data
     """tf times idf of the terms that are in the vocabulary."""
     return terms.join(vocab.select("term", "idf"), "term").withColumn(
         "weight", tf_value(params) * F.col("idf")
-    ).drop("tf", "idf")
+    )
 
 
 def normalise(weights: DataFrame, params: TfidfParams, key: str = "record_id") -> DataFrame:
@@ -160,7 +160,7 @@ def tfidf(
     params: TfidfParams = TfidfParams(),
     keep: Sequence[str] = ("record_id",),
 ) -> DataFrame:
-    """Normalised weights ``(*keep, term, weight)`` of any documents.
+    """Normalised weights ``(*keep, term, idf, weight)`` of any documents.
 
     Documents are spread by id while they are still one row each, which is much
     less data than their exploded terms, and everything after that runs on the
@@ -169,7 +169,7 @@ def tfidf(
     spread = documents.select(*keep, "text").repartition(keep[0])
     terms = term_frequencies(spread, params, keep).where(F.col("term").isNotNull())
     weighted = raw_weights(terms, vocab, params)
-    return normalise(weighted, params, keep[0]).select(*keep, "term", "weight")
+    return normalise(weighted, params, keep[0]).select(*keep, "term", "idf", "weight")
 
 
 def truncate(sequence: Column, max_length: int) -> Column:

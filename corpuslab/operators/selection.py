@@ -13,34 +13,21 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .bounds import class_side
 
 
-def cutoff_keys(
-    rows: DataFrame,
-    group: str,
-    bucket: str,
-    key: list[str],
-    quotas: DataFrame,
-    quota: str,
-) -> DataFrame:
-    """Key of the ``quota``-th row of every group, in ``key`` order.
+def boundary_buckets(histogram: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
+    """Bucket that holds the ``quota``-th row of every group: ``(group, bucket, rank)``.
 
-    ``rows`` has columns ``group``, ``bucket`` (monotone in ``key``) and ``key``;
-    ``quotas`` has one row per group. A group whose quota is below 1 or above
-    its size gives no row.
+    ``histogram`` is ``(group, bucket, n)`` with buckets in key order and
+    ``quotas`` is ``(group, quota)``. ``rank`` is the position inside the bucket.
+    A group whose quota is below 1 or above its size gives no row. The window
+    sees at most one row per bucket of a group.
     """
-    histogram = rows.groupBy(group, bucket).agg(F.count("*").alias("_n"))
-    ordered = W.partitionBy(group).orderBy(bucket)
-    upto = histogram.withColumn("_upto", F.sum("_n").over(ordered))
-    hit = (
-        upto.join(quotas.select(group, F.col(quota).alias("_quota")), group)
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(group, bucket, (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    )
-    within = W.partitionBy(group, bucket).orderBy(*key)
+    ordered = W.partitionBy(group).orderBy("bucket")
+    upto, n, quota = F.col("_upto"), F.col("n"), F.col("quota")
     return (
-        rows.join(class_side(hit), [group, bucket])
-        .withColumn("_rn", F.row_number().over(within))
-        .where(F.col("_rn") == F.col("_rank"))
-        .select(group, *[F.col(k).alias(f"cut_{k}") for k in key])
+        histogram.withColumn("_upto", F.sum("n").over(ordered))
+        .join(class_side(quotas.select(group, "quota")), group)
+        .where((upto >= quota) & (upto - n < quota))
+        .select(group, "bucket", (quota - upto + n).alias("rank"))
     )
 
 

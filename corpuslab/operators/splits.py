@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import materialise
 from .bounds import class_side
-from .selection import at_or_before, cutoff_keys, hash_bucket
+from .selection import at_or_before, boundary_buckets, hash_bucket
 
 # Default seed and share of training rows.
 DEFAULT_SEED = 42
@@ -50,6 +50,38 @@ def class_quotas(counts: DataFrame, ratio: float) -> DataFrame:
     )
 
 
+def _cut_keys(keyed: DataFrame, ratio: float) -> DataFrame:
+    """Last training key per class ``(_label, cut__key, cut__unit)``, nulls for an empty quota.
+
+    ``keyed`` is ``(label, _unit, _key, bucket)``. The histogram by class and
+    bucket is written, so the input is read once for it and once more for the
+    rows of the boundary buckets.
+    """
+    histogram = materialise(
+        keyed.groupBy("label", "bucket").agg(F.count("*").alias("n")), "split-histogram"
+    )
+    strata = class_quotas(histogram.groupBy("label").agg(F.sum("n").alias("n")), ratio)
+    by_stratum = (
+        histogram.join(class_side(strata.select("label", "stratum")), "label")
+        .groupBy("stratum", "bucket")
+        .agg(F.sum("n").alias("n"))
+    )
+    quotas = strata.groupBy("stratum").agg(F.max("quota").alias("quota"))
+    bounds = strata.select("label", "stratum").join(
+        boundary_buckets(by_stratum, "stratum", quotas), "stratum", "left"
+    )
+    within = W.partitionBy("stratum").orderBy("_key", "_unit")
+    cuts = (
+        keyed.join(class_side(bounds), ["label", "bucket"])
+        .select("stratum", "rank", "_key", "_unit", F.row_number().over(within).alias("_rn"))
+        .where(F.col("_rn") == F.col("rank"))
+        .select("stratum", F.col("_key").alias("cut__key"), F.col("_unit").alias("cut__unit"))
+    )
+    return strata.join(cuts, "stratum", "left").select(
+        F.col("label").alias("_label"), "cut__key", "cut__unit"
+    )
+
+
 def stratified_split(
     records: DataFrame,
     ratio: float = DEFAULT_RATIO,
@@ -58,11 +90,12 @@ def stratified_split(
     label_column: str = "label",
     group_by: str | None = None,
 ) -> DataFrame:
-    """Add ``split`` = train/test with exact class quotas. Runs one narrow job.
+    """Add ``split`` = train/test with exact class quotas. Runs two narrow jobs.
 
     The full rows are never shuffled: two passes over id and label find the
     last training key of every class, that class-sized table is written, and
-    the rows are then compared with it in their scan. With ``group_by`` rows of one group stay together; whole groups are
+    the rows are then compared with it in their scan. Rows without a label get
+    a null split. With ``group_by`` rows of one group stay together; whole groups are
     split and a group counts under its smallest label.
     """
     if not 0.0 < ratio < 1.0:
@@ -77,24 +110,12 @@ def stratified_split(
             F.col(id_column).alias("_unit"), F.col(label_column).alias("label")
         )
         unit_id = F.col(id_column)
-    keyed = units.withColumn("_key", split_key(F.col("_unit"), seed))
-    counts = keyed.groupBy("label").agg(F.count("*").alias("n"))
-    strata = class_quotas(counts, ratio)
-    rows = keyed.join(class_side(strata.select("label", "stratum")), "label").select(
-        "stratum", hash_bucket(F.col("_key")).alias("_bucket"), "_key", "_unit"
-    )
-    quotas = strata.groupBy("stratum").agg(F.max("quota").alias("quota"))
-    cuts = cutoff_keys(rows, "stratum", "_bucket", ["_key", "_unit"], quotas, "quota")
-    per_label = class_side(
-        materialise(
-            strata.join(cuts, "stratum", "left").select(
-                F.col("label").alias("_label"), "cut__key", "cut__unit"
-            ),
-            "split-cuts",
-        )
-    )
+    keyed = units.where(F.col("label").isNotNull()).withColumn(
+        "_key", split_key(F.col("_unit"), seed)
+    ).withColumn("bucket", hash_bucket(F.col("_key")))
+    per_label = class_side(materialise(_cut_keys(keyed, ratio), "split-cuts"))
     in_train = F.coalesce(at_or_before(["_key", "_unit"], ["cut__key", "cut__unit"]), F.lit(False))
-    split = F.when(in_train, F.lit("train")).otherwise(F.lit("test"))
+    split = F.when(in_train, F.lit("train")).when(F.col("_label").isNotNull(), F.lit("test"))
     if group_by is not None:
         # The label of a group is known only after grouping, so its split is looked up by group.
         placed = (

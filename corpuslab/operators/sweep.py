@@ -10,13 +10,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
-from .bayes import NaiveBayesModel
-from .features import TfidfParams, document_terms, document_tokens, idf_value, tf_value
+from ..session import materialise
+from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, score_sums
+from .bounds import class_side
+from .features import TfidfParams, document_tokens, idf_value, tf_value
 from .metrics import METRICS, weighted_metrics
 
-_TOTAL = -1
-_TIE_DIGITS = 9
-
 
 @dataclass(frozen=True)
 class NaiveBayesConfig:
@@ -95,7 +94,8 @@ def fit_and_predict_many(
 
     Tokens and document frequencies are computed once. Pruning decides per term
     which configurations use it, and ``config_id`` is one more group key from
-    there on. A configuration left without vocabulary yields no rows.
+    there on. A configuration left without vocabulary yields no rows. The
+    vocabulary and the term sums are written once, which runs jobs.
     """
     if any(c.alpha <= 0 for c in configs):
         raise ValueError("alpha must be positive in every configuration")
@@ -126,9 +126,12 @@ def fit_and_predict_many(
         F.filter(_config_array(configs), uses),
         lambda c: F.struct(c["config_id"].alias("config_id"), c["alpha"].alias("alpha")),
     )
-    vocab = counted.select(
-        "term", idf_value(df, F.col("_n"), params).alias("idf"), users.alias("users")
-    ).where(F.size("users") > 0)
+    vocab = materialise(
+        counted.select(
+            "term", idf_value(df, F.col("_n"), params).alias("idf"), users.alias("users")
+        ).where(F.size("users") > 0),
+        "sweep-vocab",
+    )
 
     spread = labelled.select("record_id", "label", "text").repartition("record_id")
     raw = (
@@ -138,6 +141,7 @@ def fit_and_predict_many(
             "record_id",
             "label",
             "term",
+            "idf",
             (tf_value(params) * F.col("idf")).alias("weight"),
             F.inline("users"),
         )
@@ -149,26 +153,24 @@ def fit_and_predict_many(
         "l1": F.sum(F.abs(weight)).over(document),
         None: F.lit(1.0),
     }[params.norm]
-    sums = (
+    sums = materialise(
         raw.withColumn("weight", weight / size)
         .groupBy("config_id", "alpha", "label", "term")
-        .agg(F.sum("weight").alias("n_ct"))
+        .agg(F.sum("weight").alias("n_ct"), F.max("idf").alias("idf")),
+        "sweep-sums",
     )
     totals = sums.groupBy("config_id", "alpha", "label").agg(F.sum("n_ct").alias("n_c"))
-    vocab_sizes = (
-        vocab.select(F.inline("users")).groupBy("config_id").agg(F.count("*").alias("v"))
-    )
+    used = vocab.select("term", "idf", F.inline("users"))
+    vocab_sizes = used.groupBy("config_id", "alpha").agg(F.count("*").alias("v"))
     docs = labelled.groupBy("label").agg(F.count("*").alias("n_docs"))
     everything = W.partitionBy(F.lit(1))
     priors = docs.select(
         "label", F.log(F.col("n_docs") / F.sum("n_docs").over(everything)).alias("log_prior")
     )
     # Every used configuration meets every training class, also one without terms.
-    per_config = vocab_sizes.join(
-        totals.select("config_id", "alpha").distinct(), "config_id"
-    ).withColumn("_all", priors.agg(F.collect_list(F.struct("label", "log_prior"))).scalar())
+    all_priors = priors.agg(F.collect_list(F.struct("label", "log_prior"))).scalar()
     classes = (
-        per_config.select("config_id", "alpha", "v", F.inline("_all"))
+        vocab_sizes.select("config_id", "alpha", "v", F.inline_outer(all_priors))
         .join(totals.drop("alpha"), ["config_id", "label"], "left")
         .select(
             "config_id",
@@ -184,54 +186,38 @@ def fit_and_predict_many(
     )
 
     delta = F.log(F.col("n_ct") + F.col("alpha")) - F.log("alpha")
-    deltas = sums.groupBy("term").agg(
-        F.collect_list(F.struct("config_id", "label", delta.alias("delta"))).alias("deltas")
-    )
-    no_label = F.lit(None).cast("string")
-    scorer = vocab.join(deltas, "term").select(
-        "term",
-        "idf",
-        F.concat(
-            F.transform(
-                "users",
-                lambda u: F.struct(
-                    u["config_id"].alias("config_id"), no_label.alias("label"), F.lit(1.0).alias("delta")
-                ),
-            ),
-            F.col("deltas"),
-        ).alias("deltas"),
+    # Rows without a label carry the total weight of a document.
+    scorer = sums.select("term", "idf", "config_id", "label", delta.alias("delta")).unionByName(
+        used.select("term", "idf", "config_id"), allowMissingColumns=True
     )
+    w, is_total = F.col("w"), F.col("label").isNull()
     hits = (
         terms_of(test, "record_id", "label")
         .withColumnRenamed("label", "y_true")
         .join(scorer, "term")
-        .select(
-            "record_id", "y_true", (tf_value(params) * F.col("idf")).alias("w"), F.inline("deltas")
-        )
+        .withColumn("w", tf_value(params) * F.col("idf"))
         .groupBy("record_id", "config_id", "label")
-        .agg(
-            F.sum(F.col("w") * F.col("delta")).alias("s"), F.sum(F.col("w") * F.col("w")).alias("sq")
-        )
+        .agg(F.sum(w * F.coalesce("delta", F.lit(1.0))).alias("s"), F.sum(w * w).alias("sq"))
         .groupBy("record_id", "config_id")
         .agg(
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "s")))
-            ).alias("s"),
-            F.max(F.when(F.col("label").isNull(), F.col("s"))).alias("w"),
-            F.max(F.when(F.col("label").isNull(), F.col("sq"))).alias("sq"),
+            F.map_from_entries(F.collect_list(F.when(~is_total, F.struct("label", "s")))).alias("s"),
+            F.max(F.when(is_total, F.col("s"))).alias("w"),
+            F.max(F.when(is_total, F.col("sq"))).alias("sq"),
         )
     )
     wanted = test.select(
         "record_id", F.col("label").alias("y_true"), F.explode(_config_array(configs)).alias("c")
     ).select("record_id", "y_true", F.col("c.config_id").alias("config_id"))
-    found = wanted.join(hits, ["record_id", "config_id"], "left").join(F.broadcast(classes), "config_id")
+    found = wanted.join(hits, ["record_id", "config_id"], "left").join(
+        class_side(classes), "config_id"
+    )
     norm = {"l2": F.sqrt("sq"), "l1": F.col("w"), None: F.lit(1.0)}[params.norm]
 
     def scored(c: Column, i: Column) -> Column:
         seen = F.coalesce(F.try_element_at("s", c["label"]), F.lit(0.0))
         gain = F.coalesce((c["base"] * F.col("w") + seen) / norm, F.lit(0.0))
         return F.struct(
-            F.round(c["log_prior"] + gain, _TIE_DIGITS).alias("score"), -i, c["label"].alias("label")
+            F.round(c["log_prior"] + gain, TIE_DIGITS).alias("score"), -i, c["label"].alias("label")
         )
 
     best = F.array_max(F.transform("classes", scored))
@@ -270,38 +256,25 @@ def alpha_sweep(
 
     features = model.features
     keep = ("record_id", "label")
-    per_term = model.sums.groupBy("term").agg(
-        F.collect_list(F.struct(F.col("label").alias("class"), "n_ct")).alias("classes")
-    )
-    no_class = F.struct(F.lit(None).cast("string").alias("class"), F.lit(0.0).alias("n_ct"))
-    scorer = model.vocab.join(per_term, "term", "left").select(
-        "term",
-        "idf",
-        F.concat(F.array(no_class), F.coalesce("classes", F.array())).alias("classes"),
-    )
-    terms = test.select(
-        *keep, F.inline_outer(term_counts(document_terms(F.col("text"), features)))
-    )
-    w = F.col("w")
-    gains = [
-        F.sum(w * (F.log(F.col("n_ct") + a) - F.log(F.lit(a)))).alias(f"g{i}")
+    ids = class_side(model.classes.select("label", "class_id"))
+    gains = model.sums.join(ids, "label").select("term", "idf", "class_id", "n_ct")
+    w, is_total = F.col("w"), F.col("class_id") == TOTAL_CLASS
+    per_trial = {
+        f"g{i}": F.sum(w * (F.log(F.col("n_ct") + a) - F.log(F.lit(a))))
         for i, (_, a) in enumerate(usable)
-    ]
+    }
     sums = (
-        terms.join(scorer, "term", "left")
-        .select(*keep, (tf_value(features) * F.col("idf")).alias("w"), F.inline_outer("classes"))
-        .groupBy(*keep, "class")
-        .agg(F.sum("w").alias("w"), F.sum(w * w).alias("sq"), *gains)
-        .select(
-            *keep, "class", "w", "sq", F.array(*[f"g{i}" for i in range(len(usable))]).alias("g")
+        score_sums(
+            test, model.vocab, gains, features, keep, {"w": F.sum(w), "sq": F.sum(w * w), **per_trial}
         )
+        .withColumn("g", F.array(*per_trial))
         .groupBy(*keep)
         .agg(
             F.map_from_entries(
-                F.collect_list(F.when(F.col("class").isNotNull(), F.struct("class", "g")))
+                F.collect_list(F.when(F.col("class_id").isNotNull(), F.struct("class_id", "g")))
             ).alias("g"),
-            F.max(F.when(F.col("class").isNull(), w)).alias("w"),
-            F.max(F.when(F.col("class").isNull(), F.col("sq"))).alias("sq"),
+            F.max(F.when(is_total, w)).alias("w"),
+            F.max(F.when(is_total, F.col("sq"))).alias("sq"),
         )
     )
     size = {"l2": F.sqrt("sq"), "l1": F.col("w"), None: F.lit(1.0)}[features.norm]
@@ -314,11 +287,11 @@ def alpha_sweep(
     )
     def choice(i: int, trial: int, a: float) -> Column:
         def scored(c: Column) -> Column:
-            seen = F.coalesce(F.get(F.try_element_at("g", c["label"]), F.lit(i)), F.lit(0.0))
+            seen = F.coalesce(F.get(F.try_element_at("g", c["class_id"]), F.lit(i)), F.lit(0.0))
             base = F.log(F.lit(a)) - F.log(c["n_c"] + a * F.col("_v"))
             gain = F.coalesce((base * F.col("w") + seen) / F.col("_size"), F.lit(0.0))
             return F.struct(
-                F.round(c["log_prior"] + gain, _TIE_DIGITS).alias("score"),
+                F.round(c["log_prior"] + gain, TIE_DIGITS).alias("score"),
                 -c["class_id"],
                 c["label"].alias("label"),
             )

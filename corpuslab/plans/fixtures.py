@@ -50,6 +50,10 @@ PROJECT_TASKS = "SELECT CAST(doc_id AS STRING) AS story_id FROM {labels}"
 
 RECORDS = "SELECT doc_id AS record_id, text, lang AS label FROM {documents}"
 
+# Total order of the copies of one order line: day of shipping, then part and price.
+ORDER_KEY = """(CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS BIGINT) * 1000000 + l_partkey)
+       * 100000 + CAST(floor(l_extendedprice) AS BIGINT) % 100000"""
+
 RATINGS = """
 SELECT 'returnflag' AS control, l_orderkey AS subject, l_linenumber AS rater, l_returnflag AS label,
        {order_key} AS ann_pos
@@ -100,19 +104,17 @@ _TABLE = re.compile(r"\{(documents|labels|pages|lineitem|embeddings|conversation
 
 def expand(sql: str) -> str:
     """Replace nested fixtures; only table names stay in braces."""
-    return sql.replace("{articles}", ARTICLES)
+    return sql.replace("{articles}", ARTICLES).replace("{order_key}", ORDER_KEY)
 
 
 def for_duckdb(sql: str) -> str:
     """Fixture text with the registered view names."""
-    order = "struct_pack(a := l_shipdate, b := l_partkey, c := l_suppkey, d := l_extendedprice)"
-    return _TABLE.sub(r"\1", expand(sql).replace("{order_key}", order))
+    return _TABLE.sub(r"\1", expand(sql))
 
 
 def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Fixture as a DataFrame over the tables of ``sf_dir``."""
-    order = "struct(l_shipdate, l_partkey, l_suppkey, l_extendedprice)"
-    text = expand(sql).replace("{order_key}", order)
+    text = expand(sql)
     names = sorted(set(_TABLE.findall(text)))
     tables = {name: table(spark, sf_dir, name) for name in names}
     return spark.sql(text, **tables)

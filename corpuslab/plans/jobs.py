@@ -18,6 +18,7 @@ from ..operators.scoring import lookup_urls, with_lineage
 from ..operators.search import story_search
 from ..operators.splits import stratified_split
 from ..operators.tasks import label_tasks, new_tasks
+from ..session import materialise
 
 
 @dataclass(frozen=True)
@@ -110,8 +111,8 @@ def infer_urls(
 
 
 def analyse_annotations(tasks: DataFrame, required: Sequence[str]) -> dict[str, DataFrame]:
-    """All sections of the annotation analysis by name."""
-    long = an.require_labels(an.analysis_records(tasks), required)
+    """All sections of the annotation analysis by name. Writes the long ratings once."""
+    long = materialise(an.require_labels(an.analysis_records(tasks), required), "ratings")
     simple = ag.simple_agreement(long)
     per_task = ag.task_agreement(simple)
     counts = ag.annotator_counts(long)

@@ -10,7 +10,7 @@ from ..operators import agreement as ag
 from ..operators import annotations as an
 from ..operators import bayes, catalogue, features, ingest, leaderboard, linear, metrics
 from ..operators import linediff, pages, scoring, search, sentiment, splits, sweep, tasks
-from ..session import new_run_dir
+from ..session import materialise, new_run_dir
 from ..schemas import ARTICLE, TASK
 from ..streaming import jobs, runs
 from . import fixtures as fx
@@ -45,6 +45,11 @@ def analysis(spark: SparkSession, sf: str) -> DataFrame:
     return an.analysis_records(fx.annotated_tasks(spark, sf))
 
 
+def written_required(spark: SparkSession, sf: str) -> DataFrame:
+    """Required labels as a written table, for statistics that read it several times."""
+    return materialise(required(spark, sf), "ratings")
+
+
 def required(spark: SparkSession, sf: str) -> DataFrame:
     return an.require_labels(analysis(spark, sf), fx.REQUIRED_LABELS)
 
@@ -244,7 +249,7 @@ def required_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def project_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return ag.project_summary(required(spark, sf)).drop("average_annotations_per_task")
+    return ag.project_summary(written_required(spark, sf)).drop("average_annotations_per_task")
 
 
 @query
@@ -281,13 +286,13 @@ def label_share(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lead_time_stats(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(
-        ag.lead_time_stats(required(spark, sf)), "average_lead_time", "median_lead_time"
+        ag.lead_time_stats(written_required(spark, sf)), "average_lead_time", "median_lead_time"
     )
 
 
 @query
 def simple_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    found = ag.simple_agreement(required(spark, sf))
+    found = ag.simple_agreement(written_required(spark, sf))
     pairs = F.transform(
         "label_distribution", lambda e: F.concat(e["label"], F.lit("="), e["n"].cast("string"))
     )
@@ -296,24 +301,24 @@ def simple_agreement(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def task_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    return ag.task_agreement(ag.simple_agreement(required(spark, sf)))
+    return ag.task_agreement(ag.simple_agreement(written_required(spark, sf)))
 
 
 @query
 def agreement_summary(spark: SparkSession, sf: str) -> DataFrame:
-    per_task = ag.task_agreement(ag.simple_agreement(required(spark, sf)))
+    per_task = ag.task_agreement(ag.simple_agreement(written_required(spark, sf)))
     return rounded(ag.agreement_summary(per_task), "mean_agreement")
 
 
 @query
 def agreement_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    found = ag.agreement_metrics(analysis(spark, sf))
+    found = ag.agreement_metrics(materialise(analysis(spark, sf), "ratings"))
     return rounded(found, "krippendorff_alpha", "gwet_ac1").drop("cohen_kappa")
 
 
 @query
 def agreement_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ag.with_bands(ag.agreement_metrics(analysis(spark, sf))), "value")
+    return rounded(ag.with_bands(ag.agreement_metrics(materialise(analysis(spark, sf), "ratings"))), "value")
 
 
 def _ratings(spark: SparkSession, sf: str) -> DataFrame:
@@ -415,8 +420,8 @@ def idf(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def tfidf_l2(spark: SparkSession, sf: str) -> DataFrame:
     train, test = sides(spark, sf)
-    weights = features.tfidf(test, _train_vocabulary(train))
-    return rounded(weights, "weight")
+    vocab = materialise(_train_vocabulary(train), "vocabulary")
+    return rounded(features.tfidf(test, vocab).drop("idf"), "weight")
 
 
 @query
