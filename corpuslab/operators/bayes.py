@@ -191,7 +191,7 @@ class NaiveBayesModel:
         folds the terms of a document before the shuffle.
         """
         a = float(self.params.alpha)
-        gains = self.sums.join(class_side(self.classes.select("label", "class_id")), "label").select(
+        gains = self.sums.join(self.classes.select("label", "class_id"), "label").select(
             "term", "idf", "class_id", (F.log(F.col("n_ct") + a) - F.log(F.lit(a))).alias("delta")
         )
         w = F.col("w")

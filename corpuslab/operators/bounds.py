@@ -11,7 +11,8 @@ MAX_CLASSES = 100_000
 def class_side(table: DataFrame, bound: int | None = MAX_CLASSES) -> DataFrame:
     """Mark a class-sized table for broadcast; more than ``bound`` rows fail the job.
 
-    Without the mark Spark could start shuffling the full document side by
+    For class tables that are computed in the same plan, whose size Spark cannot
+    know beforehand; written ones need no mark. Without it Spark could start shuffling the full document side by
     class before it learns how small the class side is, and one class may hold
     a third of the documents. ``bound=None`` returns the table unmarked, which
     leaves the join to Spark for label sets of any size.

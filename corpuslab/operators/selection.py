@@ -25,7 +25,7 @@ def boundary_buckets(histogram: DataFrame, group: str, quotas: DataFrame) -> Dat
     upto, n, quota = F.col("_upto"), F.col("n"), F.col("quota")
     return (
         histogram.withColumn("_upto", F.sum("n").over(ordered))
-        .join(class_side(quotas.select(group, "quota")), group)
+        .join(quotas.select(group, "quota"), group)
         .where((upto >= quota) & (upto - n < quota))
         .select(group, "bucket", (quota - upto + n).alias("rank"))
     )

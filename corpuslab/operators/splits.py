@@ -62,7 +62,7 @@ def _cut_keys(keyed: DataFrame, ratio: float) -> DataFrame:
     )
     strata = class_quotas(histogram.groupBy("label").agg(F.sum("n").alias("n")), ratio)
     by_stratum = (
-        histogram.join(class_side(strata.select("label", "stratum")), "label")
+        histogram.join(strata.select("label", "stratum"), "label")
         .groupBy("stratum", "bucket")
         .agg(F.sum("n").alias("n"))
     )
@@ -113,7 +113,8 @@ def stratified_split(
     keyed = units.where(F.col("label").isNotNull()).withColumn(
         "_key", split_key(F.col("_unit"), seed)
     ).withColumn("bucket", hash_bucket(F.col("_key")))
-    per_label = class_side(materialise(_cut_keys(keyed, ratio), "split-cuts"))
+    # A written class-sized table: Spark knows its size and broadcasts it by itself.
+    per_label = materialise(_cut_keys(keyed, ratio), "split-cuts")
     in_train = F.coalesce(at_or_before(["_key", "_unit"], ["cut__key", "cut__unit"]), F.lit(False))
     split = F.when(in_train, F.lit("train")).when(F.col("_label").isNotNull(), F.lit("test"))
     if group_by is not None:

@@ -256,7 +256,7 @@ def alpha_sweep(
 
     features = model.features
     keep = ("record_id", "label")
-    ids = class_side(model.classes.select("label", "class_id"))
+    ids = model.classes.select("label", "class_id")
     gains = model.sums.join(ids, "label").select("term", "idf", "class_id", "n_ct")
     w, is_total = F.col("w"), F.col("class_id") == TOTAL_CLASS
     per_trial = {

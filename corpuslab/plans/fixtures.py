@@ -158,14 +158,14 @@ def annotated_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("doc_id", "id")
     )
     results = (
-        f"CASE WHEN (id + k) % 7 = 0 THEN array({_CHOICE.format(c='quality')}, {_RATING}, {_NOTE}) "
+        f"CASE WHEN source = 'src9' AND k = 0 THEN array({_CHOICE.format(c='quality')}, {_RATING}, {_NOTE}) "
         f"ELSE array({_CHOICE.format(c='quality')}, {_RATING}, {_NOTE}, {_CHOICE.format(c='toxic')}) END"
     )
     annotation = (
         "named_struct('id', concat(CAST(id AS STRING), '-', CAST(k AS STRING)), "
-        "'completed_by', CASE WHEN id % 11 = 0 AND k = 2 THEN 'ann0' ELSE concat('ann', CAST(k AS STRING)) END, "
+        "'completed_by', CASE WHEN source = 'src2' AND k = 2 THEN 'ann0' ELSE concat('ann', CAST(k AS STRING)) END, "
         "'created_by', CAST(NULL AS STRING), 'created_at', '2025-01-01T00:00:00', "
-        "'was_cancelled', (id + k) % 13 = 0, 'cancelled', CAST(NULL AS BOOLEAN), "
+        "'was_cancelled', source = 'src4' AND k = 1, 'cancelled', CAST(NULL AS BOOLEAN), "
         "'skipped', CAST(NULL AS BOOLEAN), 'lead_time', CAST((id * 31 + k * 17) % 120 AS DOUBLE) / 2, "
         f"'result', {results})"
     )
@@ -181,16 +181,16 @@ def annotated_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Flat twin of the nested tasks for DuckDB: one row per annotation and control.
 ANNOTATIONS_FLAT = """
 SELECT l.doc_id AS task_id, k.k AS ann_pos,
-       CASE WHEN l.doc_id % 11 = 0 AND k.k = 2 THEN 'ann0' ELSE concat('ann', CAST(k.k AS STRING)) END AS annotator,
+       CASE WHEN d.source = 'src2' AND k.k = 2 THEN 'ann0' ELSE concat('ann', CAST(k.k AS STRING)) END AS annotator,
        c.control AS control, 0 AS label_pos,
        CASE WHEN (CASE WHEN c.control = 'quality' THEN l.quality ELSE l.toxic END)
                  = (CASE WHEN (l.doc_id * 7919 + k.k * 104729) % 10 < 2 THEN 0 ELSE 1 END)
             THEN concat(c.control, '_yes') ELSE concat(c.control, '_no') END AS label,
        CAST((l.doc_id * 31 + k.k * 17) % 120 AS DOUBLE) / 2 AS lead_time
-FROM labels l
+FROM labels l JOIN documents d ON d.doc_id = l.doc_id
 CROSS JOIN (VALUES (0), (1), (2)) AS k(k)
 CROSS JOIN (VALUES ('quality'), ('toxic')) AS c(control)
-WHERE NOT (c.control = 'toxic' AND (l.doc_id + k.k) % 7 = 0)
-  AND NOT ((l.doc_id + k.k) % 13 = 0)
+WHERE NOT (c.control = 'toxic' AND d.source = 'src9' AND k.k = 0)
+  AND NOT (d.source = 'src4' AND k.k = 1)
 """
 REQUIRED_LABELS = ("quality_yes", "quality_no", "toxic_yes")

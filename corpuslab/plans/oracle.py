@@ -42,14 +42,14 @@ _TRAINING = f"""
 WITH ann AS (
   SELECT l.doc_id AS task_id, k.k AS ann_pos,
          concat(CAST(l.doc_id AS VARCHAR), '-', CAST(k.k AS VARCHAR)) AS annotation_id, d.lang AS language, d.text AS text,
-         CASE WHEN l.doc_id % 11 = 0 AND k.k = 2 THEN 'ann0' ELSE concat('ann', CAST(k.k AS VARCHAR)) END AS annotated_by,
+         CASE WHEN d.source = 'src2' AND k.k = 2 THEN 'ann0' ELSE concat('ann', CAST(k.k AS VARCHAR)) END AS annotated_by,
          CASE WHEN l.quality = (CASE WHEN (l.doc_id * 7919 + k.k * 104729) % 10 < 2 THEN 0 ELSE 1 END)
               THEN 'quality_yes' ELSE 'quality_no' END AS q,
-         CASE WHEN (l.doc_id + k.k) % 7 = 0 THEN NULL
+         CASE WHEN d.source = 'src9' AND k.k = 0 THEN NULL
               WHEN l.toxic = (CASE WHEN (l.doc_id * 7919 + k.k * 104729) % 10 < 2 THEN 0 ELSE 1 END)
               THEN 'toxic_yes' ELSE 'toxic_no' END AS t
   FROM labels l JOIN documents d USING (doc_id) CROSS JOIN (VALUES (0), (1), (2)) AS k(k)
-  WHERE NOT ((l.doc_id + k.k) % 13 = 0)
+  WHERE NOT (d.source = 'src4' AND k.k = 1)
 )"""
 
 _SIMPLE = f"""
