@@ -334,13 +334,17 @@ def cohen_kappa(rated: DataFrame) -> DataFrame:
         .groupBy("control")
         .agg(F.sum(F.col("na").cast("double") * F.col("nb")).alias("cross"), F.count("*").alias("q"))
     )
+    # One partial row per control from each side, put together by grouping.
+    parts = raters.unionByName(agreed, allowMissingColumns=True).unionByName(
+        marginals, allowMissingColumns=True
+    )
+    names = [c for c in parts.columns if c != "control"]
+    merged = parts.groupBy("control").agg(*[F.max(c).alias(c) for c in names])
     po = F.col("same") / F.col("total")
     pe = F.col("cross") / F.col("total") / F.col("total")
     usable = (F.col("n_raters") == 2) & (F.col("q") >= 2)
-    return (
-        raters.join(agreed, "control", "left")
-        .join(marginals, "control", "left")
-        .select("control", F.when(usable, F.try_divide(po - pe, 1 - pe)).alias("cohen_kappa"))
+    return merged.select(
+        "control", F.when(usable, F.try_divide(po - pe, 1 - pe)).alias("cohen_kappa")
     )
 
 

@@ -46,14 +46,21 @@ def match_counts(matched: DataFrame) -> DataFrame:
 def full_text(urls: DataFrame, archive: DataFrame, scraped: DataFrame) -> DataFrame:
     """Archive text of every URL, else the scraped title and text, else empty.
 
-    Both sides are folded to one row per URL first: the first archive story by
-    ``seq`` and the lowest page id.
+    Both sides are cut to the requested URLs and folded to one row per URL
+    first: the first archive story by ``seq`` and the lowest page id. Pages are
+    looked at only for URLs the archive does not have.
     """
-    stories = archive.groupBy("url").agg(
-        F.min_by(F.coalesce("text", F.lit("")), F.col("seq")).alias("archive_text")
+    wanted = urls.select("url").distinct()
+    stories = (
+        archive.join(wanted, "url", "left_semi")
+        .groupBy("url")
+        .agg(F.min_by(F.coalesce("text", F.lit("")), F.col("seq")).alias("archive_text"))
     )
-    pages = scraped.groupBy("url").agg(
-        F.min_by(F.concat_ws("\n\n", "title", "text"), F.col("page_id")).alias("page_text")
+    missing = wanted.join(archive.select("url").distinct(), "url", "left_anti")
+    pages = (
+        scraped.join(missing, "url", "left_semi")
+        .groupBy("url")
+        .agg(F.min_by(F.concat_ws("\n\n", "title", "text"), F.col("page_id")).alias("page_text"))
     )
     return (
         urls.join(stories, "url", "left")

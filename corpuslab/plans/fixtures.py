@@ -66,7 +66,7 @@ SELECT m.model_name AS model_name, d.doc_id AS record_id, d.lang AS y_true,
             WHEN m.model_name = 'm2' AND d.source = 'src5' THEN 'xx'
             WHEN m.model_name = 'm3' AND d.lang = 'es' THEN 'fr'
             ELSE d.lang END AS y_pred
-FROM {documents} d, (VALUES ('m1'), ('m2'), ('m3')) AS m(model_name)
+FROM {documents} d{each_model}
 """
 
 # Every article URL, labelled ones a second time, and page URLs that no article has.
@@ -109,12 +109,14 @@ def expand(sql: str) -> str:
 
 def for_duckdb(sql: str) -> str:
     """Fixture text with the registered view names."""
-    return _TABLE.sub(r"\1", expand(sql))
+    models = ", (VALUES ('m1'), ('m2'), ('m3')) AS m(model_name)"
+    return _TABLE.sub(r"\1", expand(sql).replace("{each_model}", models))
 
 
 def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Fixture as a DataFrame over the tables of ``sf_dir``."""
-    text = expand(sql)
+    models = " LATERAL VIEW explode(array('m1', 'm2', 'm3')) m AS model_name"
+    text = expand(sql).replace("{each_model}", models)
     names = sorted(set(_TABLE.findall(text)))
     tables = {name: table(spark, sf_dir, name) for name in names}
     return spark.sql(text, **tables)
