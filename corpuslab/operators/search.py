@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import contains_any_ci, matches_term
+from ..functions.columns import evaluated_once
+from ..functions.text import matches_term
 
 # Fixed value: first day searched when no start date is given.
 DEFAULT_START = dt.date(2020, 1, 1)
@@ -71,7 +72,12 @@ def story_search(
     hits = articles.where(date_between(F.col("publish_date"), start, end))
     if collections is not None:
         hits = hits.where(F.col(collection_column).isin(list(collections)))
-    haystack = F.lower(F.concat_ws("\n", F.col("title"), F.col("text")))
+    if not (all_of or any_of or none_of):
+        return hits
+    # Lower-cased once per row, not once per term.
+    text = F.lower(F.concat_ws("\n", F.col("title"), F.col("text")))
+    hits = hits.select("*", evaluated_once(_haystack=text))
+    haystack = F.col("_haystack")
     condition = F.lit(True)
     for term in all_of:
         condition = condition & matches_term(haystack, term)
@@ -82,7 +88,7 @@ def story_search(
         condition = condition & either
     for term in none_of:
         condition = condition & ~matches_term(haystack, term)
-    return hits.where(condition)
+    return hits.where(condition).drop("_haystack")
 
 
 def story_count(hits: DataFrame, by: str = "media_id") -> DataFrame:
@@ -112,4 +118,9 @@ def keyword_filter(
     articles: DataFrame, keywords: Sequence[str], columns: Sequence[str] = ("title", "text")
 ) -> DataFrame:
     """Articles that contain any keyword as a case-insensitive substring."""
-    return articles.where(contains_any_ci([F.col(c) for c in columns], keywords))
+    lowered = {f"_{c}": F.lower(F.coalesce(c, F.lit(""))) for c in columns}
+    hit = F.lit(False)
+    for name in lowered:
+        for keyword in keywords:
+            hit = hit | F.col(name).contains(keyword.lower())
+    return articles.select("*", evaluated_once(**lowered)).where(hit).drop(*lowered)

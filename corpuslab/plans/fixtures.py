@@ -125,7 +125,8 @@ def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table; text-heavy ones are spread over the cores when they are one small file."""
     rows = read_table(spark, sf_dir, name)
-    return spread(rows) if name in ("documents", "pages") else rows
+    key = {"documents": "doc_id", "pages": "page_id"}.get(name)
+    return spread(rows, key) if key else rows
 
 
 def lexicon(spark: SparkSession) -> DataFrame:

@@ -9,7 +9,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(table: DataFrame, key: str | None = None) -> DataFrame:
+def spread(table: DataFrame, key: str) -> DataFrame:
     """Spread a freshly read table over the cores when it has fewer splits than cores.
 
     A big table has thousands of splits and is returned as it is. A small file
@@ -19,4 +19,4 @@ def spread(table: DataFrame, key: str | None = None) -> DataFrame:
     cores = table.sparkSession.sparkContext.defaultParallelism
     if table.rdd.getNumPartitions() >= cores:
         return table
-    return table.repartition(cores, key) if key else table.repartition(cores)
+    return table.repartition(cores, key)

@@ -9,6 +9,7 @@ from ..operators.bayes import NaiveBayesModel
 from ..operators.ingest import derive_status, retrieved, storable
 from ..operators.tasks import label_tasks, new_tasks
 from ..schemas import ARTICLE, TASK, column_names
+from ..sources.tables import spread
 from .runs import batch_path, earlier_batches, read_store, run_id
 
 # Late copies within this horizon are dropped from state; later ones by the store lookup.
@@ -97,7 +98,8 @@ def start_scoring(
     run = run_id(checkpoint)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        model.predict(batch.select("record_id", "text")).write.mode("overwrite").parquet(
+        rows = spread(batch.select("record_id", "text"), "record_id")
+        model.predict(rows).write.mode("overwrite").parquet(
             batch_path(sink, run, batch_id)
         )
 
