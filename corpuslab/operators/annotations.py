@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import flag, let
+from ..functions.columns import first_truthy, flag, let
 from ..functions.text import is_blank, strip
 
 # Result types that carry labels, and the name of an unnamed control.
@@ -128,7 +128,7 @@ def analysis_records(tasks: DataFrame) -> DataFrame:
     """
 
     def control_labels(result: Column) -> Column:
-        control = F.coalesce(F.nullif(result["from_name"], F.lit("")), F.lit(DEFAULT_CONTROL))
+        control = first_truthy(result["from_name"], F.lit(DEFAULT_CONTROL))
         return F.transform(
             _string_list(result["value"], "$.choices"),
             lambda label: F.struct(control.alias("control"), label.alias("label")),

@@ -21,7 +21,7 @@ from dataclasses import asdict, dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..session import materialise, new_run_dir
-from .bounds import class_side
+from .bounds import class_side, counted_side
 from .features import (
     TfidfParams,
     document_count,
@@ -126,6 +126,7 @@ def score_sums(
     features: TfidfParams,
     keep: Sequence[str],
     sums: Mapping[str, Column],
+    n_rows: int,
 ) -> DataFrame:
     """Aggregates ``sums`` per document and class over the terms of the documents.
 
@@ -133,10 +134,11 @@ def score_sums(
     vocabulary term is added once more under the total class with nulls, so the
     document totals come out of the same join. Documents without a known term
     stay, with a null class. The terms of a document are folded before the
-    shuffle.
+    shuffle. ``n_rows`` is the counted size of vocabulary and pairs, which
+    decides between broadcast and shuffle.
     """
     totals = vocab.select("term", "idf", F.lit(TOTAL_CLASS).alias("class_id"))
-    scorer = gains.unionByName(totals, allowMissingColumns=True)
+    scorer = counted_side(gains.unionByName(totals, allowMissingColumns=True), n_rows)
     terms = term_frequencies(documents.select(*keep, "text"), features, keep)
     weighted = terms.join(scorer, "term", "left").withColumn(
         "w", tf_value(features) * F.col("idf")
@@ -153,6 +155,8 @@ class NaiveBayesModel:
     classes: DataFrame
     features: TfidfParams
     params: NaiveBayesParams
+    n_terms: int
+    n_pairs: int
     path: str | None = None
 
     def info(self) -> dict:
@@ -202,6 +206,7 @@ class NaiveBayesModel:
             self.features,
             keep,
             {"s": F.sum(w * F.coalesce("delta", F.lit(1.0))), "sq": F.sum(w * w)},
+            self.n_terms + self.n_pairs,
         )
         is_total = F.col("class_id") == TOTAL_CLASS
         found = sums.groupBy(*keep).agg(
@@ -278,12 +283,15 @@ def load_model(spark: SparkSession, path: str) -> NaiveBayesModel:
     if row is None:
         raise ValueError(f"the model at {path} has no classes")
     features, params = params_from_mapping(json.loads(row["params"]))
+    vocab, sums = (spark.read.parquet(f"{path}/{name}") for name in ("vocab", "sums"))
     return NaiveBayesModel(
-        vocab=spark.read.parquet(f"{path}/vocab"),
-        sums=spark.read.parquet(f"{path}/sums"),
+        vocab=vocab,
+        sums=sums,
         classes=classes,
         features=features,
         params=params,
+        n_terms=vocab.count(),
+        n_pairs=sums.count(),
         path=path,
     )
 
@@ -304,10 +312,12 @@ def fit(
     vocab = materialise(
         vocabulary(counted, document_count(labelled), features), "vocab", f"{path}/vocab"
     )
-    weights = tfidf(labelled, vocab, features, keep=("record_id", "label"))
+    n_terms = vocab.count()
+    weights = tfidf(
+        labelled, counted_side(vocab, n_terms), features, keep=("record_id", "label")
+    )
     sums = materialise(term_sums(weights), "sums", f"{path}/sums")
-    vocab_size = vocab.agg(F.count("*")).scalar()
-    classes = class_table(labelled, sums, vocab_size, params).withColumn(
+    classes = class_table(labelled, sums, F.lit(n_terms), params).withColumn(
         "params", F.lit(_params_text(features, params))
     )
     return NaiveBayesModel(
@@ -316,5 +326,7 @@ def fit(
         classes=materialise(classes, "classes", f"{path}/classes"),
         features=features,
         params=params,
+        n_terms=n_terms,
+        n_pairs=sums.count(),
         path=path,
     )

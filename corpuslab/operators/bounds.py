@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+# Most rows a counted table keyed by term may have to be broadcast, some 100 bytes each.
+MAX_BROADCAST_TERMS = 2_000_000
+
 # Most rows a table keyed by class (label, model, control) may have to be broadcast.
 MAX_CLASSES = 100_000
 
@@ -23,3 +26,9 @@ def class_side(table: DataFrame, bound: int | None = MAX_CLASSES) -> DataFrame:
     message = F.lit(f"class table has more than {bound} rows; join it with bound=None")
     checked = counted.where(F.assert_true(F.col("_rows") <= bound, message).isNull())
     return F.broadcast(checked.drop("_rows"))
+
+
+def counted_side(table: DataFrame, n_rows: int, bound: int | None = None) -> DataFrame:
+    """Mark a table of known row count for broadcast; a bigger one is joined by shuffle."""
+    limit = MAX_BROADCAST_TERMS if bound is None else bound
+    return F.broadcast(table) if n_rows <= limit else table

@@ -265,7 +265,13 @@ def alpha_sweep(
     }
     sums = (
         score_sums(
-            test, model.vocab, gains, features, keep, {"w": F.sum(w), "sq": F.sum(w * w), **per_trial}
+            test,
+            model.vocab,
+            gains,
+            features,
+            keep,
+            {"w": F.sum(w), "sq": F.sum(w * w), **per_trial},
+            model.n_terms + model.n_pairs,
         )
         .withColumn("g", F.array(*per_trial))
         .groupBy(*keep)
@@ -281,9 +287,8 @@ def alpha_sweep(
     classes = model.classes.agg(
         F.sort_array(F.collect_list(F.struct("class_id", "label", "log_prior", "n_c")))
     ).scalar()
-    vocab_size = model.vocab.agg(F.count("*")).scalar()
     known = (
-        sums.withColumn("_size", size).withColumn("_classes", classes).withColumn("_v", vocab_size)
+        sums.withColumn("_size", size).withColumn("_classes", classes).withColumn("_v", F.lit(model.n_terms))
     )
     def choice(i: int, trial: int, a: float) -> Column:
         def scored(c: Column) -> Column:

@@ -38,12 +38,6 @@ ANNOTATED_TASK = (
     "result: array<struct<type: string, from_name: string, value: variant>>>>"
 )
 
-LABELLED_RECORD = (
-    "text string, label array<string>, task_id bigint, annotation_id string, story_id string, "
-    "title string, url string, language string, publish_date string, annotated_by string, "
-    "annotated_at string"
-)
-
 SOURCE_CATALOGUE = (
     "source_name string, homepage_url string, present string, has_health string, "
     "has_climate string, notes string"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import strip
 from ..operators.ingest import failed_urls, merge_index
 from ..operators.tasks import task_json
-from ..schemas import ARTICLE, ARTICLE_INDEX, PAGE, SOURCE_CATALOGUE, TASK, column_names
+from ..schemas import ARTICLE, ARTICLE_INDEX, LEXICON, PAGE, SOURCE_CATALOGUE, TASK, column_names
 
 
 def _read_or_empty(
@@ -102,3 +102,8 @@ def read_source_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).parquet(path)
+
+
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """Sentiment lexicon ``(term, valence, polarity, subjectivity)`` from CSV with header."""
+    return read_csv_export(spark, path, LEXICON)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.bayes import NaiveBayesModel
-from ..operators.ingest import derive_status, retrieved, storable
+from ..operators.ingest import derive_status, storable
 from ..operators.tasks import label_tasks, new_tasks
-from ..schemas import ARTICLE, TASK, column_names
+from ..schemas import ARTICLE, STATUS_SUCCESS, TASK, column_names
 from ..sources.tables import spread
 from .runs import batch_path, earlier_batches, read_store, run_id
 
@@ -20,11 +20,12 @@ def _known_stories(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Stories of this batch that are stored with text.
 
     The store is cut to the batch first: the batch side is small and can be
-    broadcast, so the store is scanned but not shuffled.
+    broadcast, so the store is scanned but not shuffled. Its status was derived
+    from the text on arrival, so the texts themselves are not read.
     """
     ids = batch.select("story_id").distinct()
     return (
-        store.where(retrieved(F.col("status"), F.length("text")))
+        store.where(F.col("status") == STATUS_SUCCESS)
         .select("story_id")
         .join(ids, "story_id", "left_semi")
         .distinct()

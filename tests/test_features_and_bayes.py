@@ -280,3 +280,18 @@ def test_config_mappings_and_draws():
     with pytest.raises(ValueError, match="batch_size"):
         sweep.configs_from_mappings([{"name": "n", "model_params": {"batch_size": 1}}])
     assert sweep.draw_configs(3) == sweep.draw_configs(3)
+
+
+def test_big_vocabularies_are_joined_by_shuffle(spark, monkeypatch):
+    from corpuslab.operators import bounds
+
+    model = bayes.fit(docs(spark))
+    want = rows(model.predict(docs(spark, UNSEEN)))
+    monkeypatch.setattr(bounds, "MAX_BROADCAST_TERMS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        predicted = bayes.fit(docs(spark)).predict(docs(spark, UNSEEN))
+        assert "BroadcastHashJoin" not in predicted._jdf.queryExecution().executedPlan().toString()
+        assert rows(predicted) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

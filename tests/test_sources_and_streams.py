@@ -53,6 +53,8 @@ def test_small_inputs(spark, tmp_path):
     (tmp_path / "cat.csv").write_text(
         'name,url,present,health,climate,notes\n"A, ""b""",https://a,Yes,,,"two\nlines"\n'
     )
+    (tmp_path / "lex.csv").write_text("term,valence,polarity,subjectivity\ngood,1.5,0.4,0.6\n")
+    assert rows(articles.read_lexicon(spark, str(tmp_path / "lex.csv"))) == [("good", 1.5, 0.4, 0.6)]
     row = one(articles.read_source_catalogue(spark, str(tmp_path / "cat.csv")))
     assert (row["source_name"], row["notes"], row["has_health"]) == ('A, "b"', "two\nlines", None)
 
