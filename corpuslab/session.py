@@ -8,8 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and the local benchmark; clusters bring their own."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """Session for tests and the local benchmark; clusters bring their own.
+
+    ``shared`` becomes ``spark.checkpoint.dir``; one machine may take a temporary folder.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("corpuslab")
@@ -17,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="corpuslab-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -28,20 +32,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    A local master without the setting gets a folder of its own; any other
-    master without it is an error, since a machine-local folder would not
-    survive the loss of that machine.
+    A session without the setting (as a driver's local smoke run) may use the folder
+    given to ``SparkContext.setCheckpointDir``; only a local master may have neither and
+    gets a folder of its own, which is then the session's checkpoint folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="corpuslab-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslab-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
