@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, lines, simhash, warc
+from . import bpe, factorisation as fm, latent, lines, simhash, warc
 from .common import read_table, ship
 
 TOKENIZER = "word_bpe_49k.json"
@@ -20,12 +20,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_latent_retrieval(spark: SparkSession, sf: str) -> DataFrame:
+    return latent.contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def op3_warc_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     archives = warc.write_archives(read_table(spark, sf, "pages"))
     records = warc.read_archives(archives, payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
+    model = fm.fit(docs, labels.where(fm.held_in()))
+    scored = fm.score(docs.select("doc_id", "text", "n_chars"), model)
+    return scored.select(
+        "doc_id",
+        (~fm.held_in()).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = lines.drop_frequent_lines(read_table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select(
@@ -58,7 +74,9 @@ def _shipped(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
     for f in (
+        op1_latent_retrieval,
         op3_warc_dictionary,
+        op6_factorisation_machine,
         op8_line_dedup,
         op9_bpe_codec,
         op10_simhash_golay,
