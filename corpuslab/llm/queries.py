@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, factorisation as fm, latent, lines, simhash, warc
+from . import bpe, crosspolytope, factorisation as fm, latent, lines, simhash, warc
 from .common import read_table, ship
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,11 @@ def op3_warc_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:
+    found = crosspolytope.near_duplicates(read_table(spark, sf, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op6_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
     model = fm.fit(docs, labels.where(fm.held_in()))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_latent_retrieval,
         op3_warc_dictionary,
+        op5_cross_polytope,
         op6_factorisation_machine,
         op8_line_dedup,
         op9_bpe_codec,
