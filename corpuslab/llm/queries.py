@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, crosspolytope, factorisation as fm, latent, lines, simhash, warc
+from . import bpe, crosspolytope, factorisation as fm, latent, lines, pseudonyms, simhash, warc
 from .common import read_table, ship
 
 TOKENIZER = "word_bpe_49k.json"
+#: Key of the registered query only; a user passes a secret of their own.
+PSEUDONYM_KEY = "corpuslab-demo-key"
 
 
 def tokenizer_path() -> str:
@@ -24,6 +26,12 @@ def op1_latent_retrieval(spark: SparkSession, sf: str) -> DataFrame:
     return latent.contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
 
+def op2_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    changed = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    return changed.select("doc_id", "text", F.col("_n_private").alias("n_private"), F.array_join("_kinds", ",").alias("kinds"))
+
+
 def op3_warc_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     archives = warc.write_archives(read_table(spark, sf, "pages"))
     records = warc.read_archives(archives, payload=False)
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
     for f in (
         op1_latent_retrieval,
+        op2_feistel_pseudonyms,
         op3_warc_dictionary,
         op5_cross_polytope,
         op6_factorisation_machine,
