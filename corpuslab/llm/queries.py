@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, crosspolytope, factorisation as fm, latent, lines, pseudonyms, simhash, warc
+from . import bpe, crosspolytope, factorisation as fm, latent, lines, phrases, pseudonyms, simhash, warc
 from .common import read_table, ship
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,17 @@ def op3_warc_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_prefix_free_parsing(spark: SparkSession, sf: str) -> DataFrame:
+    kept = phrases.drop_repeats(read_table(spark, sf, "documents"))
+    return kept.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("span_starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:
     found = crosspolytope.near_duplicates(read_table(spark, sf, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
@@ -90,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_latent_retrieval,
         op2_feistel_pseudonyms,
         op3_warc_dictionary,
+        op4_prefix_free_parsing,
         op5_cross_polytope,
         op6_factorisation_machine,
         op8_line_dedup,
