@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, crosspolytope, factorisation as fm, latent, lines, phrases, pseudonyms, simhash, warc
+from . import anchors, bpe, crosspolytope, factorisation as fm, latent, lines, phrases, pseudonyms, simhash, warc
 from .common import read_table, ship
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,6 +66,11 @@ def op6_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_block_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    kept = anchors.drop_repeats(read_table(spark, sf, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = lines.drop_frequent_lines(read_table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select(
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_prefix_free_parsing,
         op5_cross_polytope,
         op6_factorisation_machine,
+        op7_block_anchors,
         op8_line_dedup,
         op9_bpe_codec,
         op10_simhash_golay,
