@@ -224,7 +224,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", tokens: bool =
     ``path`` names the tokenizer file on the driver; its text, of fixed size, goes to the tasks. Null and empty
     texts have no ids. Special tokens that a text spells out become their ids; none are added. Rows are independent of each
     other, so repeated rows and ids, null ids and further columns of any name pass through. ``tokens=False`` leaves
-    ``_decoded`` null.
+    ``_decoded`` null. Columns of the added names are replaced.
     """
     added = T.StructType().add("_n_tokens", "long").add("_ids", "string").add("_decoded", "string")
 
@@ -236,6 +236,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", tokens: bool =
 
 def _coded(docs: DataFrame, path: str, text_column: str, added: T.StructType, out: Callable[[int, str, str], tuple]) -> DataFrame:
     """``docs`` with the columns ``added``, which ``out`` makes of each text's result."""
+    docs = docs.drop(*added.names)
     with open(path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
     at, width = docs.columns.index(text_column), len(docs.columns)

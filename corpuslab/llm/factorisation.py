@@ -165,8 +165,8 @@ def fit(
     asked = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
     asked = asked.groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("double").alias("_label"))
     asked = asked.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    joined = docs.join(F.broadcast(asked), docs[id_column] == asked["_id"])
-    rows = joined.select(*_columns(docs, text_column, chars_column), F.col("_id").cast("string"), "_label")
+    plain = docs.select(F.col(id_column).alias("_id"), *_columns(docs, text_column, chars_column))
+    rows = plain.join(F.broadcast(asked), "_id").select("_text", "_chars", F.col("_id").cast("string"), "_label")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in _feature_batches(batches):
@@ -191,8 +191,9 @@ def score(docs: DataFrame, model: Machine, text_column: str = "text", chars_colu
     """All columns of ``docs`` and ``_score``, the probability that a text is good. Null and empty texts are scored too.
 
     The model has a fixed size and goes to the tasks; rows are scored where they are read. No id, language or source takes part,
-    so rows that repeat each other get equal scores.
+    so rows that repeat each other get equal scores. A column ``_score`` of the table is replaced.
     """
+    docs = docs.drop("_score")
     spark: SparkSession = docs.sparkSession
     held = spark.sparkContext.broadcast(model.pack())
     names, n = [*docs.columns, "_score"], len(docs.columns)
@@ -202,7 +203,8 @@ def score(docs: DataFrame, model: Machine, text_column: str = "text", chars_colu
         for batch, found in _feature_batches(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns[2 : 2 + n], pa.array(machine.score(found), pa.float64())], names=names)
 
-    placed = docs.select(*_columns(docs, text_column, chars_column), *[docs[c] for c in docs.columns])
+    text, chars = _columns(docs, text_column, chars_column)
+    placed = docs.select(text.alias("_text of the scorer"), chars.alias("_chars of the scorer"), *[docs[c] for c in docs.columns])
     return placed.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
 
 

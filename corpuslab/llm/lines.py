@@ -51,7 +51,7 @@ def drop_frequent_lines(
     """Every row of ``docs`` with its text freed of lines whose key at least ``min_docs`` documents hold.
 
     Adds ``_kept_text`` (the other lines in their order, joined by line breaks), ``_n_lines`` and ``_n_dropped``; all columns of
-    ``docs`` are kept as they are. Lines are split at ``\\n`` only. A null or empty text is one empty line. Empty keys, and those
+    ``docs`` are kept as they are, but for columns of these three names, which are replaced. Lines are split at ``\\n`` only. A null or empty text is one empty line. Empty keys, and those
     under ``min_chars`` code points, never count. A document counts once for a line however often it repeats it; every
     row counts as a document, also where rows repeat an id or lack one.
 
@@ -60,6 +60,7 @@ def drop_frequent_lines(
     """
     if min_chars < 1:
         raise ValueError("empty lines are never keys")
+    docs = docs.drop("_kept_text", "_n_lines", "_n_dropped")
     keys = line_keys(docs, id_column, text_column)
     frequent = keys.groupBy("h1", "h2").count().where(F.col("count") >= min_docs).select("h1", "h2")
     frequent = materialise(frequent, "frequent")

@@ -193,8 +193,9 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text") -> DataFr
 
     A null text stays null with a count of zero; empty texts and texts without a valid value stay as they are. What
     looks like a value but is not valid (a failed check digit, an octet over 255, a day that the calendar lacks) stays. Rows
-    don't depend on each other, so repeated rows and further columns pass through. No shuffle, no Python on the executors.
+    don't depend on each other, so repeated rows and further columns pass through; columns of the added names are replaced. No shuffle, no Python on the executors.
     """
+    docs = docs.drop("_n_private", "_kinds", "_seen")
     secret = F.lit(key)
     found = F.regexp_extract_all(F.col(text_column), F.lit(ANY), F.lit(0))
     seen = docs.withColumn("_seen", F.transform(found, lambda m: F.struct(m.alias("m"), pseudonym(m, secret).alias("p"))))

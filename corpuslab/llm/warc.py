@@ -100,26 +100,19 @@ def expand(stream) -> Iterator[bytes]:
         raise ValueError("no dictionary frame at the head of the archive")
     raw = stream.read(size)
     unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
-    with unpacker.stream_reader(stream, read_across_frames=True, closefd=False) as reader:
-        buffer = b""
-        while chunk := reader.read(1 << 16):
-            buffer += chunk
-            while (end := _record_end(buffer)) is not None:
-                yield buffer[:end]
-                buffer = buffer[end:]
-    if buffer:
+    frame, parts = None, []
+    while data := stream.read(1 << 16):
+        while data:
+            frame = frame or unpacker.decompressobj()
+            parts.append(frame.decompress(data))
+            data = frame.unused_data if frame.eof else b""
+            if frame.eof:
+                yield b"".join(parts)
+                frame, parts = None, []
+    if frame is not None:
         raise ValueError("the archive ends within a record")
 
 
-def _record_end(buffer: bytes) -> int | None:
-    at = buffer.find(b"\r\n\r\n")
-    if at < 0:
-        return None
-    start = buffer.rfind(b"Content-Length: ", 0, at) + 16
-    end = at + 8 + int(buffer[start:at])
-    return end if len(buffer) >= end else None
-
-
 def with_references(pages: DataFrame, min_bytes: int = 0, id_column: str = "page_id", html_column: str = "html") -> DataFrame:
     """``pages`` and ``_first``: the smallest id among equal payloads, null where the payload is alone or too small.
 
