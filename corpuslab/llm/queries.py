@@ -115,4 +115,68 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_golay,
     )
 }
-ORACLE: dict[str, str] = {}
+_REFERS = "CASE WHEN page_id <> first_id THEN first_id END"
+# Base32 sign k of a SHA-1 in hexadecimal digits: bits 5k to 5k + 4.
+_HEX = "(strpos('0123456789abcdef', substr(h, CAST(5 * k // 4 + {} AS BIGINT), 1)) - 1)"
+_BASE32 = f"""array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((((16 * {_HEX.format(1)} + {_HEX.format(2)}) >> (3 - CAST(5 * k % 4 AS INTEGER))) & 31) + 1 AS BIGINT), 1)), '')"""
+
+#: DuckDB SQL of the queries that SQL can express. The others have models, a tokenizer, XXH64 or keyed permutations in them.
+ORACLE: dict[str, str] = {
+    "op3_warc_dictionary": f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS h, min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, {_REFERS} AS refers_to
+FROM d
+""",
+    "op4_prefix_free_parsing": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, place, substr(b, CAST(2 * place + 1 AS BIGINT), 200) AS s
+      FROM (SELECT doc_id, b, unnest(range(0, greatest(n - 99, 0))) AS place FROM d)),
+late AS (SELECT doc_id, place FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, place) > 1),
+runs AS (SELECT doc_id, place, sum(fresh) OVER (PARTITION BY doc_id ORDER BY place) AS run
+         FROM (SELECT doc_id, place, CASE WHEN place - lag(place) OVER (PARTITION BY doc_id ORDER BY place) <= 100 THEN 0 ELSE 1 END AS fresh FROM late)),
+spans AS (SELECT doc_id, min(place) AS a, max(place) + 100 AS z FROM runs GROUP BY doc_id, run),
+kept AS (SELECT doc_id, a AS upto, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans
+         UNION ALL SELECT d.doc_id, n, coalesce(max(z), 0) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id, n),
+texts AS (SELECT doc_id, string_agg(substr(b, CAST(2 * since + 1 AS BIGINT), CAST(2 * (upto - since) AS BIGINT)), '' ORDER BY since) AS left_
+          FROM kept JOIN d USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(z - a) AS r, count(*) AS k FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(left_)) AS kept_sha256
+FROM d JOIN texts USING (doc_id) LEFT JOIN gone USING (doc_id)
+""",
+    "op5_cross_polytope": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2]))
+                >= 0.9 * sqrt(list_sum(list_transform(a.e, lambda x: x * x))) * sqrt(list_sum(list_transform(b.e, lambda x: x * x)))),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM root LEFT JOIN degree USING (vec_id)
+""",
+    "op7_block_anchors": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, place, array_to_string(w[place : place + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 18, 1))) AS place FROM d)),
+late AS (SELECT doc_id, place FROM s QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, place) > 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d),
+marked AS (SELECT doc_id, place, word, coalesce(place - last_value(l.place IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY place) < 20, false) AS gone
+           FROM words LEFT JOIN late l USING (doc_id, place)),
+left_ AS (SELECT doc_id, count(*) FILTER (gone) AS r, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS t FROM marked GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN left_ USING (doc_id)
+""",
+    "op8_line_dedup": """
+WITH x AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+k AS (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS place FROM x),
+n AS (SELECT doc_id, place, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM k),
+f AS (SELECT key FROM n WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM n LEFT JOIN f USING (key) GROUP BY doc_id
+""",
+}
