@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 
 from .text import strip
 
-LINK_REGEX = r"""(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"""
+LINK_REGEX = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 TITLE_REGEX = r"(?is)<title[^>]*>(.*?)</title>"
 ARTICLE_REGEX = r"(?is)<article[^>]*>(.*?)</article>"
 BODY_REGEX = r"(?is)<body[^>]*>(.*)</body>"
@@ -44,8 +44,9 @@ def decode_entities(text: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    """Array of raw ``href`` values of anchors, in page order."""
-    return F.regexp_extract_all(html, F.lit(LINK_REGEX), F.lit(1))
+    """Array of the ``href`` values of anchors, in page order: quoted either way or not at all, entities decoded."""
+    raw = F.regexp_extract_all(html, F.lit(LINK_REGEX), F.lit(1))
+    return F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, "^[\"']|[\"']$", "")))
 
 
 def title(html: Column) -> Column:

@@ -20,7 +20,8 @@ def clean_domain(url: Column) -> Column:
 
 
 def absolute_url(link: Column, page_url: Column) -> Column:
-    """Site-relative links get the scheme and host of their page; others pass."""
-    return F.when(
+    """Links relative to the site get the scheme and host of their page, ``//`` links its scheme; others pass."""
+    scheme = F.regexp_extract(page_url, "^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
+    return F.when(link.startswith("//"), F.concat(scheme, link)).when(
         link.startswith("/"), F.concat(F.regexp_extract(page_url, ORIGIN_REGEX, 1), link)
     ).otherwise(link)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.columns import agreement_band, report_round
+from ..session import materialise
 from .selection import value_at_ranks
 
 
@@ -116,12 +117,13 @@ def label_shares(long: DataFrame) -> DataFrame:
 
 def lead_time_stats(long: DataFrame) -> DataFrame:
     """Mean, interpolated median, minimum and maximum of the positive lead times."""
-    times = records_of(long).where(F.col("lead_time") > 0).select("lead_time")
-    middle = value_at_ranks(
-        times, "lead_time", [F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1]
-    )
-    return times.agg(
-        F.avg("lead_time").alias("average_lead_time"),
+    times = records_of(long).where(F.col("lead_time") > 0)
+    # One scan: everything follows from the number of records of each time.
+    counts = materialise(times.groupBy("lead_time").agg(F.count("*").alias("_m")), "lead-times")
+    ranks = [F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1]
+    middle = value_at_ranks(counts, "lead_time", ranks, weight="_m")
+    return counts.agg(
+        (F.sum(F.col("lead_time") * F.col("_m")) / F.sum("_m")).alias("average_lead_time"),
         F.min("lead_time").alias("min_lead_time"),
         F.max("lead_time").alias("max_lead_time"),
     ).withColumn("median_lead_time", middle.agg(F.avg("lead_time")).scalar())

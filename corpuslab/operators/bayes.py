@@ -21,7 +21,6 @@ from dataclasses import asdict, dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..session import materialise, new_run_dir
-from .bounds import class_side, counted_side
 from .features import (
     TfidfParams,
     document_count,
@@ -72,7 +71,7 @@ def encode_labels(*label_frames: DataFrame, label_column: str = "label") -> Data
 
 def decode_labels(predictions: DataFrame, classes: DataFrame, column: str = "class_id") -> DataFrame:
     """Replace a class id by its label."""
-    side = class_side(classes.select(F.col("class_id").alias(column), "label"))
+    side = classes.select(F.col("class_id").alias(column), "label")
     return predictions.join(side, column, "left").drop(column)
 
 
@@ -126,7 +125,6 @@ def score_sums(
     features: TfidfParams,
     keep: Sequence[str],
     sums: Mapping[str, Column],
-    n_rows: int,
 ) -> DataFrame:
     """Aggregates ``sums`` per document and class over the terms of the documents.
 
@@ -134,14 +132,19 @@ def score_sums(
     vocabulary term is added once more under the total class with nulls, so the
     document totals come out of the same join. Documents without a known term
     stay, with a null class. The terms of a document are folded before the
-    shuffle. ``n_rows`` is the counted size of vocabulary and pairs, which
-    decides between broadcast and shuffle.
+    shuffle. The pairs of a term are packed into one row of a written table, so that a
+    token is joined once, whatever the number of classes, and Spark knows the table's size; a
+    common word on the other side of a shuffled join is left to the skew rule.
     """
     totals = vocab.select("term", "idf", F.lit(TOTAL_CLASS).alias("class_id"))
-    scorer = counted_side(gains.unionByName(totals, allowMissingColumns=True), n_rows)
+    pairs = gains.unionByName(totals, allowMissingColumns=True)
+    packed = F.collect_list(F.struct(*[c for c in pairs.columns if c not in ("term", "idf")]))
+    scorer = materialise(pairs.groupBy("term").agg(F.first("idf").alias("idf"), packed.alias("_pairs")), "scorer")
     terms = term_frequencies(documents.select(*keep, "text"), features, keep)
-    weighted = terms.join(scorer, "term", "left").withColumn(
-        "w", tf_value(features) * F.col("idf")
+    weighted = (
+        terms.join(scorer, "term", "left")
+        .withColumn("w", tf_value(features) * F.col("idf"))
+        .select(*keep, "w", F.inline_outer("_pairs"))
     )
     return weighted.groupBy(*keep, "class_id").agg(*[c.alias(n) for n, c in sums.items()])
 
@@ -156,7 +159,6 @@ class NaiveBayesModel:
     features: TfidfParams
     params: NaiveBayesParams
     n_terms: int
-    n_pairs: int
     path: str | None = None
 
     def info(self) -> dict:
@@ -206,7 +208,6 @@ class NaiveBayesModel:
             self.features,
             keep,
             {"s": F.sum(w * F.coalesce("delta", F.lit(1.0))), "sq": F.sum(w * w)},
-            self.n_terms + self.n_pairs,
         )
         is_total = F.col("class_id") == TOTAL_CLASS
         found = sums.groupBy(*keep).agg(
@@ -266,10 +267,15 @@ class NaiveBayesModel:
         return self.predict(documents, keep)
 
     def save(self, path: str) -> None:
-        """Write the tables and the parameters to ``path``. Runs jobs."""
-        self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-        self.sums.write.mode("overwrite").parquet(f"{path}/sums")
-        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
+        """Write the tables and the parameters to ``path``. Runs jobs.
+
+        The model's own folder is left as it is; any other folder that exists is refused, since a
+        model may not be replaced under its readers.
+        """
+        if self.path is not None and path.rstrip("/") == self.path.rstrip("/"):
+            return
+        for name, table in (("vocab", self.vocab), ("sums", self.sums), ("classes", self.classes)):
+            table.write.mode("errorifexists").parquet(f"{path}/{name}")
 
 
 def _params_text(features: TfidfParams, params: NaiveBayesParams) -> str:
@@ -291,7 +297,6 @@ def load_model(spark: SparkSession, path: str) -> NaiveBayesModel:
         features=features,
         params=params,
         n_terms=vocab.count(),
-        n_pairs=sums.count(),
         path=path,
     )
 
@@ -313,9 +318,7 @@ def fit(
         vocabulary(counted, document_count(labelled), features), "vocab", f"{path}/vocab"
     )
     n_terms = vocab.count()
-    weights = tfidf(
-        labelled, counted_side(vocab, n_terms), features, keep=("record_id", "label")
-    )
+    weights = tfidf(labelled, vocab, features, keep=("record_id", "label"))
     sums = materialise(term_sums(weights), "sums", f"{path}/sums")
     classes = class_table(labelled, sums, F.lit(n_terms), params).withColumn(
         "params", F.lit(_params_text(features, params))
@@ -327,6 +330,5 @@ def fit(
         features=features,
         params=params,
         n_terms=n_terms,
-        n_pairs=sums.count(),
         path=path,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import null_if_blank
+from ..session import materialise
 from ..functions.text import strip
 from ..functions.urls import clean_domain
 
@@ -48,15 +49,17 @@ def full_text(urls: DataFrame, archive: DataFrame, scraped: DataFrame) -> DataFr
 
     Both sides are cut to the requested URLs and folded to one row per URL
     first: the first archive story by ``seq`` and the lowest page id. Pages are
-    looked at only for URLs the archive does not have.
+    looked at only for URLs the archive does not have. Rows whose URL is null or blank are left out.
     """
+    urls = urls.where(F.length(strip(F.col("url"))) > 0)
     wanted = urls.select("url").distinct()
     stories = (
         archive.join(wanted, "url", "left_semi")
         .groupBy("url")
         .agg(F.min_by(F.coalesce("text", F.lit("")), F.col("seq")).alias("archive_text"))
     )
-    missing = wanted.join(archive.select("url").distinct(), "url", "left_anti")
+    stories = materialise(stories, "archive-texts")
+    missing = wanted.join(stories, "url", "left_anti")
     pages = (
         scraped.join(missing, "url", "left_semi")
         .groupBy("url")

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialise
 from ..schemas import STATUS_NO_TEXT, STATUS_SUCCESS, STATUS_UNKNOWN
 from .selection import value_at_ranks
 
-# Above this limit the cut-off is searched by histogram instead of a top-k.
-TOP_K_BOUND = 100_000
-
 
 def retrieved(status: Column, text_length: Column) -> Column:
     """An index entry counts as retrieved when it succeeded with some text."""
@@ -45,17 +43,9 @@ def reuse_stored(candidates: DataFrame, index: DataFrame, store: DataFrame) -> D
 
 
 def _cut_after(new: DataFrame, limit: int) -> DataFrame:
-    """One-row frame with the position of the ``limit``-th new article, if there is one."""
-    if limit <= TOP_K_BOUND:
-        return (
-            new.select("seq")
-            .orderBy("seq")
-            .limit(limit)
-            .agg(F.max("seq").alias("cut"), F.count("*").alias("n"))
-            .where(F.col("n") == limit)
-            .select("cut")
-        )
-    return value_at_ranks(new.select("seq"), "seq", [F.lit(limit)]).select(F.col("seq").alias("cut"))
+    """Frame with the position of the ``limit``-th new article, empty if there are fewer. Articles without a position don't count."""
+    placed = new.select("seq").where(F.col("seq").isNotNull())
+    return value_at_ranks(placed, "seq", [F.lit(limit)]).select(F.col("seq").alias("cut"))
 
 
 def ingest(
@@ -155,9 +145,12 @@ def status_breakdown(articles: DataFrame) -> DataFrame:
 def text_length_stats(articles: DataFrame) -> DataFrame:
     """Mean, upper median, minimum and maximum length of the non-empty texts."""
     lengths = articles.select(F.length("text").alias("len")).where(F.col("len") > 0)
-    median = value_at_ranks(lengths, "len", [F.floor(F.col("n") / 2) + 1]).select("len")
-    return lengths.agg(
-        F.avg("len").alias("mean_length"),
+    # One scan of the texts: everything follows from the number of texts of each length.
+    counts = materialise(lengths.groupBy("len").agg(F.count("*").alias("_m")), "lengths")
+    middle = F.floor(F.col("n") / 2) + 1
+    median = value_at_ranks(counts, "len", [middle], weight="_m").select("len")
+    return counts.agg(
+        (F.sum(F.col("len") * F.col("_m")) / F.sum("_m")).alias("mean_length"),
         F.min("len").alias("min_length"),
         F.max("len").alias("max_length"),
     ).withColumn("median_length", median.scalar())

@@ -20,9 +20,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import token_regex, DEFAULT_TOKEN_PATTERN
 
-# A linear scorer of this many weights may be held by the driver and every task.
-MAX_WEIGHTS = 50_000_000
-
 
 @dataclass(frozen=True)
 class LinearParams:
@@ -94,16 +91,14 @@ def centroid_scorer(train: DataFrame, column: str = "embedding") -> Callable[[],
     """Nearest-centroid linear scorer for ``score_batches``. Runs one job.
 
     The per-class means are the model: classes times dimensions numbers, checked
-    against ``MAX_WEIGHTS`` before they are collected.
+    
+    sent to every worker once.
     """
     per_dim = (
         train.select("label", F.posexplode(column).alias("dim", "x"))
         .groupBy("label", "dim")
         .agg(F.avg("x").alias("x"))
     )
-    size = train.select("label").distinct().count() * train.agg(F.max(F.size(column))).first()[0]
-    if size > MAX_WEIGHTS:
-        raise ValueError(f"{size} weights exceed the bound of {MAX_WEIGHTS}")
     means = (
         per_dim.groupBy("label")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"]).alias("x"))
@@ -111,7 +106,7 @@ def centroid_scorer(train: DataFrame, column: str = "embedding") -> Callable[[],
         .collect()
     )
     classes = [str(r["label"]) for r in means]
-    weights = [list(r["x"]) for r in means]
+    weights = train.sparkSession.sparkContext.broadcast([list(r["x"]) for r in means])
 
     def load():
         import numpy as np
@@ -119,7 +114,7 @@ def centroid_scorer(train: DataFrame, column: str = "embedding") -> Callable[[],
         class Scorer:
             def __init__(self):
                 self.classes = classes
-                self.w = np.asarray(weights, dtype="float64")
+                self.w = np.asarray(weights.value, dtype="float64")
                 self.b = -0.5 * (self.w * self.w).sum(axis=1)
 
             def scores(self, values):

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.text import strip
 from .search import date_between
 
 # Fixed value: default number of rows handed to a model at once.
@@ -21,11 +22,12 @@ def lookup_urls(
 ) -> DataFrame:
     """Every input row ``(line_no, url)`` with its first story in the date window.
 
-    Repeated URLs stay repeated and misses keep a null ``story_id``. Stories
+    Rows whose URL is null or blank are left out. Repeated URLs stay repeated and misses keep a null ``story_id``. Stories
     are cut to the requested URLs and folded to one per URL before the join, so
     a URL with very many copies on either side is not joined pair by pair.
     """
     inside = articles.where(date_between(F.col("publish_date"), start, end))
+    urls = urls.where(F.length(strip(F.col("url"))) > 0)
     wanted = urls.select("url").distinct()
     first = (
         inside.join(wanted, "url", "left_semi")

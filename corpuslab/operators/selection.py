@@ -8,9 +8,9 @@ only that one bucket is ranked, and the selection is then a plain comparison.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .bounds import class_side
+from ..session import materialise
 
 
 def boundary_buckets(histogram: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
@@ -44,42 +44,47 @@ def hash_bucket(md5_hex: Column, digits: int = 4) -> Column:
 
 
 def value_at_ranks(
-    values: DataFrame, value: str, ranks: list[Column], buckets: int = 4096
+    values: DataFrame, value: str, ranks: list[Column], buckets: int = 4096, weight: str | None = None
 ) -> DataFrame:
-    """The values at the given 1-based ranks: rows ``(which, value)``, ``which`` from 0.
+    """The values at the given 1-based ranks: rows ``(which, value)``, ``which`` from 0. Runs jobs.
 
     ``values`` has one non-null numeric column; the rank expressions may use the
-    total count ``n``. Equal values are counted, not listed, and only the
-    buckets that hold a rank are sorted. A rank beyond the end gives no row.
+    total count ``n``. Equal values are counted once and written, unless ``weight`` names
+    a column with the counts of distinct values. Each round cuts the interval that
+    holds a rank into ``buckets`` parts and goes on with the one that holds it, until it holds one value; the
+    driver sees one small row for each part. Nothing is sorted, and how many rounds it takes depends on the
+    range of the values, not on their number. A rank beyond the end gives no row.
     """
-    scaled = F.signum(value) * F.log1p(F.abs(value))  # keeps long tails from filling one bucket
-    counts = values.groupBy(value).agg(F.count("*").alias("_n")).withColumn("_t", scaled)
-    spread = counts.agg(
-        F.min("_t").alias("lo"), F.max("_t").alias("hi"), F.sum("_n").alias("n")
-    ).select(F.struct("lo", "hi", F.array(*[r.cast("long") for r in ranks]).alias("ranks")))
-    width = (F.col("_s.hi") - F.col("_s.lo")) / buckets
-    placed = counts.withColumn("_s", spread.scalar()).select(
-        value,
-        "_n",
-        F.when(width > 0, F.floor((F.col("_t") - F.col("_s.lo")) / width))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("_bucket"),
-        F.col("_s.ranks").alias("_ranks"),
-    )
-    # At most buckets + 1 rows, so the unpartitioned window is bounded.
-    hit = (
-        placed.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_n"), F.first("_ranks").alias("_ranks"))
-        .withColumn("_upto", F.sum("_n").over(W.orderBy("_bucket")))
-        .select("_bucket", "_n", "_upto", F.posexplode("_ranks").alias("which", "_quota"))
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select("_bucket", "which", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    )
-    within = W.partitionBy("which").orderBy(value)
-    return (
-        placed.join(class_side(hit), "_bucket")
-        .withColumn("_upto", F.sum("_n").over(within))
-        .where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
-        .select("which", value)
-    )
+    spark = values.sparkSession
+    kind = values.schema[value].dataType
+    if weight:
+        counts = values.withColumnRenamed(weight, "_n")
+    else:
+        counts = materialise(values.groupBy(value).agg(F.count("*").alias("_n")), "ranks")
+    whole = counts.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("_n").alias("n"))
+    head = whole.select("lo", "hi", "n", *[r.cast("long").alias(f"_r{k}") for k, r in enumerate(ranks)]).first()
+    out = []
+    for which in range(len(ranks)):
+        lo, hi, rank = head["lo"], head["hi"], head[f"_r{which}"]
+        if rank is None or head["n"] is None or not 1 <= rank <= head["n"]:
+            continue
+        while lo < hi:
+            x, low, high = F.col(value).cast("double"), float(lo), float(hi)
+            part = F.least(F.floor((x - low) / ((high - low) / buckets)), F.lit(buckets - 1)) if high > low else F.lit(0)
+            inside = counts.where(F.col(value).between(F.lit(lo), F.lit(hi)))
+            found = inside.groupBy(part.alias("_part")).agg(
+                F.sum("_n").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
+            )
+            for row in sorted(found.collect(), key=lambda r: r["lo"]):
+                if rank <= row["n"]:
+                    break
+                rank -= row["n"]
+            if (row["lo"], row["hi"]) == (lo, hi):  # closer than doubles can tell apart
+                for one in inside.orderBy(value).collect():
+                    if rank <= one["_n"]:
+                        row = {"lo": one[value], "hi": one[value]}
+                        break
+                    rank -= one["_n"]
+            lo, hi = row["lo"], row["hi"]
+        out.append((which, lo))
+    return spark.createDataFrame(out, T.StructType([T.StructField("which", T.IntegerType()), T.StructField(value, kind)]))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import materialise
-from .bounds import class_side
 from .selection import at_or_before, boundary_buckets, hash_bucket
 
 # Default seed and share of training rows.
@@ -15,7 +14,7 @@ DEFAULT_RATIO = 0.8
 
 def split_key(record_id: Column, seed: int = DEFAULT_SEED) -> Column:
     """Position of a record in the seeded shuffle."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), record_id.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(record_id.cast("string"), F.lit(""))))
 
 
 def class_quotas(counts: DataFrame, ratio: float) -> DataFrame:
@@ -67,12 +66,16 @@ def _cut_keys(keyed: DataFrame, ratio: float) -> DataFrame:
         .agg(F.sum("n").alias("n"))
     )
     quotas = strata.groupBy("stratum").agg(F.max("quota").alias("quota"))
-    bounds = strata.select("label", "stratum").join(
-        boundary_buckets(by_stratum, "stratum", quotas), "stratum", "left"
+    # Written, so that Spark knows its size before it joins the rows of all classes with it.
+    bounds = materialise(
+        strata.select("label", "stratum").join(
+            boundary_buckets(by_stratum, "stratum", quotas), "stratum", "left"
+        ),
+        "split-bounds",
     )
     within = W.partitionBy("stratum").orderBy("_key", "_unit")
     cuts = (
-        keyed.join(class_side(bounds), ["label", "bucket"])
+        keyed.join(bounds, ["label", "bucket"])
         .select("stratum", "rank", "_key", "_unit", F.row_number().over(within).alias("_rn"))
         .where(F.col("_rn") == F.col("rank"))
         .select("stratum", F.col("_key").alias("cut__key"), F.col("_unit").alias("cut__unit"))
@@ -96,7 +99,8 @@ def stratified_split(
     last training key of every class, that class-sized table is written, and
     the rows are then compared with it in their scan. Rows without a label get
     a null split. With ``group_by`` rows of one group stay together; whole groups are
-    split and a group counts under its smallest label.
+    split and a group counts under its smallest label. Rows without a group form one
+    group; rows of a group without any label get a null split. No row is lost.
     """
     if not 0.0 < ratio < 1.0:
         raise ValueError(f"the train ratio must lie between 0 and 1, got {ratio}")
@@ -121,9 +125,9 @@ def stratified_split(
         # The label of a group is known only after grouping, so its split is looked up by group.
         placed = (
             keyed.join(per_label, keyed["label"] == per_label["_label"])
-            .select(F.col("_unit").alias(group_by), split.alias("split"))
+            .select(F.col("_unit").alias("_group"), split.alias("split"))
         )
-        return records.join(placed, group_by)
+        return records.join(placed, records[group_by].eqNullSafe(placed["_group"]), "left").drop("_group")
     return (
         records.withColumn("_key", split_key(unit_id, seed))
         .withColumn("_unit", unit_id)

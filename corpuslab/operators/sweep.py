@@ -12,7 +12,6 @@ from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
 from ..session import materialise
 from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, score_sums
-from .bounds import class_side
 from .features import TfidfParams, document_tokens, idf_value, tf_value
 from .metrics import METRICS, weighted_metrics
 
@@ -208,8 +207,9 @@ def fit_and_predict_many(
     wanted = test.select(
         "record_id", F.col("label").alias("y_true"), F.explode(_config_array(configs)).alias("c")
     ).select("record_id", "y_true", F.col("c.config_id").alias("config_id"))
+    # A row for each configuration of the caller's list; written, so that Spark knows its size.
     found = wanted.join(hits, ["record_id", "config_id"], "left").join(
-        class_side(classes), "config_id"
+        materialise(classes, "sweep-classes"), "config_id"
     )
     norm = {"l2": F.sqrt("sq"), "l1": F.col("w"), None: F.lit(1.0)}[params.norm]
 
@@ -271,7 +271,6 @@ def alpha_sweep(
             features,
             keep,
             {"w": F.sum(w), "sq": F.sum(w * w), **per_trial},
-            model.n_terms + model.n_pairs,
         )
         .withColumn("g", F.array(*per_trial))
         .groupBy(*keep)

@@ -50,6 +50,27 @@ PROJECT_TASKS = "SELECT CAST(doc_id AS STRING) AS story_id FROM {labels}"
 
 RECORDS = "SELECT doc_id AS record_id, text, lang AS label FROM {documents}"
 
+GROUPED = """
+SELECT doc_id AS record_id, CASE WHEN source = 'src5' THEN NULL ELSE concat(source, '-', CAST(doc_id % 7 AS STRING)) END AS source,
+       CASE WHEN doc_id % 11 = 0 OR source = 'src6' THEN NULL ELSE lang END AS label
+FROM {documents}
+"""
+
+# Every third page in double quotes, single quotes and without quotes; one link without scheme and one with an entity each.
+LINK_FORMS = """
+SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN h WHEN 1 THEN replace(h, '"', chr(39)) ELSE replace(h, '"', '') END AS html
+FROM (SELECT page_id, url, concat(html, '<a href="//cdn.example.net/p', CAST(page_id AS STRING), '">x</a><A class="n" HREF = "/q?a=1&amp;b=2">y</A>') AS h
+      FROM {pages}) p
+"""
+
+DATED_PAGES = """
+SELECT page_id, url, concat(CASE page_id % 4
+    WHEN 0 THEN concat('<meta property="article:published_time" content="2024-0', CAST(1 + page_id % 9 AS STRING), '-15T08:00:00Z">')
+    WHEN 1 THEN concat('<time class="d" datetime="2024-1', CAST(page_id % 3 AS STRING), '-05">')
+    WHEN 2 THEN '<time datetime="2024-13-45">' ELSE '' END, html) AS html
+FROM {pages}
+"""
+
 # Total order of the copies of one order line: day of shipping, then part and price.
 ORDER_KEY = """(CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS BIGINT) * 1000000 + l_partkey)
        * 100000 + CAST(floor(l_extendedprice) AS BIGINT) % 100000"""

@@ -72,23 +72,25 @@ def evaluate(model: bayes.NaiveBayesModel, test: DataFrame, model_name: str) ->
 def evaluate_models(
     models: dict[str, bayes.NaiveBayesModel], test: DataFrame, metric: str = "f1"
 ) -> DataFrame:
-    """Leaderboard of several models; a model that fails to plan becomes an error row."""
+    """Leaderboard of several models. Runs a job for each; one that fails becomes an error row.
+
+    Every model's confusion counts, a small table, are written in an action of their own, so a model
+    that breaks while it runs hides no other. The error is the first line of what it raised.
+    """
     spark = test.sparkSession
-    predictions, failures = None, []
+    measured, failures = None, []
     for name, model in models.items():
         try:
-            part = model.predict(test, keep=("record_id", "label")).select(
-                F.lit(name).alias("model_name"), F.col("label").alias("y_true"), "y_pred"
-            )
+            part = materialise(evaluate(model, test, name), "evaluation")
         except Exception as error:  # one broken model must not hide the others
-            failures.append((name, str(error)))
+            failures.append((name, str(error).splitlines()[0][:500] if str(error) else type(error).__name__))
             continue
-        predictions = part if predictions is None else predictions.unionByName(part)
+        measured = part if measured is None else measured.unionByName(part)
     failed = spark.createDataFrame(failures, "model_name string, error string")
-    if predictions is None:
+    if measured is None:
         empty = spark.createDataFrame([], "model_name string, y_true string, y_pred string")
-        return leaderboard(weighted_metrics(empty), metric, failed)
-    return leaderboard(weighted_metrics(predictions), metric, failed)
+        measured = weighted_metrics(empty)
+    return leaderboard(measured, metric, failed)
 
 
 def infer_urls(
@@ -105,8 +107,10 @@ def infer_urls(
     often its URL was asked for.
     """
     hits = lookup_urls(urls, articles, start, end).where(F.col("story_id").isNotNull())
-    stories = hits.select("story_id", "text").dropDuplicates(["story_id"])
-    scored = model.predict(stories, keep=("story_id",))
+    hits = materialise(hits, "url-hits")
+    # One row of each story: a fold, not a sort of all its copies.
+    stories = hits.groupBy("story_id").agg(F.first("text").alias("text"))
+    scored = materialise(model.predict(stories, keep=("story_id",)), "story-labels")
     return with_lineage(hits.join(scored, "story_id"), model_name)
 
 

@@ -99,8 +99,8 @@ coef AS (SELECT control,
 
 
 _TASK_RATINGS = f"""
-SELECT control, task_id AS subject, annotator AS rater, ann_pos, label FROM ({_ANN}) a
-WHERE task_id IN (SELECT task_id FROM ({_ANN}) b GROUP BY task_id HAVING count(DISTINCT ann_pos) > 1)
+SELECT control, task_id AS subject, annotator AS rater, ann_pos, label FROM (SELECT * FROM {_REQUIRED}) a
+WHERE task_id IN (SELECT task_id FROM (SELECT * FROM {_REQUIRED}) b GROUP BY task_id HAVING count(DISTINCT ann_pos) > 1)
 """
 
 _SPLIT = """
@@ -185,7 +185,7 @@ rows_ AS (SELECT model_name, {_ROUND4}, CAST(NULL AS VARCHAR) AS error FROM m
 board AS (SELECT *, CAST(row_number() OVER (ORDER BY f1 DESC NULLS LAST, model_name) AS INTEGER) AS rank FROM rows_)
 """
 
-_URLS = fx.for_duckdb(fx.URL_LIST)
+_URLS = f"SELECT * FROM ({fx.for_duckdb(fx.URL_LIST)}) AS listed WHERE trim(url) <> ''"
 _LOOKUP = f"""
 articles AS ({_ART}), urls AS ({_URLS}),
 first_hit AS (SELECT url, arg_min(story_id, seq) AS story_id, arg_min(text, seq) AS text FROM articles
@@ -207,7 +207,7 @@ inferred AS (SELECT l.line_no, l.story_id, l.url, 'nb' AS model_used, p.y_pred
 """
 
 # Pages.
-_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"""
+_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)"""
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 _HIDDEN = (
     r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>"
@@ -239,11 +239,21 @@ SELECT page_id, url, trim({_TITLE}, {_WS}) AS title,
        CAST(NULL AS DATE) AS publish_date
 FROM pages
 """
-_HREFS = rf"""
-SELECT DISTINCT page_id, CASE WHEN h LIKE '/%' THEN concat(regexp_extract(url, '{_ORIGIN}', 1), h) ELSE h END AS link, h
-FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS h FROM pages)
+
+
+
+def _hrefs(pages: str = "pages") -> str:
+    """Distinct links of the pages with their raw values."""
+    value = _decode("""regexp_replace(h, '^["'']|["'']$', '', 'g')""")
+    return rf"""
+SELECT DISTINCT page_id, CASE WHEN h LIKE '//%' THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)//', 1), h)
+       WHEN h LIKE '/%' THEN concat(regexp_extract(url, '{_ORIGIN}', 1), h) ELSE h END AS link, h
+FROM (SELECT page_id, url, {value} AS h FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS h FROM {pages}))
 """
 
+
+_HREFS = _hrefs()
+
 _DOMAIN = "replace(regexp_extract({}, '^[^:]*://([^/?#]*)', 1), 'www.', '')"
 _MATCH = f"""
 WITH cat AS ({fx.for_duckdb(fx.CATALOGUE)}),
@@ -419,7 +429,7 @@ ORACLE: dict[str, str] = {
     "min(overall_simple_agreement) AS min_agreement, max(overall_simple_agreement) AS max_agreement, "
     "CAST(count(*) FILTER (has_disagreement) AS BIGINT) AS n_disagreement FROM per_task",
     "agreement_metrics": f"WITH {_coefficients(_TASK_RATINGS)} SELECT control, round(krippendorff_alpha, 6) AS krippendorff_alpha, "
-    "round(gwet_ac1, 6) AS gwet_ac1 FROM coef",
+    "round(gwet_ac1, 6) AS gwet_ac1 FROM coef WHERE coalesce(krippendorff_alpha, gwet_ac1) IS NOT NULL",
     "agreement_bands": f"WITH {_coefficients(_TASK_RATINGS)}, m AS (SELECT control, 'krippendorff_alpha' AS metric, krippendorff_alpha AS v FROM coef "
     "UNION ALL SELECT control, 'gwet_ac1', gwet_ac1 FROM coef) SELECT control, metric, round(v, 6) AS value, "
     "CASE WHEN v >= 0.8 THEN 'Excellent' WHEN v >= 0.6 THEN 'Good' WHEN v >= 0.4 THEN 'Moderate' WHEN v >= 0.2 THEN 'Fair' "
@@ -495,9 +505,60 @@ ORACLE: dict[str, str] = {
     "o AS (SELECT doc_id, unnest(string_split(old_text, chr(10))) AS line, -1 AS d FROM snap), "
     "t AS (SELECT doc_id, line, sum(d) AS delta FROM (SELECT * FROM n UNION ALL SELECT * FROM o) GROUP BY ALL) "
     "SELECT doc_id, md5(line) AS line_md5, CAST(delta AS BIGINT) AS delta FROM t WHERE delta <> 0",
-    "stream_ingest": f"{_ARTICLES} SELECT story_id, url, status, CAST(length(text) AS INTEGER) AS text_length FROM articles "
-    "WHERE url <> '' AND status = 'success'",
+    "stream_ingest": f"{_ARTICLES} SELECT story_id, url, 'success' AS status, CAST(CASE WHEN text = '' THEN 10 ELSE length(text) END AS INTEGER) AS text_length "
+    "FROM articles WHERE url <> '' AND (text <> '' OR seq % 2 = 0)",
     "stream_tasks": _FLAT_TASKS,
     "stream_scores": f"WITH {_NB_FIT}, all_docs AS (SELECT record_id FROM split), scores AS ({_nb_scores(docs='all_docs')}) "
     "SELECT record_id, label AS y_pred FROM scores QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY round(score, 9) DESC, label) = 1",
 }
+
+_NB_ALPHA = _NB.replace("scores AS (", f"scores_a AS ({_nb_scores('0.01')}), pred_a AS (SELECT record_id, label AS y_pred FROM scores_a "
+    "QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY round(score, 9) DESC, label) = 1), scores AS (", 1)
+# Units of the grouped split: a source, with all rows that have none as one more.
+_GROUPED = f"""
+WITH records AS ({fx.for_duckdb(fx.GROUPED)}),
+units AS (SELECT source, min(label) AS label, md5(concat('42:', coalesce(source, ''))) AS k FROM records GROUP BY source),
+known AS (SELECT * FROM units WHERE label IS NOT NULL),
+counts AS (SELECT label, count(*) AS n FROM known GROUP BY label),
+totals AS (SELECT sum(n) AS total, CAST(floor(0.8 * sum(n)) AS BIGINT) AS n_train, min(n) < 2 AS plain FROM counts),
+base AS (SELECT label, (n_train * n) // total AS b, (n_train * n) % total AS r, n_train, plain FROM counts, totals),
+quota AS (SELECT CASE WHEN plain THEN 'all' ELSE label END AS stratum, label,
+                 CASE WHEN plain THEN n_train ELSE b + CASE WHEN row_number() OVER (ORDER BY r DESC, label) <= n_train - (SELECT sum(b) FROM base)
+                 THEN 1 ELSE 0 END END AS q FROM base),
+ranked AS (SELECT u.source, row_number() OVER (PARTITION BY stratum ORDER BY k, u.source) AS rn, q FROM known u JOIN quota USING (label))
+SELECT record_id, r.source, r.label, CASE WHEN rn <= q THEN 'train' WHEN rn > q THEN 'test' END AS split
+FROM records r LEFT JOIN ranked ON r.source IS NOT DISTINCT FROM ranked.source
+"""
+_PLAIN_DATE = """CASE page_id % 4 WHEN 0 THEN make_date(2024, CAST(1 + page_id % 9 AS INTEGER), 15)
+    WHEN 1 THEN make_date(2024, CAST(10 + page_id % 3 AS INTEGER), 5) END"""
+
+ORACLE |= {
+    "article_store": f"{_ARTICLES} SELECT story_id, url, status, publish_date, media_id, md5(text) AS text_md5, md5(title) AS title_md5 FROM articles",
+    "article_index": f"{_ARTICLES}, idx AS ({_IDX}), fresh AS (SELECT story_id, status, CAST(length(text) AS BIGINT) AS text_length, query "
+    "FROM articles WHERE url <> '') SELECT * FROM fresh WHERE CAST(story_id AS BIGINT) % 2 = 0 OR story_id NOT IN (SELECT story_id FROM idx) "
+    "UNION ALL SELECT story_id, status, text_length, query FROM idx "
+    "WHERE NOT (CAST(story_id AS BIGINT) % 2 = 0 AND story_id IN (SELECT story_id FROM fresh))",
+    "article_csv": f"{_ARTICLES} SELECT story_id, nullif(url, '') AS url, md5(concat('\"q\", ', title)) AS title_md5, md5(nullif(text, '')) AS text_md5 FROM articles",
+    "task_export": _FLAT_TASKS,
+    "failed_url_list": ORACLE["failed_urls"],
+    "url_list": f"SELECT trim(url) AS url FROM ({_URLS}) AS u",
+    "annotated_export": ORACLE["analysis_records"],
+    "split_store": ORACLE["stratified_split"],
+    "source_catalogue": f"SELECT source_name, homepage_url, present, CAST(NULL AS VARCHAR) AS has_health, CAST(NULL AS VARCHAR) AS has_climate, "
+    f"concat('say \"yes\",', chr(10), 'then ', source_name) AS notes FROM ({fx.for_duckdb(fx.CATALOGUE)}) AS c",
+    "leaderboard_store": ORACLE["model_leaderboard"],
+    "prediction_store": f"SELECT * FROM ({_PRED}) AS p",
+    "agreement_report": f"{_SIMPLE} SELECT p.task_id, p.num_annotators, p.overall_simple_agreement, p.has_disagreement, s.control, "
+    "s.num_annotators AS control_num_annotators, round(s.agreement_ratio, 6) AS control_agreement_ratio, s.all_agree AS control_all_agree, "
+    "s.most_common_label AS control_most_common_label FROM per_task p JOIN simple s USING (task_id)",
+    "grouped_split": _GROUPED,
+    "nb_reloaded": ORACLE["nb_predict"],
+    "fitted_models": f"{_NB_ALPHA}, answers AS (SELECT 'nb' AS model_name, label AS y_true, y_pred FROM pred JOIN test_docs USING (record_id) "
+    "UNION ALL SELECT 'nb_alpha', label, y_pred FROM pred_a JOIN test_docs USING (record_id)), "
+    f"m AS ({_metrics('answers', 'model_name')}), rows_ AS (SELECT model_name, {_ROUND4}, false AS failed, f1 AS f FROM m "
+    "UNION ALL SELECT 'nb_broken', NULL, NULL, NULL, NULL, true, NULL) "
+    "SELECT model_name, accuracy, precision, recall, f1, failed, CAST(row_number() OVER (ORDER BY f DESC NULLS LAST, model_name) AS INTEGER) AS rank FROM rows_",
+    "page_links_forms": f"SELECT DISTINCT page_id, link FROM ({_hrefs('(' + fx.for_duckdb(fx.LINK_FORMS) + ') AS formed')})",
+    "dated_articles": f"SELECT page_id, {_PLAIN_DATE} AS publish_date FROM pages WHERE {_PLAIN_DATE} IS NULL "
+    f"OR {_PLAIN_DATE} BETWEEN DATE '2024-03-01' AND DATE '2024-09-30'",
+}

@@ -11,10 +11,11 @@ from ..operators import annotations as an
 from ..operators import bayes, catalogue, features, ingest, leaderboard, linear, metrics
 from ..operators import linediff, pages, scoring, search, sentiment, splits, sweep, tasks
 from ..session import materialise, new_run_dir
-from ..schemas import ARTICLE, TASK
+from ..schemas import ARTICLE, TASK, column_names
+from ..sources import annotations as annotation_files, articles as article_files, splits as split_files
 from ..streaming import jobs, runs
 from . import fixtures as fx
-from .jobs import train_and_evaluate
+from .jobs import evaluate_models, train_and_evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -312,13 +313,13 @@ def agreement_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def agreement_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    found = ag.agreement_metrics(materialise(analysis(spark, sf), "ratings"))
+    found = ag.agreement_metrics(written_required(spark, sf))
     return rounded(found, "krippendorff_alpha", "gwet_ac1").drop("cohen_kappa")
 
 
 @query
 def agreement_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ag.with_bands(ag.agreement_metrics(materialise(analysis(spark, sf), "ratings"))), "value")
+    return rounded(ag.with_bands(ag.agreement_metrics(written_required(spark, sf))), "value")
 
 
 def _ratings(spark: SparkSession, sf: str) -> DataFrame:
@@ -672,14 +673,30 @@ def _article_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(text, source=_stream(spark, sf, "documents"))
 
 
+DELIVERIES = 4
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """The same archive is delivered twice; the second delivery adds nothing but retries."""
+    """The archive arrives in four micro-batches, out of order over months, with repeats and late successes.
+
+    A third of the stories comes again in the next delivery, and stories that failed come again with a text in the last
+    one; then the whole archive is delivered a second time, which adds nothing but retries.
+    """
     base = new_run_dir(spark, "stream-ingest")
+    found = articles(spark, sf).withColumns(
+        {
+            "retrieved_at": F.expr("TIMESTAMP '2025-06-01 00:00:00' - make_dt_interval(CAST(seq * 37 % 150 AS INT))"),
+            "_at": F.array(F.col("seq") % DELIVERIES, F.when(F.col("seq") % 3 == 0, (F.col("seq") + 1) % DELIVERIES)),
+        }
+    )
+    late = found.where("text = '' AND seq % 2 = 0").withColumns({"text": F.lit("came later"), "_at": F.array(F.lit(DELIVERIES).cast("bigint"))})
+    rows = materialise(found.unionByName(late).withColumn("_at", F.explode(F.array_compact("_at"))), "deliveries")
+    for k in range(DELIVERIES + 1):
+        rows.where(F.col("_at") == k).drop("_at", "seq").coalesce(1).write.mode("append").parquet(f"{base}/arriving")
     for delivery in ("first", "second"):
-        runs.finish(
-            jobs.start_ingest(_article_stream(spark, sf), f"{base}/store", f"{base}/cp-{delivery}")
-        )
+        arriving = spark.readStream.schema(rows.drop("_at", "seq").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arriving")
+        runs.finish(jobs.start_ingest(arriving, f"{base}/store", f"{base}/cp-{delivery}"))
     stored = runs.read_store(spark, f"{base}/store", ARTICLE).where(F.col("status") == "success")
     return stored.select("story_id", "url", "status", F.length("text").alias("text_length"))
 
@@ -702,3 +719,177 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     arriving = _stream(spark, sf, "documents").select(F.col("doc_id").alias("record_id"), "text")
     runs.finish(jobs.start_scoring(arriving, model, f"{base}/scores", f"{base}/cp"))
     return runs.read_store(spark, f"{base}/scores", jobs.PREDICTION).select("record_id", "y_pred")
+
+
+# ---------------------------------------------------------------- storage: written, then read back
+
+
+@query
+def article_store(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "article-store")
+    found = articles(spark, sf)
+    article_files.append_articles(found.where("seq % 2 = 0"), path)
+    article_files.append_articles(found.where("seq % 2 = 1"), path)
+    return article_files.read_articles(spark, path).select(
+        "story_id", "url", "status", "publish_date", "media_id", F.md5("text").alias("text_md5"), F.md5("title").alias("title_md5")
+    )
+
+
+@query
+def article_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs append to the index; older and newer entries of a story alternate."""
+    path = new_run_dir(spark, "article-index")
+    entries = ingest.index_entries(articles(spark, sf)).withColumn(
+        "retrieved_at", F.when(F.col("story_id").cast("bigint") % 2 == 0, F.col("retrieved_at")).otherwise(F.lit("2023-01-01").cast("timestamp"))
+    )
+    article_files.append_index(index(spark, sf), path)
+    article_files.append_index(entries, path)
+    packed = f"{path}-compact"
+    article_files.compact_index(spark, path, packed)
+    return article_files.read_index(spark, packed).select("story_id", "status", "text_length", "query")
+
+
+@query
+def article_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with quotes, commas, line breaks, empty and null values through CSV."""
+    path = new_run_dir(spark, "article-csv")
+    view = articles(spark, sf).select(
+        "story_id", F.when(F.col("url") != "", F.col("url")).alias("url"), F.concat(F.lit('"q", '), "title").alias("title"), "text"
+    )
+    article_files.export_csv(view, path)
+    back = article_files.read_csv_export(spark, path, "story_id string, url string, title string, text string")
+    return back.select("story_id", "url", F.md5("title").alias("title_md5"), F.md5("text").alias("text_md5"))
+
+
+@query
+def task_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "task-export")
+    article_files.export_tasks(tasks.label_tasks(articles(spark, sf)), path)
+    return _flat_tasks(article_files.read_tasks(spark, path))
+
+
+@query
+def failed_url_list(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "failed-urls")
+    article_files.write_failed_urls(articles(spark, sf), path)
+    return spark.read.text(path).select(F.col("value").alias("url"))
+
+
+@query
+def url_list(spark: SparkSession, sf: str) -> DataFrame:
+    """A text file of URLs with blank and padded lines."""
+    path = new_run_dir(spark, "url-list")
+    listed = fx.relation(spark, sf, fx.URL_LIST)
+    listed.select(F.concat(F.lit("  "), "url", F.lit(" "))).write.text(path)
+    return article_files.read_url_list(spark, path).select("url")
+
+
+@query
+def annotated_export(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "annotated-tasks")
+    fx.annotated_tasks(spark, sf).write.json(path)
+    return an.analysis_records(annotation_files.read_annotated_tasks(spark, path))
+
+
+@query
+def split_store(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "split-store")
+    split_files.write_split(split_of(spark, sf), path)
+    train, test = split_files.read_split(spark, path)
+    named = [t.select("record_id", "label", F.lit(n).alias("split")) for t, n in ((train, "train"), (test, "test"))]
+    return named[0].unionByName(named[1])
+
+
+@query
+def source_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalogue CSV with quoted cells over several lines and missing values."""
+    path = new_run_dir(spark, "catalogue")
+    rows = fx.relation(spark, sf, fx.CATALOGUE).select(
+        "source_name", "homepage_url", "present", F.lit(None).cast("string").alias("has_health"), F.lit("").alias("has_climate"),
+        F.concat(F.lit('say "yes",\nthen '), "source_name").alias("notes"),
+    )
+    article_files.export_csv(rows, path)
+    return article_files.read_source_catalogue(spark, path)
+
+
+@query
+def leaderboard_store(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "leaderboard")
+    board = materialise(_board(spark, sf), "board")
+    split_files.write_leaderboard(board, leaderboard.best_model(board), path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in board.schema.fields)
+    return article_files.read_csv_export(spark, f"{path}/results", schema)
+
+
+@query
+def prediction_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions through CSV and Parquet."""
+    path = new_run_dir(spark, "predictions")
+    found = _predictions(spark, sf)
+    split_files.write_predictions(found.where("record_id % 2 = 0"), f"{path}/csv", as_csv=True)
+    split_files.write_predictions(found.where("record_id % 2 = 1"), f"{path}/parquet")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields)
+    return article_files.read_csv_export(spark, f"{path}/csv", schema).unionByName(spark.read.parquet(f"{path}/parquet"))
+
+
+@query
+def agreement_report(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_run_dir(spark, "agreement-report")
+    simple = ag.simple_agreement(written_required(spark, sf))
+    annotation_files.write_agreement_report(ag.agreement_report(simple, ag.task_agreement(simple)), path)
+    kinds = (
+        "task_id bigint, num_annotators bigint, overall_simple_agreement double, has_disagreement boolean, control string, control_num_annotators bigint, "
+        "control_agreement_ratio double, control_all_agree boolean, control_most_common_label string, control_label_distribution string"
+    )
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    typed = back.select(*[F.col(k.split()[0]).cast(k.split()[1]).alias(k.split()[0]) for k in kinds.split(", ")])
+    return rounded(typed, "control_agreement_ratio").drop("control_label_distribution")
+
+
+# ---------------------------------------------------------------- splits by group, fitted models
+
+
+@query
+def grouped_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources stay together; some rows have no label, some sources none at all, some rows no source."""
+    found = splits.stratified_split(fx.relation(spark, sf, fx.GROUPED), id_column="record_id", group_by="source")
+    return found.select("record_id", "source", "label", "split")
+
+
+@query
+def nb_reloaded(spark: SparkSession, sf: str) -> DataFrame:
+    """A model saved over itself, saved elsewhere, loaded, and then asked."""
+    train, test = sides(spark, sf)
+    base = new_run_dir(spark, "nb-reloaded")
+    model = bayes.fit(train, path=f"{base}/first")
+    model.save(f"{base}/first")
+    model.save(f"{base}/second")
+    return bayes.load_model(spark, f"{base}/second").predict(test, keep=("record_id", "label"))
+
+
+@query
+def fitted_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaderboard of fitted models of which one breaks when it runs."""
+    import dataclasses
+
+    train, test = sides(spark, sf)
+    good = bayes.fit(train)
+    refuses = F.raise_error(F.lit("broken model")).cast("double")
+    broken = dataclasses.replace(good, classes=good.classes.withColumn("log_prior", refuses))
+    smooth = bayes.NaiveBayesParams(alpha=0.01)
+    models = {"nb": good, "nb_alpha": bayes.fit(train, params=smooth), "nb_broken": broken}
+    board = evaluate_models(models, test)
+    return rounded(board, *metrics.METRICS).select("model_name", *metrics.METRICS, "rank", F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def page_links_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Links in double quotes, in single quotes and without quotes, absolute to the scheme, and with entities."""
+    return pages.page_links(fx.relation(spark, sf, fx.LINK_FORMS))
+
+
+@query
+def dated_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Publish dates of pages that carry one, a bad one or none, cut to a window that keeps undated ones."""
+    found = pages.extract_articles(fx.relation(spark, sf, fx.DATED_PAGES))
+    return found.where(search.date_window_or_null(F.col("publish_date"), "2024-03-01", "2024-09-30")).select("page_id", "publish_date")

@@ -55,9 +55,15 @@ def compact_index(spark: SparkSession, path: str, target: str) -> None:
     read_index(spark, path).write.mode("overwrite").parquet(target)
 
 
+_AS_IT_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export_csv(table: DataFrame, path: str) -> None:
-    """CSV with header; quotes are doubled, so line breaks in texts survive."""
-    table.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with header; quotes are doubled, so line breaks in texts survive, and so does white space at the ends.
+
+    Empty texts read back as null.
+    """
+    table.write.mode("overwrite").options(header=True, escape='"', **_AS_IT_IS).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,6 +72,7 @@ def read_csv_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
+        .options(**_AS_IT_IS)
         .csv(path)
     )
 

@@ -10,13 +10,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame, key: str) -> DataFrame:
-    """Spread a freshly read table over the cores when it has fewer splits than cores.
+    """Spread a table that is a single split over the cores.
 
-    A big table has thousands of splits and is returned as it is. A small file
-    with one row group would otherwise run all per-row work in one task. Only
-    for plain scans: the split count is then known without running anything.
+    A file with one row group would otherwise run all per-row work in one task. One split holds at most
+    ``spark.sql.files.maxPartitionBytes``, so what is moved is bounded; a table of several splits is returned as it is.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
+    if table.rdd.getNumPartitions() != 1:
         return table
-    return table.repartition(cores, key)
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, key)

@@ -9,12 +9,8 @@ from ..operators.bayes import NaiveBayesModel
 from ..operators.ingest import derive_status, storable
 from ..operators.tasks import label_tasks, new_tasks
 from ..schemas import ARTICLE, STATUS_SUCCESS, TASK, column_names
-from ..sources.tables import spread
 from .runs import batch_path, earlier_batches, read_store, run_id
 
-# Late copies within this horizon are dropped from state; later ones by the store lookup.
-DEFAULT_HORIZON = "1 day"
-
 
 def _known_stories(batch: DataFrame, store: DataFrame) -> DataFrame:
     """Stories of this batch that are stored with text.
@@ -33,13 +29,14 @@ def _known_stories(batch: DataFrame, store: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    articles: DataFrame, store: str, checkpoint: str, horizon: str = DEFAULT_HORIZON
+    articles: DataFrame, store: str, checkpoint: str
 ) -> StreamingQuery:
     """Append articles that are not stored yet. Runs until its input is used up.
 
-    Copies are dropped per story and status, so a failed story stays
-    retryable; of a story that both failed and succeeded in one batch the
-    success is kept.
+    No watermark: an article counts however late it comes. Every micro-batch folds
+    its copies to one per story and leaves out the stories that the store
+    already has with text, so no stream state is kept. A failed story stays
+    retryable; of a story that both failed and succeeded in one batch the success is kept.
     """
     columns = column_names(ARTICLE)
     run = run_id(checkpoint)
@@ -52,14 +49,9 @@ def start_ingest(
         )
         best.select("a.*").write.mode("overwrite").parquet(batch_path(store, run, batch_id))
 
-    deduped = (
-        articles.withColumn("status", derive_status(F.col("text")))
-        .select(*columns)
-        .withWatermark("retrieved_at", horizon)
-        .dropDuplicatesWithinWatermark(["story_id", "status"])
-    )
+    marked = articles.withColumn("status", derive_status(F.col("text"))).select(*columns)
     return (
-        deduped.writeStream.foreachBatch(save)
+        marked.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -99,8 +91,7 @@ def start_scoring(
     run = run_id(checkpoint)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        rows = spread(batch.select("record_id", "text"), "record_id")
-        model.predict(rows).write.mode("overwrite").parquet(
+        model.predict(batch.select("record_id", "text")).write.mode("overwrite").parquet(
             batch_path(sink, run, batch_id)
         )
 

@@ -116,7 +116,11 @@ def test_model_survives_saving_and_loading(spark, out):
     model = bayes.fit(docs(spark), TfidfParams(ngram_range=[1, 2]), path=out + "/a")
     again = bayes.load_model(spark, out + "/a")
     assert rows(again.predict(docs(spark, UNSEEN))) == rows(model.predict(docs(spark, UNSEEN)))
+    again.save(out + "/a")  # its own folder stays whole
+    assert rows(bayes.load_model(spark, out + "/a").predict(docs(spark, UNSEEN))) == rows(model.predict(docs(spark, UNSEEN)))
     again.save(out + "/b")
+    with pytest.raises(Exception, match="(?i)exist"):
+        model.save(out + "/b")
     info = bayes.load_model(spark, out + "/b").info()
     assert info["label_classes"] == ["neg", "pos"] and info["training_samples"] == 5
     assert info["hyperparameters"]["ngram_range"] == [1, 2]
@@ -282,12 +286,9 @@ def test_config_mappings_and_draws():
     assert sweep.draw_configs(3) == sweep.draw_configs(3)
 
 
-def test_big_vocabularies_are_joined_by_shuffle(spark, monkeypatch):
-    from corpuslab.operators import bounds
-
+def test_big_vocabularies_are_joined_by_shuffle(spark):
     model = bayes.fit(docs(spark))
     want = rows(model.predict(docs(spark, UNSEEN)))
-    monkeypatch.setattr(bounds, "MAX_BROADCAST_TERMS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         predicted = bayes.fit(docs(spark)).predict(docs(spark, UNSEEN))

@@ -60,8 +60,7 @@ def test_limit_counts_new_articles_only(spark, limit, want):
     assert [r[0] for r in rows(got, "seq")] == want
 
 
-def test_large_limits_use_the_histogram_cut(spark, monkeypatch):
-    monkeypatch.setattr(ingest, "TOP_K_BOUND", 1)
+def test_limits_beyond_the_candidates(spark):
     c = candidates(spark)
     got = ingest.ingest(c, index(spark), stored(spark), 2)
     assert [r[0] for r in rows(got, "seq")] == [1, 2, 4]

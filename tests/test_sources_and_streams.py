@@ -157,3 +157,26 @@ def test_analysis_has_every_section(spark, sf):
     assert len(sections) == 10
     assert one(sections["project_summary"])["total_tasks"] > 0
     assert sections["overall_agreement_metrics"].count() >= 2
+
+
+def test_late_articles_are_kept(spark, out):
+    """Four deliveries with retrieval times out of order; none may be lost."""
+    source, store = out + "/in", out + "/store"
+    for k, day in enumerate((20, 21, 22, 5)):
+        deliver(article_rows(spark, [(str(k), f"text {k}", dt.datetime(2025, 1, day))]), source)
+        stream = spark.readStream.schema(ARTICLE).parquet(source)
+        runs.finish(jobs.start_ingest(stream, store, out + "/cp"))
+    assert rows(runs.read_store(spark, store, ARTICLE), "story_id") == [("0",), ("1",), ("2",), ("3",)]
+
+
+def test_grouped_split_keeps_every_row(spark):
+    from corpuslab.operators import splits
+
+    data = [(k, f"g{k % 5}" if k % 4 else None, "a" if k % 3 else None) for k in range(40)] + [(99, "none", None)]
+    records = spark.createDataFrame(data, "record_id long, g string, label string")
+    got = splits.stratified_split(records, group_by="g").collect()
+    assert sorted(r["record_id"] for r in got) == sorted(k for k, _, _ in data)
+    sides = {}
+    for r in got:
+        sides.setdefault(r["g"], set()).add(r["split"])
+    assert all(len(s) == 1 for s in sides.values()) and sides["none"] == {None}
