@@ -28,10 +28,10 @@ class Settings:
     rank: int = 128  # latent dimensions, at most
     oversample: int = 16
     half: int = 32  # words of half a passage; passages overlap by half
-    min_cosine: float = 0.35
+    min_cosine: float = 0.3
     min_idf: float = 0.7  # terms in about half of all passages or more carry no weight
-    min_overlap: float = 0.7  # of an item's words, in order
-    min_answer: float = 0.5  # of its answer's words, in order
+    min_overlap: float = 0.6  # of an item's words, in order
+    min_answer: float = 0.4  # of its answer's words, in order
     answer_share: float = 0.2
     stretch: float = 1.6  # words of the document that the match may span, times those of the item
     block_items: int = 1000  # benchmark items that are broadcast together
