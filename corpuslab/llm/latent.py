@@ -13,6 +13,7 @@ import math
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,7 @@ def _items(rows: list, half: int) -> Items:
 
 def _numbers(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
     found = words_of(text)
-    get = vocab.get
-    return np.fromiter((get(w, -1) for w in found), np.int64, len(found))
+    return np.fromiter(map(vocab.get, found, repeat(-1)), np.int64, len(found))
 
 
 def passage_counts(docs: DataFrame, items: Items, half: int, text_column: str) -> tuple[int, np.ndarray]:
