@@ -35,9 +35,13 @@ def validate_dates(start: dt.date, end: dt.date, today: dt.date | None = None) -
 def date_between(
     column: Column, start: str | dt.date | None = None, end: str | dt.date | None = None
 ) -> Column:
-    """Inclusive date window with the default bounds filled in; null dates fail."""
+    """Inclusive date window with the default bounds filled in; null dates fail.
+
+    A reversed window, or a bound in the future, is an error rather than an empty result.
+    """
     first = parse_day(start, DEFAULT_START)
     last = parse_day(end, dt.date.today())
+    validate_dates(first, last)
     return column.between(F.lit(first), F.lit(last))
 
 

@@ -348,13 +348,18 @@ pe AS (SELECT sum(na * nb) AS cross_ FROM
        (SELECT b AS label, CAST(count(*) AS DOUBLE) AS nb FROM pairs GROUP BY b) USING (label))
 """
 
-_BATCH = """
-WITH dims AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
-mean AS (SELECT label, dim, avg(CAST(x AS DOUBLE)) AS c FROM dims GROUP BY ALL),
+_VECTOR_SPLIT = _SPLIT.replace(
+    "doc_id AS record_id, text, lang AS label, md5(concat('42:', CAST(doc_id AS VARCHAR))) AS k",
+    "vec_id AS record_id, embedding AS text, CAST(label AS VARCHAR) AS label, md5(concat('42:', CAST(vec_id AS VARCHAR))) AS k",
+).replace("documents", "embeddings")
+_BATCH = f"""
+WITH {_VECTOR_SPLIT},
+dims AS (SELECT record_id, label, split, unnest(text) AS x, generate_subscripts(text, 1) AS dim FROM split),
+mean AS (SELECT label, dim, avg(CAST(x AS DOUBLE)) AS c FROM dims WHERE split = 'train' GROUP BY ALL),
 bias AS (SELECT label, -0.5 * sum(c * c) AS b FROM mean GROUP BY label),
-score AS (SELECT d.vec_id, d.label AS label, m.label AS cls, sum(CAST(d.x AS DOUBLE) * m.c) + any_value(b) AS s
-          FROM dims d JOIN mean m USING (dim) JOIN bias ON bias.label = m.label GROUP BY ALL)
-SELECT vec_id, label, CAST(cls AS VARCHAR) AS y_pred FROM score
+score AS (SELECT d.record_id AS vec_id, d.label AS label, m.label AS cls, sum(CAST(d.x AS DOUBLE) * m.c) + any_value(b) AS s
+          FROM dims d JOIN mean m USING (dim) JOIN bias ON bias.label = m.label WHERE d.split = 'test' GROUP BY ALL)
+SELECT vec_id, label, cls AS y_pred FROM score
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cls) = 1
 """
 

@@ -558,19 +558,22 @@ def prediction_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.prediction_distribution(_inferred(spark, sf))
 
 
+def _vector_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    vectors = fx.table(spark, sf, "embeddings").withColumn("label", F.col("label").cast("string"))
+    split = splits.stratified_split(vectors, id_column="vec_id")
+    return split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
+
+
 @query
 def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = fx.table(spark, sf, "embeddings")
-    return scoring.score_batches(
-        vectors, linear.centroid_scorer(vectors), "embedding", keep=["vec_id", "label"]
-    )
+    train, test = _vector_sides(spark, sf)
+    return scoring.score_batches(test, linear.centroid_scorer(train), "embedding", keep=["vec_id", "label"])
 
 
 @query
 def linear_recipe(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = fx.table(spark, sf, "embeddings")
-    model = linear.fit_linear_vectors(vectors)
-    return linear.predict_linear(model, vectors, "embedding", keep=("vec_id",))
+    train, test = _vector_sides(spark, sf)
+    return linear.predict_linear(linear.fit_linear_vectors(train), test, "embedding", keep=("vec_id", "label"))
 
 
 # ---------------------------------------------------------------- pages and sources
