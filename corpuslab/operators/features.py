@@ -43,6 +43,7 @@ class TfidfParams:
 
     @classmethod
     def from_mapping(cls, params: Mapping) -> TfidfParams:
+        params = {k: v for k, v in params.items() if k != "dtype"}  # weights are always doubles
         unknown = set(params) - {f.name for f in fields(cls)}
         if unknown:
             raise ValueError(f"unknown feature parameters: {sorted(unknown)}")

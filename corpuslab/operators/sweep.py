@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
 from ..session import materialise
-from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, score_sums
+from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
 from .features import TfidfParams, document_tokens, idf_value, tf_value
 from .metrics import METRICS, weighted_metrics
 
@@ -26,19 +26,38 @@ class NaiveBayesConfig:
     ngram_hi: int = 1
     min_df: int | float = 1
     max_df: int | float = 1.0
+    features: TfidfParams = TfidfParams()  # of its fields all but the three above
+    fit_prior: bool = True
+    class_prior: tuple[float, ...] | None = None
+
+    def shared(self) -> tuple:
+        """What configurations must have in common to be fitted in one plan."""
+        rest = {k: tuple(v) if isinstance(v, list) else v for k, v in self.features.as_dict().items()}
+        return (*sorted(rest.items()), self.fit_prior, self.class_prior)
+
+    def whole(self) -> tuple[TfidfParams, NaiveBayesParams]:
+        """The parameters of a single fit."""
+        own = {"ngram_range": (self.ngram_lo, self.ngram_hi), "min_df": self.min_df, "max_df": self.max_df}
+        return replace(self.features, **own), NaiveBayesParams(self.alpha, self.fit_prior, self.class_prior)
 
 
 def configs_from_mappings(models: Sequence[Mapping]) -> list[NaiveBayesConfig]:
     """Configurations from ``{name, model_params}`` entries; unknown parameters are an error."""
-    known = {"alpha", "ngram_range", "min_df", "max_df"}
+    own = {"alpha", "min_df", "max_df", "fit_prior"}
     out = []
     for model in models:
         params = dict(model.get("model_params", {}))
-        unknown = set(params) - known
-        if unknown:
-            raise ValueError(f"{model.get('name')}: unknown parameters {sorted(unknown)}")
         low, high = params.pop("ngram_range", (1, 1))
-        out.append(NaiveBayesConfig(model["name"], ngram_lo=low, ngram_hi=high, **params))
+        prior = params.pop("class_prior", None)
+        mine = {k: params.pop(k) for k in own & set(params)}
+        try:
+            features = TfidfParams.from_mapping(params)
+        except ValueError as error:
+            raise ValueError(f"{model.get('name')}: {error}") from None
+        prior = None if prior is None else tuple(prior)
+        out.append(
+            NaiveBayesConfig(model["name"], ngram_lo=low, ngram_hi=high, features=features, class_prior=prior, **mine)
+        )
     return out
 
 
@@ -87,17 +106,39 @@ def fit_and_predict_many(
     train: DataFrame,
     test: DataFrame,
     configs: Sequence[NaiveBayesConfig],
-    params: TfidfParams = TfidfParams(),
 ) -> DataFrame:
     """Predictions ``(config_id, record_id, y_true, y_pred)`` of all configurations.
 
+    Configurations that differ in smoothing, n-grams and document-frequency bounds only share one plan; the
+    others form a plan for each set of further parameters. One that bounds the vocabulary by
+    ``max_features`` is fitted by itself.
+    """
+    out, groups = None, {}
+    for c in configs:
+        if c.alpha <= 0:
+            raise ValueError("alpha must be positive in every configuration")
+        groups.setdefault((c.config_id,) if c.features.max_features else c.shared(), []).append(c)
+    for group in groups.values():
+        if group[0].features.max_features:
+            model = fit(train, *group[0].whole())
+            part = model.predict(test, keep=("record_id", "label")).select(
+                F.lit(group[0].config_id).alias("config_id"), "record_id", F.col("label").alias("y_true"), "y_pred"
+            )
+        else:
+            part = _predict_group(train, test, group)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBayesConfig]) -> DataFrame:
+    """Predictions of configurations that share all but smoothing, n-grams and document-frequency bounds.
+
     Tokens and document frequencies are computed once. Pruning decides per term
     which configurations use it, and ``config_id`` is one more group key from
     there on. A configuration left without vocabulary yields no rows. The
     vocabulary and the term sums are written once, which runs jobs.
     """
-    if any(c.alpha <= 0 for c in configs):
-        raise ValueError("alpha must be positive in every configuration")
+    params = configs[0].features
     low, high = min(c.ngram_lo for c in configs), max(c.ngram_hi for c in configs)
     labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
     n_docs = labelled.agg(F.count("*")).scalar()
@@ -163,9 +204,14 @@ def fit_and_predict_many(
     vocab_sizes = used.groupBy("config_id", "alpha").agg(F.count("*").alias("v"))
     docs = labelled.groupBy("label").agg(F.count("*").alias("n_docs"))
     everything = W.partitionBy(F.lit(1))
-    priors = docs.select(
-        "label", F.log(F.col("n_docs") / F.sum("n_docs").over(everything)).alias("log_prior")
-    )
+    if configs[0].class_prior is not None:
+        given = F.array(*[F.lit(float(p)) for p in configs[0].class_prior])
+        log_prior = F.log(F.element_at(given, F.row_number().over(everything.orderBy("label"))))
+    elif configs[0].fit_prior:
+        log_prior = F.log(F.col("n_docs") / F.sum("n_docs").over(everything))
+    else:
+        log_prior = -F.log(F.count("*").over(everything).cast("double"))
+    priors = docs.select("label", log_prior.alias("log_prior"))
     # Every used configuration meets every training class, also one without terms.
     all_priors = priors.agg(F.collect_list(F.struct("label", "log_prior"))).scalar()
     classes = (
@@ -228,10 +274,9 @@ def evaluate_many(
     train: DataFrame,
     test: DataFrame,
     configs: Sequence[NaiveBayesConfig],
-    params: TfidfParams = TfidfParams(),
 ) -> DataFrame:
     """Metrics per configuration; one that finds no vocabulary gets a row of nulls."""
-    metrics = weighted_metrics(fit_and_predict_many(train, test, configs, params), ["config_id"])
+    metrics = weighted_metrics(fit_and_predict_many(train, test, configs), ["config_id"])
     spark = train.sparkSession
     names = spark.createDataFrame([(c.config_id,) for c in configs], "config_id string")
     return names.join(metrics, "config_id", "left")

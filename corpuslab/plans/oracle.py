@@ -567,3 +567,47 @@ ORACLE |= {
     "dated_articles": f"SELECT page_id, {_PLAIN_DATE} AS publish_date FROM pages WHERE {_PLAIN_DATE} IS NULL "
     f"OR {_PLAIN_DATE} BETWEEN DATE '2024-03-01' AND DATE '2024-09-30'",
 }
+
+
+def _variant(t: str, tf: str = "tf", idf: str = "ln((1.0 + n) / (1.0 + df)) + 1.0", size: str = "sqrt(sum(w * w))", tokens: str = _TOKENS, prior: str = "ln(k / n)") -> str:
+    """CTEs ``weights_t`` and ``pred_t`` of one variant, with alpha 0.5; ``n`` documents, ``k`` of a class, ``c`` classes, ``i`` its place."""
+    return f"""
+tf_{t} AS (SELECT record_id, label, split, term, count(*) AS tf FROM (SELECT record_id, label, split, unnest({tokens}) AS term FROM split) GROUP BY ALL),
+voc_{t} AS (SELECT term, count(*) AS df, (SELECT count(*) FROM split WHERE split = 'train') AS n FROM tf_{t} WHERE split = 'train' GROUP BY term),
+raw_{t} AS (SELECT record_id, label, split, term, CAST(({tf}) * ({idf}) AS DOUBLE) AS w FROM tf_{t} JOIN voc_{t} USING (term)),
+size_{t} AS (SELECT record_id, {size} AS size FROM raw_{t} GROUP BY record_id),
+weights_{t} AS (SELECT record_id, label, split, term, w / size AS weight FROM raw_{t} JOIN size_{t} USING (record_id)),
+nct_{t} AS (SELECT label, term, sum(weight) AS m FROM weights_{t} WHERE split = 'train' GROUP BY ALL),
+cls_{t} AS (SELECT label, lp, coalesce(m, 0) AS m, v FROM (SELECT label, {prior} AS lp FROM (
+              SELECT label, CAST(count(*) AS DOUBLE) AS k, sum(count(*)) OVER () AS n, count(*) OVER () AS c, row_number() OVER (ORDER BY label) AS i
+              FROM split WHERE split = 'train' GROUP BY label))
+            LEFT JOIN (SELECT label, sum(m) AS m FROM nct_{t} GROUP BY label) USING (label), (SELECT count(*) AS v FROM voc_{t})),
+pred_{t} AS (SELECT record_id, y_true, cl AS y_pred FROM (
+    SELECT d.record_id, d.label AS y_true, p.label AS cl,
+           round(p.lp + coalesce(s.total, 0) * (ln(0.5) - ln(p.m + 0.5 * v)) + coalesce(g.gain, 0), 9) AS score
+    FROM (SELECT record_id, label FROM split WHERE split = 'test') d CROSS JOIN cls_{t} p
+    LEFT JOIN (SELECT record_id, sum(weight) AS total FROM weights_{t} GROUP BY record_id) s USING (record_id)
+    LEFT JOIN (SELECT w.record_id, x.label AS cl, sum(w.weight * (ln(x.m + 0.5) - ln(0.5))) AS gain
+               FROM weights_{t} w JOIN nct_{t} x USING (term) GROUP BY ALL) g ON g.record_id = d.record_id AND g.cl = p.label)
+  QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY score DESC, cl) = 1)
+"""
+
+
+_VARIANTS = {
+    "binary_l1": _variant("binary_l1", tf="1.0", size="sum(w)"),
+    "sublinear_plain": _variant("sublinear_plain", tf="1.0 + ln(tf)", idf="ln(n / df) + 1.0", size="1.0"),
+    "counts": _variant("counts", idf="1.0", size="1.0", prior="-ln(c)"),
+    "cased_stops": _variant(
+        "cased_stops", prior="ln([0.1, 0.2, 0.3, 0.4][i])",
+        tokens=f"list_filter({_TOKENS.replace('lower(text)', 'text')}, lambda z: z NOT IN ('the', 'der', 'und', 'la'))",
+    ),
+}
+_ALL_VARIANTS = f"WITH {_SPLIT}, " + ", ".join(_VARIANTS.values())
+ORACLE |= {
+    "tfidf_variants": f"{_ALL_VARIANTS} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS variant, record_id, term, round(weight, 6) AS weight FROM weights_{t} WHERE split = 'test'" for t in _VARIANTS
+    ),
+    "nb_documented_parameters": f"{_ALL_VARIANTS}, answers AS (" + " UNION ALL ".join(f"SELECT '{t}' AS config_id, y_true, y_pred FROM pred_{t}" for t in _VARIANTS)
+    + f"), m AS ({_metrics('answers', 'config_id')}) SELECT config_id, {_ROUND4} FROM m",
+    "sweep_resume": f"WITH trials AS ({ORACLE['nb_alpha_sweep']}) SELECT trial, alpha, f1 AS value FROM trials ORDER BY f1 DESC, trial LIMIT 1",
+}

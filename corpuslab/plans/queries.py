@@ -896,3 +896,50 @@ def dated_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Publish dates of pages that carry one, a bad one or none, cut to a window that keeps undated ones."""
     found = pages.extract_articles(fx.relation(spark, sf, fx.DATED_PAGES))
     return found.where(search.date_window_or_null(F.col("publish_date"), "2024-03-01", "2024-09-30")).select("page_id", "publish_date")
+
+
+# ---------------------------------------------------------------- documented parameters
+
+VARIANTS = {
+    "binary_l1": {"binary": True, "norm": "l1"},
+    "sublinear_plain": {"sublinear_tf": True, "smooth_idf": False, "norm": None},
+    "counts": {"use_idf": False, "norm": None, "dtype": "float64"},
+    "cased_stops": {"lowercase": False, "stop_words": ["the", "der", "und", "la"]},
+}
+
+
+@query
+def tfidf_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of the test side under other term counts, weights, norms and token rules."""
+    train, test = sides(spark, sf)
+    out = None
+    for name, values in VARIANTS.items():
+        params = features.TfidfParams.from_mapping(values)
+        counted = features.term_frequencies(train, params, keep=())
+        vocab = materialise(features.vocabulary(counted, features.document_count(train), params), "vocabulary")
+        part = features.tfidf(test, vocab, params).drop("idf").withColumn("variant", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, "weight")
+
+
+@query
+def nb_documented_parameters(spark: SparkSession, sf: str) -> DataFrame:
+    """Models from configuration mappings that use the further documented parameters, in one multi-model run."""
+    priors = {"counts": {"fit_prior": False}, "cased_stops": {"class_prior": [0.1, 0.2, 0.3, 0.4]}}
+    models = [{"name": n, "model_params": {**v, **priors.get(n, {}), "alpha": 0.5}} for n, v in VARIANTS.items()]
+    found = sweep.evaluate_many(*sides(spark, sf), sweep.configs_from_mappings(models))
+    return rounded(found.drop("n_rows"), *metrics.METRICS)
+
+
+@query
+def sweep_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """A smoothing sweep in two sittings with a stored history; the best of all trials."""
+    path = new_run_dir(spark, "sweep-history")
+    train, test = sides(spark, sf)
+    model = bayes.fit(train)
+    sweep.alpha_sweep(model, test, ALPHAS[:2]).write.parquet(path)
+    planned = spark.createDataFrame(ALPHAS, "trial int, alpha double")
+    rest = [(r["trial"], r["alpha"]) for r in sweep.remaining_trials(planned, spark.read.parquet(path)).collect()]
+    sweep.alpha_sweep(model, test, sorted(rest)).write.mode("append").parquet(path)
+    history = rounded(spark.read.parquet(path), *metrics.METRICS)
+    return sweep.best_trial(history)

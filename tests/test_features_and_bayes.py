@@ -254,6 +254,8 @@ def test_many_configs_equal_single_fits(spark):
         sweep.NaiveBayesConfig("a", alpha=0.5),
         sweep.NaiveBayesConfig("b", alpha=1.0, ngram_hi=2, min_df=2),
         sweep.NaiveBayesConfig("none", min_df=100),
+        sweep.NaiveBayesConfig("top", features=TfidfParams(max_features=3, norm=None)),
+        sweep.NaiveBayesConfig("prior", features=TfidfParams(binary=True), class_prior=(0.9, 0.1)),
     ]
     many = sweep.fit_and_predict_many(train, test, configs)
     single_a = bayes.fit(train, params=NaiveBayesParams(alpha=0.5)).predict(test)
@@ -261,7 +263,9 @@ def test_many_configs_equal_single_fits(spark):
     assert rows(many.where("config_id = 'a'"), "record_id", "y_pred") == rows(single_a)
     assert rows(many.where("config_id = 'b'"), "record_id", "y_pred") == rows(single_b)
     metrics = {r["config_id"]: r["f1"] for r in sweep.evaluate_many(train, test, configs).collect()}
-    assert set(metrics) == {"a", "b", "none"} and metrics["none"] is None
+    assert set(metrics) == {"a", "b", "none", "top", "prior"} and metrics["none"] is None
+    for c in configs[3:]:
+        assert rows(many.where(F.col("config_id") == c.config_id), "record_id", "y_pred") == rows(bayes.fit(train, *c.whole()).predict(test))
 
 
 def test_alpha_sweep_resume_and_best(spark):

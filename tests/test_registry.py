@@ -16,7 +16,7 @@ from check_oracle import table_of  # noqa: E402
 from corpuslab.plans.queries import REGISTRY as QUERIES  # noqa: E402
 
 # Fitted and streamed queries are compared by tools/check_oracle.py, which runs every twin.
-SLOW = {n for n in QUERIES if n.startswith(("nb_", "stream_", "url_inf", "prediction_", "linear_", "fitted_"))}
+SLOW = {n for n in QUERIES if n.startswith(("nb_", "stream_", "url_inf", "prediction_", "linear_", "fitted_", "sweep_"))}
 
 
 @pytest.fixture(scope="module")
