@@ -5,12 +5,20 @@ randomised SVD of the passages' TF-IDF matrix, computed by Spark jobs over the p
 the benchmark. Every overlapping passage of every document is projected into it and compared with all
 benchmark passages by cosine. Candidates are then checked in the text: the longest common subsequence of words must
 cover most of the item, and of its answer (its last words), within a stretch of the document of about the item's length.
+
+The latent space of a large block keeps only a part of each item, so a second, exact gate completes the candidates. A match
+needs ``need`` of an item's ``n`` words; of its ``n - need + k`` rarest words it then holds ``k`` at least. An index
+of these words counts them in windows that overlap so far that every stretch lies whole in one. Agreement in frequent
+words alone is chance: without a cosine over the gate, the stretch must also hold a share of the item's weight, the sum of
+its words' corpus weights. So such a pair is found whatever the rank and the other items of the block.
 """
 
 from __future__ import annotations
 
 import math
 import string
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -34,15 +42,35 @@ class Settings:
     min_overlap: float = 0.6  # of an item's words, in order
     min_answer: float = 0.4  # of its answer's words, in order
     answer_share: float = 0.2
+    min_share: float = 0.3  # of an item's weight, for candidates of the exact gate
     stretch: float = 1.6  # words of the document that the match may span, times those of the item
     block_items: int = 1000  # benchmark items that are broadcast together
 
+    def need(self, n: int) -> int:
+        """Words of an item of ``n`` words that a match holds at least."""
+        return max(1, math.ceil(self.min_overlap * n - 1e-9))
+
+    def reach(self, n: int) -> int:
+        """Words of a document that a match with an item of ``n`` words may span."""
+        return max(n + 4, int(n * self.stretch))
+
 
 def words_of(text: bytes) -> list[bytes]:
     """Lower-case words; ASCII punctuation parts words."""
     return text.decode().lower().encode().translate(_SPACES).split()
 
 
+@dataclass
+class Index:
+    """Rare words of the items whose stretches fit windows of two cells of ``size`` words."""
+
+    size: int
+    first: np.ndarray  # of each term, and one more: where its postings begin
+    item: np.ndarray
+    times: np.ndarray  # how often the item's rare words hold the term
+    least: np.ndarray  # of each item of the block: rare words that a match holds at least
+
+
 @dataclass
 class Items:
     """A bounded block of benchmark items, with the latent space fitted to their passages."""
@@ -54,6 +82,8 @@ class Items:
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
     space: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # terms x rank
     targets: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # passages x rank, unit length
+    rare: list[Index] = field(default_factory=list)
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))  # of each term; small, not zero, for frequent ones
 
 
 def _items(rows: list, half: int) -> Items:
@@ -75,6 +105,65 @@ def _numbers(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(vocab.get, found, repeat(-1)), np.int64, len(found))
 
 
+def rare_words(items: Items, counts: np.ndarray, settings: Settings) -> list[Index]:
+    """The exact gate: one index for each size of windows, by the terms' passage counts in the corpus."""
+    n_terms, least = len(items.vocab), np.ones(len(items.ids), np.int64)
+    found: dict[int, list[np.ndarray]] = {}
+    for item, words in enumerate(items.words):
+        n = len(words)
+        need = settings.need(n)
+        least[item] = max(1, need // 2)
+        rare = words[np.lexsort((words, counts[words]))][: n - need + least[item]]
+        terms, times = np.unique(rare, return_counts=True)
+        size = 1 << (max(settings.half, settings.reach(n)) - 1).bit_length()
+        found.setdefault(size, []).append(np.stack([terms, np.full(len(terms), item), times]))
+    out = []
+    for size, parts in sorted(found.items()):
+        terms, item, times = np.concatenate(parts, axis=1)
+        order = np.argsort(terms, kind="stable")
+        out.append(Index(size, np.searchsorted(terms[order], np.arange(n_terms + 1)), item[order], times[order], least))
+    return out
+
+
+def shared_words(at: np.ndarray, found: np.ndarray, index: Index, n_items: int) -> Iterator[tuple[int, int]]:
+    """(first word, item) of every window that holds enough of an item's rare words; ``at`` has the places of the terms ``found``."""
+    n_terms, size, step = len(index.first) - 1, index.size, max(1, (1 << 17) // index.size)
+    held = index.first[found + 1] > index.first[found]
+    at, found = at[held], found[held]
+    for begin in range(0, int(at[-1]) // size + 1 if len(at) else 0, step):  # bounded memory for very long texts
+        part = slice(*np.searchsorted(at, (begin * size, (begin + step + 1) * size)))
+        cell, terms = at[part] // size, found[part]
+        windows = np.concatenate([cell, cell - 1])
+        inside = (windows >= begin) & (windows < begin + step)
+        keys, counts = np.unique((windows * n_terms + np.concatenate([terms, terms]))[inside], return_counts=True)
+        window, term = keys // n_terms, keys % n_terms
+        n = index.first[term + 1] - index.first[term]
+        place = np.repeat(index.first[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        held = np.minimum(np.repeat(counts, n), index.times[place])
+        pairs, inverse = np.unique(np.repeat(window, n) * n_items + index.item[place], return_inverse=True)
+        total = np.bincount(inverse, held, len(pairs))
+        for pair in pairs[total >= index.least[pairs % n_items]].tolist():
+            yield pair // n_items * size, pair % n_items
+
+
+def windows(founds: list[np.ndarray], items: Items) -> list[list[tuple[int, int, int]]]:
+    """(size, first word, item) of the exact gate's windows for each of some documents, which lie too far apart to share one."""
+    out: list[list[tuple[int, int, int]]] = [[] for _ in founds]
+    if not items.rare:
+        return out
+    pad = items.rare[-1].size  # all sizes are powers of two
+    starts = np.cumsum([0] + [(-(-len(f) // pad) + 1) * pad for f in founds])
+    places = [np.flatnonzero(f >= 0) for f in founds]
+    at = np.concatenate([p + s for p, s in zip(places, starts[:-1].tolist(), strict=True)])
+    terms = np.concatenate([f[p] for f, p in zip(founds, places, strict=True)])
+    for index in items.rare:
+        for place, item in shared_words(at, terms, index, len(items.ids)):
+            doc = int(np.searchsorted(starts, place, "right")) - 1
+            if (first := place - int(starts[doc])) < len(founds[doc]):  # otherwise the next document's first cell, again
+                out[doc].append((2 * index.size, first, item))
+    return out
+
+
 def passage_counts(docs: DataFrame, items: Items, half: int, text_column: str) -> tuple[int, np.ndarray]:
     """Number of passages of the corpus, and of those that hold each term; folded in the tasks, then summed by term."""
     size, n_terms = 2 * half, len(items.vocab)
@@ -182,6 +271,7 @@ def fit(docs: DataFrame, rows: list, settings: Settings, text_column: str = "tex
     items = _items(rows, settings.half)
     total, counts = passage_counts(docs, items, settings.half, text_column)
     idf = np.log((total + 1) / (counts + 1)) + 1e-9
+    items.weights = idf
     items.idf = np.where(idf < settings.min_idf, 0.0, idf)
     found = [p for _, p in items.passages]
     spark = docs.sparkSession
@@ -191,6 +281,7 @@ def fit(docs: DataFrame, rows: list, settings: Settings, text_column: str = "tex
     length = np.linalg.norm(targets, axis=1, keepdims=True)
     items.space = (space * items.idf[:, None]).astype(np.float32)
     items.targets = np.divide(targets, length, out=np.zeros_like(targets), where=length > 0).astype(np.float32)
+    items.rare = rare_words(items, counts, settings)
     return items
 
 
@@ -208,44 +299,79 @@ def common_subsequence(item: list[int], words: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-def best_overlap(item: np.ndarray, found: np.ndarray, at: int, size: int, settings: Settings) -> tuple[float, float]:
-    """Largest share of an item's words, and of its answer's, in order within any stretch near a passage of a document."""
+def _weight(words: Counter, weights: np.ndarray) -> float:
+    return float(sum(weights[w] * n for w, n in words.items()))
+
+
+def best_overlap(item: np.ndarray, found: np.ndarray, at: int, size: int, settings: Settings, weights: np.ndarray | None = None) -> tuple[float, float]:
+    """Largest share of an item's words, and of its answer's, in order within any stretch near a passage of a document.
+
+    Stretches that hold enough of both come before those that hold more words without the answer. With ``weights``,
+    stretches with less than the least share of the item's weight do not count.
+    """
     n = len(item)
-    span = max(n + 4, int(n * settings.stretch))
+    span = settings.reach(n)
     start, stop = max(0, at - span), min(len(found), at + size + span)
     near = found[start:stop]
     hits = np.flatnonzero(np.isin(near, item))
-    if len(hits) < settings.min_overlap * n:
+    need = settings.need(n)
+    if len(hits) < need:
         return 0.0, 0.0
     target, tail = item.tolist(), item[n - max(1, math.ceil(n * settings.answer_share)) :].tolist()
-    best, answer, step, done = 0, 0, max(1, n // 4), -1
-    need = settings.min_overlap * n
-    for first in hits.tolist():  # stretches that begin with a word of the item, a quarter of an item apart at least
+    best, step, done = (False, 0, 0), max(1, n // 4), -1
+    for first in hits.tolist():  # a quarter of an item apart at least; the steps in between lie in the second stretch
         if done >= 0 and first - done < step:
             continue
-        inside = hits[(hits >= first - step) & (hits < first + span)]
         done = first
-        if len(inside) < need:
-            continue
-        part = near[inside].tolist()
-        if (got := common_subsequence(target, part)) > best:
-            best, answer = got, common_subsequence(tail, part)
-    return best / n, answer / len(tail)
+        for begin in (first - step, first):
+            inside = hits[np.searchsorted(hits, begin) : np.searchsorted(hits, begin + step + span)]
+            if len(inside) < need:
+                continue
+            part = near[inside].tolist()
+            got = common_subsequence(target, part)
+            if got < need:
+                continue
+            if weights is not None and _weight(Counter(part) & Counter(target), weights) < settings.min_share * _weight(Counter(target), weights):
+                continue
+            answer = common_subsequence(tail, part)
+            best = max(best, (answer >= settings.min_answer * len(tail), got, answer))
+    return best[1] / n, best[2] / len(tail)
+
+
+def all_matches(texts: list[bytes], items: Items, settings: Settings) -> Iterator[dict[int, tuple[float, float]]]:
+    """``matches`` of every text, in order; the exact gate takes some texts at a time."""
+    founds, held = [], 0
+    for k, text in enumerate(texts):
+        founds.append(_numbers(text, items.vocab))
+        held += len(founds[-1])
+        if held > 1 << 17 or k == len(texts) - 1:
+            for found, near in zip(founds, windows(founds, items), strict=True):
+                yield matches(found, near, items, settings)
+            founds, held = [], 0
+
+
+def matches(found: np.ndarray, near: list[tuple[int, int, int]], items: Items, settings: Settings) -> dict[int, tuple[float, float]]:
+    """Items that a document holds: overlap and best cosine, by the item's place in the block; ``near`` has its windows."""
+    half = settings.half
+    out: dict[int, tuple[float, float]] = {}
+    known = np.flatnonzero(found >= 0)
+    if not len(known):
+        return out
 
+    def check(item: int, at: int, size: int, cosine: float, weights: np.ndarray | None = None) -> None:
+        overlap, answer = best_overlap(items.words[item], found, at, size, settings, weights)
+        if overlap >= settings.min_overlap and answer >= settings.min_answer:
+            was = out.get(item, (0.0, 0.0))
+            out[item] = (max(was[0], overlap), max(was[1], cosine))
 
-def matches(found: np.ndarray, items: Items, settings: Settings) -> dict[int, tuple[float, float]]:
-    """Items that a document holds: overlap and best cosine, by the item's place in the block."""
-    half = settings.half
-    hit = np.flatnonzero(found >= 0)
-    hit = hit[items.idf[found[hit]] > 0] if len(hit) else hit
-    if not len(hit):
-        return {}
     n_halves = -(-len(found) // half)
+    hit = known[items.idf[found[known]] > 0]
     part = hit // half
-    lead = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    lead = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(hit) else hit
     terms = found[hit]
     sums = np.zeros((n_halves + 1, items.space.shape[1]), np.float32)
-    sums[part[lead]] = np.add.reduceat(items.space[terms], lead, axis=0)
+    if len(hit):
+        sums[part[lead]] = np.add.reduceat(items.space[terms], lead, axis=0)
     # squared length in term space: counts of a term within a passage
     keys = np.concatenate([part * len(items.idf) + terms, (part - 1) * len(items.idf) + terms])
     keys = keys[keys >= 0]
@@ -254,16 +380,17 @@ def matches(found: np.ndarray, items: Items, settings: Settings) -> dict[int, tu
     squares = np.bincount(keys // len(items.idf), x * x, n_halves)
     passages = sums[:-1] + sums[1:]
     length = np.sqrt(np.maximum(squares[:n_halves], 1e-12))
-    out: dict[int, tuple[float, float]] = {}
     for begin in range(0, n_halves, 4096):
         cosines = (passages[begin : begin + 4096] @ items.targets.T) / length[begin : begin + 4096, None]
         rows, columns = np.nonzero(cosines >= settings.min_cosine)
         for row, column in zip(rows.tolist(), columns.tolist(), strict=True):
-            item = items.passages[column][0]
-            overlap, answer = best_overlap(items.words[item], found, (begin + row) * half, 2 * half, settings)
-            if overlap >= settings.min_overlap and answer >= settings.min_answer:
-                was = out.get(item, (0.0, 0.0))
-                out[item] = (max(was[0], overlap), max(was[1], float(cosines[row, column])))
+            check(items.passages[column][0], (begin + row) * half, 2 * half, float(cosines[row, column]))
+    for size, at, item in near:
+        first = bisect_left(items.passages, item, key=lambda p: p[0])
+        last = bisect_left(items.passages, item + 1, key=lambda p: p[0])
+        rows = slice(at // half, (at + size) // half)
+        cosines = (passages[rows] @ items.targets[first:last].T) / length[rows, None]
+        check(item, at, size, float(cosines.max(initial=0.0)), items.weights)
     return out
 
 
@@ -281,7 +408,7 @@ def contaminated(
 ) -> DataFrame:
     """Pairs of document and benchmark item: ``id_column``, ``item_column``, ``overlap`` (share of the item's words), ``cosine``.
 
-    Every passage of every document is searched. The benchmark is the query set; it is sent to the tasks in blocks of
+    Every passage of every document is searched, and every stretch that holds enough of an item's words and weight is found. The benchmark is the query set; it is sent to the tasks in blocks of
     ``block_items`` items, one scan of the documents each. Null and blank texts match nothing; items without words are left
     out. Rows that repeat an id, or lack one, each give their own pairs. An empty corpus or benchmark gives no rows.
     """
@@ -297,8 +424,8 @@ def contaminated(
             items = held.value
             for batch in batches:
                 docs_at, item_ids, overlaps, cosines = [], [], [], []
-                for row, text in enumerate(as_bytes(batch.column(1))):
-                    for item, (overlap, cosine) in matches(_numbers(text, items.vocab), items, settings).items():
+                for row, found in enumerate(all_matches(as_bytes(batch.column(1)), items, settings)):
+                    for item, (overlap, cosine) in found.items():
                         docs_at.append(row)
                         item_ids.append(items.ids[item])
                         overlaps.append(overlap)
@@ -324,7 +451,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             items = held.value
             for batch in batches:
-                keep = [not matches(_numbers(t, items.vocab), items, settings) for t in as_bytes(batch.column(at))]
+                keep = [not found for found in all_matches(as_bytes(batch.column(at)), items, settings)]
                 kept = batch.filter(pa.array(keep, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(kept.columns, names=names)
 

@@ -6,6 +6,7 @@ import io
 import itertools
 import random
 import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -216,6 +217,49 @@ def test_paraphrased_items_are_found_and_clean_documents_kept(spark):
     assert latent.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+def plain_matches(item, words, weights):
+    """Whether a stretch of about the item's length holds enough of the item, of its weight and of its answer."""
+    n = len(item)
+    tail, total = item[n - -(-n // 5) :], sum(weights[w] for w in item)
+    for at in range(len(words)):
+        part = [w for w in words[at : at + max(n + 4, int(n * 1.6))] if w in item]
+        if len(part) < 0.6 * n or words[at] not in item or latent.common_subsequence(item, part) < 0.6 * n:
+            continue
+        share = sum(weights[w] * k for w, k in (Counter(part) & Counter(item)).items())
+        if share >= 0.3 * total and latent.common_subsequence(tail, part) >= 0.4 * len(tail):
+            return True
+    return False
+
+
+def test_a_thousand_short_items_in_one_block_equal_brute_force(spark):
+    ship(spark)
+    rng = np.random.default_rng(12)
+    odds = 1 / np.arange(10, 4010)
+    make = lambda n: rng.choice(4000, n, p=odds / odds.sum()).tolist()
+    items = [make(rng.integers(10, 28)) for _ in range(1000)] + [make(n) for n in (1, 70, 300)]
+    docs = []
+    for at in range(0, 1000, 4):
+        text = make(5)
+        for item in items[at : at + 4]:
+            keep = 1.0 if at % 8 else rng.uniform(0.6, 1)
+            text += [w if rng.random() < keep else int(rng.integers(4000)) for w in item] + make(rng.integers(40))
+        docs.append(text)
+    docs.append(make(50) + items[-1] + make(50) + items[-2])
+    passages = [set(x[k : k + 64]) for x in docs for k in range(0, len(x), 64)]
+    weights = np.log((len(passages) + 1) / (np.bincount([w for p in passages for w in p], minlength=4000) + 1)) + 1e-9
+    counts, want = np.array([np.bincount(x, minlength=4000) for x in items], np.int16), set()
+    for d, x in enumerate(docs):
+        used = np.unique(x)
+        shared = np.minimum(counts[:, used], np.bincount(x, minlength=4000)[used]).sum(axis=1)
+        want |= {(d, i) for i in np.flatnonzero(shared >= 0.6 * counts.sum(axis=1)).tolist() if plain_matches(items[i], x, weights)}
+    assert {(i // 4, i) for i in range(1000) if i // 4 % 2} <= want and len(want) > 850
+    text = lambda x: " ".join(f"w{w}" for w in x)
+    table = spark.createDataFrame([(k, text(x)) for k, x in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, text(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in latent.contaminated(table, bench).collect()}
+    assert want <= got and len(got - want) <= len(want) // 50  # stretches may be a quarter of an item longer
+
+
 def test_randomised_svd_equals_the_dense_one(spark):
     ship(spark)
     rng = np.random.default_rng(8)
@@ -287,3 +331,23 @@ def test_pseudonyms_of_an_empty_table_and_the_plan(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_values_followed_by_numbers_and_capitals(spark):
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    texts = [
+        f"{card} 123", f"{card} 12/27", f"{card}", f"{iban} 12 May", "GB82 WEST 1234 5698 7654 32 OK", iban, "at 2024-01-15T08:00 sharp", "2024-01-15",
+        f"{iban} {card} 123", f"{card} 123, 5500 0000 0000 0004 456", f"{card} 12.03.2024", f"\ue000 {card} 123 \ue000\ue000", "4111 1111 1111 1112 123", None, "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: (r.text, r._n_private) for r in pseudonyms.pseudonymise(docs, "k").collect()}
+    fresh, account = got[2][0], got[5][0]
+    assert fresh != card and account != iban
+    assert got[0] == (f"{fresh} 123", 1) and got[1] == (f"{fresh} 12/27", 1) and got[3] == (f"{account} 12 May", 1)
+    assert got[4][1] == 1 and got[4][0].endswith(" OK") and got[4][0] != texts[4]
+    assert got[6] == (f"at {got[7][0]}T08:00 sharp", 1) and got[7][0] != texts[7]
+    assert got[8] == (f"{account} {fresh} 123", 2)
+    assert got[9][1] == 2 and got[9][0].startswith(f"{fresh} 123, ") and got[9][0].endswith(" 456")
+    assert got[10][1] == 2 and got[10][0].startswith(fresh)
+    assert got[11] == (f"\ue000 {fresh} 123 \ue000\ue000", 1)
+    assert [got[k] for k in (12, 13, 14)] == [(texts[12], 0), (None, 0), ("", 0)]
