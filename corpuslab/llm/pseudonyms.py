@@ -20,7 +20,7 @@ ROUNDS = 8
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
-    "date": r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w-]|[./]\d)",
+    "date": r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!(?!T\d)[\w-]|[./]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,4}(?!\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
@@ -28,6 +28,15 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
+#: Signs of an IBAN by country; elsewhere any length of the pattern counts.
+IBAN_SIGNS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS",
+    23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+#: A sign of private use; a run of it, longer than any in the text, parts a value from an overrun.
+BREAK = "\ue000"
+
 # 400 years of the calendar have 146,097 = 189 x 773 days.
 FIRST_DAY, DATE_PARTS = "1800-01-01", (189, 773)
 
@@ -188,25 +197,70 @@ def pseudonym(m: Column, key: Column) -> Column:
     return out
 
 
+#: Texts without such a place have no card or IBAN with a further group.
+LONG = r"(?<![\w.-])\d(?:[ -]?\d){12}|(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11}"
+
+
+def _valid(m: Column) -> Column:
+    """Whether a card or IBAN reading passes its check; an IBAN has its country's length."""
+    plain = F.regexp_replace(m, "[ -]", "")
+    country = F.substr(plain, F.lit(1), F.lit(2))
+    wanted = F.lit(0)
+    for n, names in IBAN_SIGNS.items():
+        wanted = F.when(country.isin(names.split()), n).otherwise(wanted)
+    iban = wanted.isin(0, F.length(plain)) & (_mod97(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4)))) == 1)
+    return F.when(m.rlike(f"^(?:{PATTERNS['iban']})$"), iban).when(m.rlike(f"^(?:{PATTERNS['card']})$"), luhn_sum(plain, 1) % 10 == 0).otherwise(False)
+
+
+def _reading(m: Column, key: Column) -> Column:
+    """Length of the longest valid reading of a card or IBAN match that fails as a whole, up to a group's end; null if none."""
+    ends = F.sequence(F.length(m) - 1, F.lit(12), F.lit(-1))
+    short = F.filter(ends, lambda n: F.substr(m, n + 1, F.lit(1)).isin(" ", "-") & _valid(F.substr(m, F.lit(1), n)))
+    number = m.rlike(f"^(?:{PATTERNS['iban']}|{PATTERNS['card']})$") & ~m.rlike(f"^(?:{PATTERNS['phone']})$") & (F.length(m) > 13)
+    whole = F.when(m.rlike("^[A-Z]"), _iban(m, key)).otherwise(_card(m, key))
+    return F.when(number, F.when(whole.isNull(), F.get(short, F.lit(0))))
+
+
+def _parted(text: Column, mark: Column, key: Column) -> Column:
+    """``text`` with ``mark`` behind every shorter reading. What follows one is read anew, until nothing more is found."""
+
+    def step(now: Column, _: Column) -> Column:
+        found = F.regexp_extract_all(now["text"], F.lit(ANY), F.lit(0))
+        ends = F.transform(found, lambda m: F.struct(m.alias("m"), _reading(m, key).alias("n")))
+        parted = F.transform(ends, lambda x: F.when(x["n"].isNull(), x["m"]).otherwise(F.concat(F.substr(x["m"], F.lit(1), x["n"]), mark, F.substr(x["m"], x["n"] + 1))))
+        pieces = F.zip_with(F.split(now["text"], ANY, -1), F.concat(parted, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+        more = F.exists(ends, lambda x: x["n"].isNotNull())
+        fresh = F.struct(F.when(more, F.array_join(pieces, "")).otherwise(now["text"]).alias("text"), (~more).alias("done"))
+        return F.when(now["done"], now).otherwise(fresh)
+
+    rounds = F.sequence(F.lit(0), F.floor(F.length(text) / 13).cast("int"))
+    start = F.struct(text.alias("text"), (~F.coalesce(text.rlike(LONG), F.lit(False))).alias("done"))
+    return F.aggregate(rounds, start, step)["text"]
+
+
 def pseudonymise(docs: DataFrame, key: str, text_column: str = "text") -> DataFrame:
     """All columns of ``docs``, the text with pseudonyms, and ``_n_private`` and ``_kinds`` (sorted, distinct).
 
     A null text stays null with a count of zero; empty texts and texts without a valid value stay as they are. What
-    looks like a value but is not valid (a failed check digit, an octet over 255, a day that the calendar lacks) stays. Rows
+    looks like a value but is not valid (a failed check digit, an octet over 255, a day that the calendar lacks) stays. Where
+    a card or IBAN fails with the groups that follow it, its longest valid reading up to a group's end counts, and the rest is read anew. Rows
     don't depend on each other, so repeated rows and further columns pass through; columns of the added names are replaced. No shuffle, no Python on the executors.
     """
-    docs = docs.drop("_n_private", "_kinds", "_seen")
-    secret = F.lit(key)
-    found = F.regexp_extract_all(F.col(text_column), F.lit(ANY), F.lit(0))
-    seen = docs.withColumn("_seen", F.transform(found, lambda m: F.struct(m.alias("m"), pseudonym(m, secret).alias("p"))))
+    docs = docs.drop("_n_private", "_kinds", "_seen", "_mark", "_parted")
+    secret, text = F.lit(key), F.col("_parted")
+    runs = F.transform(F.regexp_extract_all(F.col(text_column), F.lit(f"{BREAK}+"), F.lit(0)), F.length)
+    docs_marked = docs.withColumn("_mark", F.repeat(F.lit(BREAK), F.coalesce(F.array_max(runs), F.lit(0)) + 1))
+    docs_marked = docs_marked.withColumn("_parted", _parted(F.col(text_column), F.col("_mark"), secret))
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    seen = docs_marked.withColumn("_seen", F.transform(found, lambda m: F.struct(m.alias("m"), pseudonym(m, secret).alias("p"))))
     fresh = F.transform("_seen", lambda x: F.coalesce(x["p"]["value"], x["m"]))
-    between = F.split(F.col(text_column), ANY, -1)
+    between = F.split(text, ANY, -1)
     pieces = F.zip_with(between, F.concat(fresh, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    changed = F.when(F.size("_seen") > 0, F.array_join(pieces, "")).otherwise(F.col(text_column))
+    changed = F.when(F.size("_seen") > 0, F.replace(F.array_join(pieces, ""), F.col("_mark"), F.lit(""))).otherwise(F.col(text_column))
     valid = F.filter("_seen", lambda x: x["p"]["kind"].isNotNull())
     return (
         seen.withColumn(text_column, changed)
         .withColumn("_n_private", F.coalesce(F.size(valid), F.lit(0)))
         .withColumn("_kinds", F.coalesce(F.array_sort(F.array_distinct(F.transform(valid, lambda x: x["p"]["kind"]))), F.array().cast("array<string>")))
-        .drop("_seen")
+        .drop("_seen", "_mark", "_parted")
     )
