@@ -31,15 +31,15 @@ def valid_index_keys(index: DataFrame) -> DataFrame:
     return index.where(retrieved(F.col("status"), F.col("text_length"))).select("story_id").distinct()
 
 
-def skip_retrieved(candidates: DataFrame, index: DataFrame) -> DataFrame:
-    """Candidates that still have to be fetched."""
-    return candidates.join(valid_index_keys(index), "story_id", "left_anti")
+def skip_retrieved(candidates: DataFrame, index: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Candidates that still have to be fetched; ``known`` are the valid keys of the index where a key table has them."""
+    return candidates.join(valid_index_keys(index) if known is None else known, "story_id", "left_anti")
 
 
-def reuse_stored(candidates: DataFrame, index: DataFrame, store: DataFrame) -> DataFrame:
+def reuse_stored(candidates: DataFrame, index: DataFrame, store: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Stored articles of candidates that were already retrieved."""
-    known = candidates.select("story_id", "seq").join(valid_index_keys(index), "story_id", "left_semi")
-    return known.join(store.drop("seq"), "story_id")
+    keys = valid_index_keys(index) if known is None else known
+    return candidates.select("story_id", "seq").join(keys, "story_id", "left_semi").join(store.drop("seq"), "story_id")
 
 
 def _cut_after(new: DataFrame, limit: int) -> DataFrame:
@@ -49,24 +49,25 @@ def _cut_after(new: DataFrame, limit: int) -> DataFrame:
 
 
 def ingest(
-    candidates: DataFrame, index: DataFrame, store: DataFrame, limit: int | None = None
+    candidates: DataFrame, index: DataFrame, store: DataFrame, limit: int | None = None, known: DataFrame | None = None
 ) -> DataFrame:
     """New articles plus stored ones, in candidate order given by ``seq``.
 
     ``limit`` counts new articles with a URL only. Stored articles that come
     before the cut are all kept; nothing is read after it. The result has the
-    candidate columns plus ``origin`` (``new`` or ``existing``).
+    candidate columns plus ``origin`` (``new`` or ``existing``). ``known`` may name the index's valid keys, as a bucketed
+    key table (``sources.keys``) gives them; then the index is not read.
     """
     if limit is not None and limit <= 0:
         return candidates.where(F.lit(False)).withColumn("status", derive_status(F.col("text"))).withColumn(
             "origin", F.lit("new")
         )
     new = (
-        skip_retrieved(candidates, index)
+        skip_retrieved(candidates, index, known)
         .where(has_value(F.col("url")))
         .withColumn("status", derive_status(F.col("text")))
     )
-    old = reuse_stored(candidates, index, store)
+    old = reuse_stored(candidates, index, store, known)
     if limit is not None:
         cut = F.coalesce(_cut_after(new, limit).scalar(), F.lit(2**63 - 1))
         new = new.where(F.col("seq") <= cut)

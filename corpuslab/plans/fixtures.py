@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.tables import read_table, spread
+from ..sources.tables import read_table
 
 # Stubs (very short documents) stand for failed or blank fetches, source src7 for articles without URL.
 ARTICLES = """
@@ -143,11 +143,16 @@ def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table; text-heavy ones are spread over the cores when they are one small file."""
+def table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = True) -> DataFrame:
+    """Driver table. The text-heavy ones hold all rows in one row group of one file, so they are dealt to all cores first.
+
+    A table of many files needs no ``rebalance``.
+    """
     rows = read_table(spark, sf_dir, name)
     key = {"documents": "doc_id", "pages": "page_id"}.get(name)
-    return spread(rows, key) if key else rows
+    if not rebalance or key is None:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def lexicon(spark: SparkSession) -> DataFrame:

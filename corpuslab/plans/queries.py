@@ -12,7 +12,8 @@ from ..operators import bayes, catalogue, features, ingest, leaderboard, linear,
 from ..operators import linediff, pages, scoring, search, sentiment, splits, sweep, tasks
 from ..session import materialise, new_run_dir
 from ..schemas import ARTICLE, TASK, column_names
-from ..sources import annotations as annotation_files, articles as article_files, splits as split_files
+from ..sources import annotations as annotation_files, articles as article_files, snapshots, splits as split_files
+from ..sources.keys import KeyTable
 from ..streaming import jobs, runs
 from . import fixtures as fx
 from .jobs import evaluate_models, train_and_evaluate
@@ -115,10 +116,14 @@ _ARTICLE_VIEW = ("story_id", "url", "status", "origin", "seq")
 
 @query
 def ingest_new_articles(spark: SparkSession, sf: str) -> DataFrame:
-    found = articles(spark, sf)
-    return ingest.ingest(found, index(spark, sf), found).select(
-        *_ARTICLE_VIEW, F.length("text").alias("text_length")
-    )
+    """The index's valid keys are in a bucketed key table, written in two runs."""
+    found, entries = articles(spark, sf), index(spark, sf)
+    keys = KeyTable(spark, new_run_dir(spark, "keys"))
+    valid = ingest.valid_index_keys(entries)
+    for run in (0, 1):
+        keys.add(valid.where(F.crc32("story_id") % 2 == run), batch_id=run)
+    known = keys.known(found)
+    return ingest.ingest(found, entries, found, known=known).select(*_ARTICLE_VIEW, F.length("text").alias("text_length"))
 
 
 @query
@@ -695,12 +700,17 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
     late = found.where("text = '' AND seq % 2 = 0").withColumns({"text": F.lit("came later"), "_at": F.array(F.lit(DELIVERIES).cast("bigint"))})
     rows = materialise(found.unionByName(late).withColumn("_at", F.explode(F.array_compact("_at"))), "deliveries")
-    for k in range(DELIVERIES + 1):
-        rows.where(F.col("_at") == k).drop("_at", "seq").coalesce(1).write.mode("append").parquet(f"{base}/arriving")
-    for delivery in ("first", "second"):
-        arriving = spark.readStream.schema(rows.drop("_at", "seq").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arriving")
-        runs.finish(jobs.start_ingest(arriving, f"{base}/store", f"{base}/cp-{delivery}"))
-    stored = runs.read_store(spark, f"{base}/store", ARTICLE).where(F.col("status") == "success")
+
+    def take_in(name: str) -> None:
+        arriving = spark.readStream.schema(rows.drop("_at", "seq").schema).parquet(f"{base}/arriving/delivery-*")
+        runs.finish(jobs.start_ingest(arriving, f"{base}/store", f"{base}/cp-{name}"))
+
+    for k in range(DELIVERIES + 1):  # with its natural files; what has arrived since the last one is one micro-batch
+        rows.where(F.col("_at") == k).drop("_at", "seq").write.parquet(f"{base}/arriving/delivery-{k}")
+        take_in("first")
+    snapshots.compact(spark, f"{base}/store", ARTICLE)
+    take_in("second")
+    stored = snapshots.read(spark, f"{base}/store", ARTICLE).where(F.col("status") == "success")
     return stored.select("story_id", "url", "status", F.length("text").alias("text_length"))
 
 
@@ -711,7 +721,7 @@ def stream_tasks(spark: SparkSession, sf: str) -> DataFrame:
         runs.finish(
             jobs.start_task_push(_article_stream(spark, sf), f"{base}/project", f"{base}/cp-{delivery}")
         )
-    return _flat_tasks(runs.read_store(spark, f"{base}/project", TASK))
+    return _flat_tasks(snapshots.read(spark, f"{base}/project", TASK))
 
 
 @query

@@ -7,14 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Spread a table that is a single split over the cores.
-
-    A file with one row group would otherwise run all per-row work in one task. One split holds at most
-    ``spark.sql.files.maxPartitionBytes``, so what is moved is bounded; a table of several splits is returned as it is.
-    """
-    if table.rdd.getNumPartitions() != 1:
-        return table
-    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, key)
