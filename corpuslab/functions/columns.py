@@ -75,3 +75,15 @@ def evaluated_once(**columns: Column) -> Column:
     once per use.
     """
     return F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+
+
+def iso_timestamp(value: Column) -> Column:
+    """ISO form of a time stamp in the session's time zone: no fraction where it is zero, else six digits."""
+    whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(value, "SSSSSS")
+    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+
+
+def compact_timestamp(value: Column) -> Column:
+    """Form for names of files and runs: ``yyyymmdd_hhmmss``."""
+    return F.date_format(value, "yyyyMMdd_HHmmss")

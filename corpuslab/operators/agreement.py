@@ -213,18 +213,14 @@ def ratings(long: DataFrame) -> DataFrame:
 def _last_ratings(rated: DataFrame) -> DataFrame:
     """Last rating of each rater on a subject, with the number of ratings it replaces.
 
-    The coefficients need to know which labels are equal, not what they say.
-    64-bit label and rater ids keep the aggregation buffers fixed-width, which
-    lets Spark aggregate by hash instead of by sort.
+    The coefficients need to know which labels are equal, not what they say. Labels are numbered, one
+    row each of a written table, so the aggregation buffers have a fixed width and Spark aggregates by hash instead of by sort.
     """
+    numbered = W.partitionBy(F.lit(1)).orderBy("label")
+    labels = materialise(rated.select("label").distinct().withColumn("label_id", F.row_number().over(numbered).cast("long")), "labels")
     return (
-        rated.select(
-            "control",
-            "subject",
-            F.xxhash64("rater").alias("rater"),
-            F.xxhash64("label").alias("label"),
-            "ann_pos",
-        )
+        rated.join(labels.withColumnRenamed("label", "_label"), F.col("label").eqNullSafe(F.col("_label")))
+        .select("control", "subject", "rater", F.col("label_id").alias("label"), "ann_pos")
         .groupBy("control", "subject", "rater")
         .agg(F.max_by("label", "ann_pos").alias("label"), F.count("*").alias("n_ann"))
     )

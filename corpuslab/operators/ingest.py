@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ..functions.text import is_blank
 from ..session import materialise
 from ..schemas import STATUS_NO_TEXT, STATUS_SUCCESS, STATUS_UNKNOWN
 from .selection import value_at_ranks
@@ -132,6 +133,21 @@ def save_counts(articles: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
+def save_observed(articles: DataFrame, index: DataFrame, path: str) -> dict[str, int]:
+    """Append the storable articles to ``path`` and return the counts of ``save_counts`` with those of all and of blank texts. Runs one job.
+
+    The counts come out of the pass that writes (``DataFrame.observe``), so the articles are read once.
+    """
+    seen = index.select("story_id").distinct().withColumn("_seen", F.lit(True))
+    watched, saved = Observation(), Observation()
+    ok = F.coalesce(F.col("status") == STATUS_SUCCESS, F.lit(False))
+    every = articles.observe(watched, F.count(F.lit(1)).alias("n_articles"), F.count_if(is_blank(F.col("text"))).alias("n_blank"))
+    marked = storable(every).join(seen, "story_id", "left")
+    counted = marked.observe(saved, F.count_if(ok & F.col("_seen").isNull()).alias("n_new_saved"), F.count_if(~ok).alias("n_failed"))
+    counted.drop("_seen").write.mode("append").parquet(path)
+    return {**watched.get, **saved.get}
+
+
 def status_breakdown(articles: DataFrame) -> DataFrame:
     """Articles per status with the overall success rate in percent."""
     counts = articles.groupBy(

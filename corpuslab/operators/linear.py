@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -87,40 +86,18 @@ def predict_linear(
     )
 
 
-def centroid_scorer(train: DataFrame, column: str = "embedding") -> Callable[[], object]:
-    """Nearest-centroid linear scorer for ``score_batches``. Runs one job.
+def write_centroids(train: DataFrame, path: str, column: str = "embedding") -> str:
+    """Write the nearest-centroid model ``(label, weights, bias)``, one row a class, for ``scoring.score_folder``. Runs one job.
 
-    The per-class means are the model: classes times dimensions numbers, checked
-    
-    sent to every worker once.
+    The means are folded by class and dimension and never leave the executors.
     """
     per_dim = (
         train.select("label", F.posexplode(column).alias("dim", "x"))
         .groupBy("label", "dim")
         .agg(F.avg("x").alias("x"))
     )
-    means = (
-        per_dim.groupBy("label")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"]).alias("x"))
-        .orderBy("label")
-        .collect()
-    )
-    classes = [str(r["label"]) for r in means]
-    weights = train.sparkSession.sparkContext.broadcast([list(r["x"]) for r in means])
-
-    def load():
-        import numpy as np
-
-        class Scorer:
-            def __init__(self):
-                self.classes = classes
-                self.w = np.asarray(weights.value, dtype="float64")
-                self.b = -0.5 * (self.w * self.w).sum(axis=1)
-
-            def scores(self, values):
-                x = np.stack([np.asarray(v, dtype="float64") for v in values])
-                return x @ self.w.T + self.b
-
-        return Scorer()
-
-    return load
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"])
+    means = per_dim.groupBy("label").agg(listed.alias("weights"))
+    bias = F.aggregate("weights", F.lit(0.0), lambda total, x: total - 0.5 * x * x)
+    means.select("label", "weights", bias.alias("bias")).write.parquet(path)
+    return path

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.text import strip
@@ -103,3 +105,48 @@ def score_batches(
             yield out
 
     return rows.select(*kept, features).mapInPandas(run, schema)
+
+
+def score_folder(
+    rows: DataFrame, folder: str, features: str, keep: Sequence[str], batch_size: int = DEFAULT_BATCH, probabilities: bool = False
+) -> DataFrame:
+    """Apply a linear model that lies in a folder: ``(*keep, y_pred[, probabilities])``.
+
+    The folder holds Parquet rows ``(label, weights array<double>, bias double)``, one a class, as ``linear.write_centroids`` writes
+    them; every Python worker reads it once, nothing passes through the driver. Spark makes the batches. Probabilities are in the order of the
+    sorted labels; ties go to the lowest label. A row without features gets nulls.
+    """
+    size = rows.sparkSession.read.parquet(folder).select(F.size("weights").alias("n")).first()
+    if size is None:
+        raise ValueError(f"the model at {folder} has no classes")
+    dims = size["n"]
+    folder = folder if "://" in folder or folder.startswith(("file:", "/")) else os.path.abspath(folder)
+    kind = T.StructType([T.StructField("best", T.IntegerType()), T.StructField("p", T.ArrayType(T.DoubleType()))])
+
+    def load():
+        # Only installed packages: the workers need not have this one.
+        import numpy as np
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        local = folder.startswith("file:") or "://" not in folder
+        files, root = (pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if local else pafs.FileSystem.from_uri(folder)
+        model = sorted(pq.read_table(root, filesystem=files).to_pylist(), key=lambda r: str(r["label"]))
+        weights = np.array([r["weights"] for r in model], dtype="float64")
+        bias = np.array([r["bias"] for r in model], dtype="float64")
+
+        def predict(values):
+            scores = np.asarray(values, dtype="float64") @ weights.T + bias
+            powers = np.exp(scores - scores.max(axis=1, keepdims=True))
+            return {"best": scores.argmax(axis=1).astype("int32"), "p": powers / powers.sum(axis=1, keepdims=True)}
+
+        return predict
+
+    model = predict_batch_udf(load, return_type=kind, batch_size=batch_size, input_tensor_shapes=[[dims]])
+    labels = rows.sparkSession.read.parquet(folder).agg(F.sort_array(F.collect_list(F.col("label").cast("string")))).scalar()
+    usable = F.size(features) == dims
+    full = F.coalesce(F.when(usable, F.col(features).cast("array<double>")), F.array_repeat(F.lit(0.0), dims))
+    scored = rows.select(*keep, usable.alias("_usable"), model(full).alias("_m")).withColumn("_labels", labels)
+    found = F.when(F.col("_usable"), F.get("_labels", F.col("_m.best")))
+    out = [*keep, found.alias("y_pred")]
+    return scored.select(*out, F.when(F.col("_usable"), F.col("_m.p")).alias("probabilities")) if probabilities else scored.select(*out)

@@ -18,22 +18,17 @@ def lexicon_sentiment(
 ) -> DataFrame:
     """Sentiment of every document, also those without any lexicon term.
 
-    Terms are counted inside the document row, met with the lexicon, and folded
-    back to one row per document before the shuffle. The lexicon is an input
-    table ``(term, valence, polarity, subjectivity)`` with one row per term.
+    Terms are counted inside the document row and met with the lexicon, an input
+    table ``(term, valence, polarity, subjectivity)`` with one row per term. Only terms that it has go on: they are folded to one row per
+    document, and the documents without any join at the end.
     """
     counted = term_frequencies(documents, TfidfParams(), keep)
-    tf = F.when(F.col("valence").isNotNull(), F.col("tf")).otherwise(F.lit(0))
-    sums = (
-        counted.join(lexicon, "term", "left")
-        .groupBy(*keep)
-        .agg(
-            F.sum(tf).alias("n_hits"),
-            F.coalesce(F.sum(tf * F.col("valence")), F.lit(0.0)).alias("valence"),
-            F.coalesce(F.sum(tf * F.col("polarity")), F.lit(0.0)).alias("polarity_sum"),
-            F.coalesce(F.sum(tf * F.col("subjectivity")), F.lit(0.0)).alias("subjectivity_sum"),
-        )
+    tf = F.col("tf")
+    hits = counted.join(lexicon, "term").groupBy(*keep).agg(
+        F.sum(tf).alias("n_hits"), *[F.sum(tf * F.col(c)).alias(n) for c, n in (("valence", "valence"), ("polarity", "polarity_sum"), ("subjectivity", "subjectivity_sum"))]
     )
+    zero = {"n_hits": F.lit(0).cast("bigint"), "valence": F.lit(0.0), "polarity_sum": F.lit(0.0), "subjectivity_sum": F.lit(0.0)}
+    sums = documents.select(*keep).join(hits, list(keep), "left").select(*keep, *[F.coalesce(F.col(n), z).alias(n) for n, z in zero.items()])
     total = F.col("valence")
     compound = total / F.sqrt(total * total + COMPOUND_NORM)
     hits = F.col("n_hits")

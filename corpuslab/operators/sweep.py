@@ -6,7 +6,8 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
@@ -389,3 +390,55 @@ def draw_configs(n_trials: int, seed: int = 42) -> list[NaiveBayesConfig]:
         )
         for i in range(n_trials)
     ]
+
+
+TRIAL = "trial int, alpha double, ngram_hi int, min_df double, max_df double, norm string, accuracy double, precision double, recall double, f1 double, error string"
+
+
+def draw_trials(n_trials: int, seed: int = 42) -> list[NaiveBayesConfig]:
+    """Seeded draws over smoothing, n-grams, document-frequency bounds and norms; the first k of n draws are those of k."""
+    rng = random.Random(seed)
+    return [
+        NaiveBayesConfig(
+            config_id=str(i), alpha=10 ** rng.uniform(-3, 1), ngram_hi=rng.choice((1, 2)), min_df=rng.choice((1, 2, 5)),
+            max_df=rng.choice((0.8, 0.9, 1.0)), features=TfidfParams(norm=rng.choice(("l1", "l2", None))),
+        )
+        for i in range(n_trials)
+    ]
+
+
+def read_history(spark: SparkSession, history: str) -> DataFrame:
+    """Finished trials of a sweep; empty before the first one."""
+    try:
+        return spark.read.schema(TRIAL).option("recursiveFileLookup", True).parquet(history)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], TRIAL)
+        raise
+
+
+def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[NaiveBayesConfig], history: str) -> DataFrame:
+    """Run the trials that ``history`` lacks, each one committed as a folder of its own; all finished trials. Runs jobs.
+
+    A sweep that was stopped anywhere goes on where it was: a trial counts once its folder is written whole, and a left-anti join of the plan with the
+    history names the rest. A trial that fails, or finds no vocabulary, scores 0.0 and keeps its message; the sweep goes on.
+    """
+    spark = train.sparkSession
+    plan = spark.createDataFrame([(int(c.config_id),) for c in trials], "trial int")
+    left = {r["trial"] for r in remaining_trials(plan, read_history(spark, history)).collect()}
+    for config in trials:
+        number = int(config.config_id)
+        if number not in left:
+            continue
+        values, message = dict.fromkeys(METRICS, 0.0), None
+        try:
+            found = evaluate_many(train, test, [config]).first()
+            if found["f1"] is None:
+                message = "no vocabulary is left"
+            else:
+                values = {m: float(found[m]) for m in METRICS}
+        except Exception as error:  # one trial must not end the sweep
+            message = str(error)[:500]
+        row = (number, float(config.alpha), config.ngram_hi, float(config.min_df), float(config.max_df), config.features.norm, *values.values(), message)
+        spark.createDataFrame([row], TRIAL).coalesce(1).write.mode("overwrite").parquet(f"{history}/trial={number}")
+    return read_history(spark, history)

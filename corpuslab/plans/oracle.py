@@ -413,15 +413,17 @@ ORACLE: dict[str, str] = {
     "project_summary": f"{_LONG}, t AS (SELECT task_id, count(DISTINCT ann_pos) AS n FROM long GROUP BY task_id) "
     "SELECT count(*) AS total_tasks, CAST(sum(n) AS BIGINT) AS total_annotations, "
     "CAST(count(*) FILTER (n > 1) AS BIGINT) AS tasks_with_multiple_annotations, "
-    "(SELECT count(DISTINCT annotator) FROM long) AS unique_annotators FROM t",
+    "(SELECT count(DISTINCT annotator) FROM long) AS unique_annotators, "
+    "CAST(round_even(CAST(sum(n) AS DECIMAL(18, 6)) / count(*), 2) AS DOUBLE) AS average_annotations_per_task FROM t",
     "several_raters": f"{_LONG}, t AS (SELECT task_id, count(DISTINCT annotator) AS n FROM long GROUP BY task_id) "
     "SELECT CAST(count(*) FILTER (n > 1) AS BIGINT) AS n_tasks FROM t",
-    "annotator_counts": f"{_LONG} SELECT annotator, count(DISTINCT (task_id, ann_pos)) AS n_annotations FROM long GROUP BY annotator",
+    "annotator_counts": f"{_LONG} SELECT annotator, count(DISTINCT (task_id, ann_pos)) AS n_annotations, min(task_id) AS first_task, "
+    "arg_min(ann_pos, task_id * 1000 + ann_pos) AS first_pos FROM long GROUP BY annotator",
     "annotator_extremes": f"{_LONG}, c AS (SELECT annotator, count(DISTINCT (task_id, ann_pos)) AS n, "
     "min(task_id * 1000 + ann_pos) AS seen FROM long GROUP BY annotator) SELECT "
     "(SELECT annotator FROM c ORDER BY n DESC, seen LIMIT 1) AS most_active, (SELECT max(n) FROM c) AS most_n, "
     "(SELECT annotator FROM c ORDER BY n, seen DESC LIMIT 1) AS least_active, (SELECT min(n) FROM c) AS least_n",
-    "label_grouping_sets": f"{_LONG} SELECT annotator, control, label, count(*) AS n FROM long "
+    "label_grouping_sets": f"{_LONG} SELECT annotator, control, label, count(*) AS n, CAST(grouping(annotator, control, label) AS BIGINT) AS level FROM long "
     "GROUP BY GROUPING SETS ((label), (control, label), (annotator, control, label))",
     "label_schema": f"SELECT control, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM ({_ANN}) GROUP BY control",
     "label_share": f"{_LONG} SELECT label, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM long), 6) AS percent FROM long GROUP BY label",
@@ -504,7 +506,7 @@ ORACLE: dict[str, str] = {
     "a AS (SELECT doc_id AS record_id, coalesce(hits, 0) AS hits, coalesce(v, 0) AS v, p, j FROM documents LEFT JOIN s ON doc_id = record_id) "
     "SELECT record_id, CAST(hits AS BIGINT) AS n_hits, round(v / sqrt(v * v + 15), 6) AS compound, "
     "CASE WHEN v / sqrt(v * v + 15) >= 0.05 THEN 'Positive' WHEN v / sqrt(v * v + 15) <= -0.05 THEN 'Negative' ELSE 'Neutral' END AS sentiment, "
-    "CASE WHEN hits > 0 THEN round(p / hits + 1e-9, 6) ELSE 0 END AS polarity, CASE WHEN hits > 0 THEN round(j / hits + 1e-9, 6) ELSE 0 END AS subjectivity FROM a",
+    "round(coalesce(p, 0), 6) AS polarity, round(coalesce(j, 0), 6) AS subjectivity FROM a",
     "line_diff": f"WITH snap AS ({fx.for_duckdb(fx.SNAPSHOTS)}), "
     "n AS (SELECT doc_id, unnest(string_split(new_text, chr(10))) AS line, 1 AS d FROM snap), "
     "o AS (SELECT doc_id, unnest(string_split(old_text, chr(10))) AS line, -1 AS d FROM snap), "
@@ -611,3 +613,86 @@ ORACLE |= {
     + f"), m AS ({_metrics('answers', 'config_id')}) SELECT config_id, {_ROUND4} FROM m",
     "sweep_resume": f"WITH trials AS ({ORACLE['nb_alpha_sweep']}) SELECT trial, alpha, f1 AS value FROM trials ORDER BY f1 DESC, trial LIMIT 1",
 }
+
+
+def _softmax(split: str, features: str, epochs: int, rate: float, decay: float) -> str:
+    """CTEs ending in ``pred(epoch, record_id, y_true, y_pred)`` of the test side and ``hist(epoch, metrics)``, from zero weights.
+
+    ``split`` gives ``split(record_id, label, split)``, ``features`` is a query of ``(record_id, split, feature, x)``.
+    """
+    parts = [
+        split,
+        f"f AS MATERIALIZED ({features})",
+        "rec AS MATERIALIZED (SELECT record_id, label, split FROM split)",
+        "cnt AS (SELECT count(*) AS n FROM rec WHERE split = 'train')",
+        "b0 AS MATERIALIZED (SELECT DISTINCT label AS cls, 0.0::DOUBLE AS b FROM rec WHERE split = 'train')",
+        "w0 AS MATERIALIZED (SELECT feature, cls, 0.0::DOUBLE AS w FROM (SELECT DISTINCT feature FROM f WHERE split = 'train') CROSS JOIN b0)",
+    ]
+    for e in range(epochs + 1):
+        parts.append(
+            f"z{e} AS MATERIALIZED (SELECT rec.record_id, rec.label, rec.split, b.cls, b.b + coalesce(s.s, 0) AS z FROM rec CROSS JOIN b{e} b LEFT JOIN "
+            f"(SELECT f.record_id, w.cls, sum(f.x * w.w) AS s FROM f JOIN w{e} w USING (feature) GROUP BY ALL) s ON s.record_id = rec.record_id AND s.cls = b.cls)"
+        )
+        if e < epochs:
+            parts += [
+                f"r{e} AS MATERIALIZED (SELECT record_id, cls, exp(z - m) / sum(exp(z - m)) OVER (PARTITION BY record_id) - CASE WHEN label = cls THEN 1 ELSE 0 END AS r "
+                f"FROM (SELECT *, max(z) OVER (PARTITION BY record_id) AS m FROM z{e} WHERE split = 'train'))",
+                f"w{e + 1} AS MATERIALIZED (SELECT w.feature, w.cls, w.w - {rate} * (g / n + {decay} * w.w) AS w FROM w{e} w JOIN "
+                f"(SELECT f.feature, r.cls, sum(f.x * r.r) AS g FROM f JOIN r{e} r USING (record_id) GROUP BY ALL) g USING (feature, cls) CROSS JOIN cnt)",
+                f"b{e + 1} AS MATERIALIZED (SELECT cls, b - {rate} * g / n AS b FROM b{e} JOIN (SELECT cls, sum(r) AS g FROM r{e} GROUP BY cls) USING (cls) CROSS JOIN cnt)",
+            ]
+    each = " UNION ALL ".join(
+        f"SELECT {e - 1} AS epoch, record_id, label AS y_true, cls AS y_pred FROM z{e} WHERE split = 'test' "
+        "QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY round(z, 9) DESC, cls) = 1"
+        for e in range(1, epochs + 1)
+    )
+    parts += [f"pred AS MATERIALIZED ({each})", f"hist AS MATERIALIZED ({_metrics('pred', 'epoch')})", "top AS (SELECT epoch FROM hist ORDER BY round(f1, 9) DESC, epoch LIMIT 1)"]
+    return "WITH " + ", ".join(parts)
+
+
+_TEXT_FIT = _softmax(f"{_SPLIT}, {_TF}", "SELECT record_id, split, term AS feature, weight AS x FROM weights", 3, 20.0, 0.0)
+_VECTOR_FIT = _softmax(
+    _VECTOR_SPLIT, "SELECT record_id, split, generate_subscripts(text, 1) - 1 AS feature, CAST(unnest(text) AS DOUBLE) AS x FROM split", 3, 5.0, 0.01
+)
+_TRIAL_CTES = (
+    _CONFIG_CTES[: _CONFIG_CTES.index("cfg(config_id")]
+    + """cfg(config_id, alpha, hi, min_df, max_share, norm) AS (VALUES (0, 0.5::DOUBLE, 1, 1, 1.0::DOUBLE, 'l1'),
+    (1, 0.1::DOUBLE, 1, 1000000000, 1.0::DOUBLE, 'l2'), (2, 0.05::DOUBLE, 2, 2, 0.9::DOUBLE, NULL)),
+"""
+    + _CONFIG_CTES[_CONFIG_CTES.index("ntrain AS") :]
+).replace(
+    "weights AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY record_id, config_id)) AS weight FROM raw)",
+    "weights AS (SELECT raw.*, w / CASE norm WHEN 'l2' THEN sqrt(sum(w * w) OVER (PARTITION BY record_id, raw.config_id)) "
+    "WHEN 'l1' THEN sum(abs(w)) OVER (PARTITION BY record_id, raw.config_id) ELSE 1 END AS weight FROM raw JOIN cfg USING (config_id))".replace("raw.*", "raw.record_id, raw.label, raw.split, raw.config_id, raw.alpha, raw.term, raw.w"),
+)
+_BEST_URL = "(SELECT min(url) FROM articles WHERE url <> '')"
+_AT = "retrieved_at + to_microseconds(CAST(seq * 1000000 + 250000 * (seq % 2) AS BIGINT))"
+
+ORACLE |= {
+    "indexed_story_search": ORACLE["story_search"],
+    "indexed_phrase_search": ORACLE["story_phrase_search"],
+    "indexed_count_by_source": ORACLE["story_count_by_source"],
+    "url_prefix_layout": ORACLE["url_prefix_search"],
+    "url_exact_search": f"{_ARTICLES} SELECT story_id, url FROM articles WHERE url = {_BEST_URL} AND publish_date BETWEEN DATE '2020-01-01' AND DATE '2024-12-31'",
+    "keyword_hits": f"{_ARTICLES}, k AS (SELECT DISTINCT k FROM (SELECT unnest({_TOKENS}) AS k FROM benchmark) WHERE length(k) >= 6), "
+    "low AS (SELECT story_id, lower(coalesce(title, '')) AS a, lower(coalesce(text, '')) AS b FROM articles) "
+    "SELECT story_id, count(*) AS n_keywords, md5(string_agg(k, '|' ORDER BY k)) AS keywords_md5 FROM low JOIN k ON contains(a, k) OR contains(b, k) GROUP BY story_id",
+    "observed_counts": f"{_ARTICLES}, idx AS ({_IDX}) SELECT count(*) AS n_articles, CAST(count(*) FILTER (length(trim(coalesce(text, ''), {_WS})) = 0) AS BIGINT) AS n_blank, "
+    "CAST(count(*) FILTER (url <> '' AND status = 'success' AND story_id NOT IN (SELECT story_id FROM idx)) AS BIGINT) AS n_new_saved, "
+    "CAST(count(*) FILTER (url <> '' AND status <> 'success') AS BIGINT) AS n_failed FROM articles",
+    "timestamp_forms": f"{_ARTICLES} SELECT story_id, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN seq % 2 = 1 THEN '.250000' ELSE '' END AS iso, "
+    f"strftime(t, '%Y%m%d_%H%M%S') AS compact FROM (SELECT story_id, seq, {_AT} AS t FROM articles)",
+    "label_decoding": "SELECT doc_id AS record_id, c.label FROM documents LEFT JOIN (SELECT lang AS label, row_number() OVER (ORDER BY lang) - 1 AS class_id "
+    "FROM (SELECT DISTINCT lang FROM documents)) c ON c.class_id = doc_id % 5",
+    "retrieval_days": f"{_ARTICLES} SELECT CAST(retrieved_at + to_days(CAST(seq % 7 AS INTEGER)) + to_hours(seq % 24) AS DATE) AS retrieved_day, count(*) AS n FROM articles GROUP BY 1",
+    "evaluation_summary": f"{_BOARD} SELECT count(*) AS total_models, CAST(count(*) FILTER (error IS NULL) AS BIGINT) AS successful_models, "
+    "CAST(count(*) FILTER (error IS NOT NULL) AS BIGINT) AS failed_models, arg_min(model_name, rank) AS best_model FROM board",
+    "batch_probabilities": _BATCH.replace("SELECT vec_id, label, cls AS y_pred FROM score\nQUALIFY", "SELECT vec_id, cls AS y_pred, round(exp(s - max(s) OVER p) / sum(exp(s - m)) OVER p, 6) AS probability "
+    "FROM (SELECT *, max(s) OVER (PARTITION BY vec_id) AS m FROM score) WINDOW p AS (PARTITION BY vec_id)\nQUALIFY"),
+    "linear_recipe": f"{_VECTOR_FIT} SELECT record_id AS vec_id, y_true AS label, y_pred FROM pred WHERE epoch = (SELECT epoch FROM top)",
+    "linear_text": f"{_TEXT_FIT} SELECT record_id, y_true AS label, y_pred FROM pred WHERE epoch = (SELECT epoch FROM top)",
+    "linear_text_epochs": f"{_TEXT_FIT} SELECT CAST(epoch AS INTEGER) AS epoch, {_ROUND4}, epoch = (SELECT epoch FROM top) AS best FROM hist",
+    "sweep_trials": f"WITH {_TRIAL_CTES}, m AS ({_metrics('pred', 'config_id')}) SELECT cfg.config_id AS trial, alpha, hi AS ngram_hi, norm, "
+    "coalesce(round(accuracy, 6), 0) AS accuracy, coalesce(round(precision, 6), 0) AS precision, coalesce(round(recall, 6), 0) AS recall, "
+    "coalesce(round(f1, 6), 0) AS f1, accuracy IS NULL AS failed FROM cfg LEFT JOIN m USING (config_id)",
+}

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import agreement as ag
 from ..operators import annotations as an
-from ..operators import bayes, catalogue, features, ingest, leaderboard, linear, metrics
-from ..operators import linediff, pages, scoring, search, sentiment, splits, sweep, tasks
+from ..operators import bayes, catalogue, features, ingest, keywords, leaderboard, linear, metrics
+from ..operators import linediff, pages, scoring, search, sentiment, softmax, splits, sweep, tasks, textindex
 from ..session import materialise, new_run_dir
 from ..schemas import ARTICLE, TASK, column_names
 from ..sources import annotations as annotation_files, articles as article_files, snapshots, splits as split_files
+from ..functions.columns import compact_timestamp, iso_timestamp
 from ..sources.keys import KeyTable
+from ..sources.urls import UrlTable
 from ..streaming import jobs, runs
 from . import fixtures as fx
 from .jobs import evaluate_models, train_and_evaluate
@@ -109,6 +111,53 @@ def keyword_articles(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("story_id", "language")
 
 
+def _text_index(spark: SparkSession, sf: str) -> textindex.TextIndex:
+    return textindex.TextIndex.build(articles(spark, sf), new_run_dir(spark, "text-index"))
+
+
+@query
+def indexed_story_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same question as ``story_search``, answered from postings."""
+    return _text_index(spark, sf).search(**SEARCH).select("story_id", "media_id", "language", "publish_date")
+
+
+@query
+def indexed_phrase_search(spark: SparkSession, sf: str) -> DataFrame:
+    hits = _text_index(spark, sf).search(all_of=["of the"], collections=["src1", "src2", "src3"], end="2024-12-31")
+    return hits.select("story_id", "media_id")
+
+
+@query
+def indexed_count_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    return search.story_count(_text_index(spark, sf).search(**SEARCH))
+
+
+@query
+def keyword_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of the benchmark's words of six letters or more, some thousands, every article contains."""
+    listed = fx.relation(spark, sf, "SELECT item_id AS record_id, text FROM {benchmark}")
+    long = features.term_frequencies(listed).where("length(term) >= 6").select("term").distinct()
+    found = keywords.keyword_hits(articles(spark, sf), [r["term"] for r in long.collect()])
+    return found.select("story_id", F.size("keywords").cast("bigint").alias("n_keywords"), F.md5(F.array_join("keywords", "|")).alias("keywords_md5"))
+
+
+def _url_table(spark: SparkSession, sf: str) -> UrlTable:
+    return UrlTable.write(articles(spark, sf), new_run_dir(spark, "url-table"))
+
+
+@query
+def url_prefix_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The same question as ``url_prefix_search``, answered from the files whose bounds match."""
+    return _url_table(spark, sf).search("https://src1.example.org/fr/*", end="2024-12-31").select("story_id", "url")
+
+
+@query
+def url_exact_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The first URL of the archive."""
+    url = articles(spark, sf).where("url <> ''").agg(F.min("url")).first()[0]
+    return _url_table(spark, sf).search(url, end="2024-12-31").select("story_id", "url")
+
+
 # ---------------------------------------------------------------- ingest
 
 _ARTICLE_VIEW = ("story_id", "url", "status", "origin", "seq")
@@ -160,6 +209,21 @@ def save_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.save_counts(articles(spark, sf), index(spark, sf))
 
 
+@query
+def observed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A saving run whose counts come out of the pass that writes."""
+    counts = ingest.save_observed(articles(spark, sf), index(spark, sf), new_run_dir(spark, "observed"))
+    names = ("n_articles", "n_blank", "n_new_saved", "n_failed")
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query
+def timestamp_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """ISO and compact forms of retrieval times, some with a fraction of a second."""
+    at = F.col("retrieved_at") + F.expr("make_dt_interval(0, 0, 0, CAST(seq AS DECIMAL(18, 6)) + 0.25 * (seq % 2))")
+    return articles(spark, sf).select("story_id", iso_timestamp(at).alias("iso"), compact_timestamp(at).alias("compact"))
+
+
 @query
 def failed_urls(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.failed_urls(articles(spark, sf))
@@ -255,7 +319,7 @@ def required_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def project_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return ag.project_summary(written_required(spark, sf)).drop("average_annotations_per_task")
+    return ag.project_summary(written_required(spark, sf))
 
 
 @query
@@ -265,7 +329,8 @@ def several_raters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def annotator_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return ag.annotator_counts(required(spark, sf)).drop("first_seen")
+    found = ag.annotator_counts(required(spark, sf))
+    return found.select("annotator", "n_annotations", F.col("first_seen.task_id").alias("first_task"), F.col("first_seen.ann_pos").alias("first_pos"))
 
 
 @query
@@ -275,7 +340,7 @@ def annotator_extremes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def label_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
-    return ag.label_grouping_sets(required(spark, sf)).drop("level")
+    return ag.label_grouping_sets(required(spark, sf))
 
 
 @query
@@ -447,6 +512,14 @@ def label_encoding(spark: SparkSession, sf: str) -> DataFrame:
     return bayes.encode_labels(*sides(spark, sf))
 
 
+@query
+def label_decoding(spark: SparkSession, sf: str) -> DataFrame:
+    """Class numbers back to labels; a number without a class gives none."""
+    classes = materialise(bayes.encode_labels(*sides(spark, sf)), "classes")
+    numbered = records(spark, sf).select("record_id", (F.col("record_id") % 5).cast("int").alias("class_id"))
+    return bayes.decode_labels(numbered, classes)
+
+
 @query
 def nb_params(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = sides(spark, sf)
@@ -572,13 +645,50 @@ def _vector_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query
 def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _vector_sides(spark, sf)
-    return scoring.score_batches(test, linear.centroid_scorer(train), "embedding", keep=["vec_id", "label"])
+    folder = linear.write_centroids(train, new_run_dir(spark, "centroids"))
+    return scoring.score_folder(test, folder, "embedding", keep=["vec_id", "label"])
 
 
 @query
-def linear_recipe(spark: SparkSession, sf: str) -> DataFrame:
+def batch_probabilities(spark: SparkSession, sf: str) -> DataFrame:
+    """The probability of the best class from the same pass that scores."""
     train, test = _vector_sides(spark, sf)
-    return linear.predict_linear(linear.fit_linear_vectors(train), test, "embedding", keep=("vec_id", "label"))
+    folder = linear.write_centroids(train, new_run_dir(spark, "centroids"))
+    found = scoring.score_folder(test, folder, "embedding", keep=["vec_id"], probabilities=True)
+    return rounded(found.select("vec_id", "y_pred", F.array_max("probabilities").alias("probability")), "probability")
+
+
+VECTOR_FIT = softmax.SoftmaxParams(epochs=3, rate=5.0, decay=0.01)
+TEXT_FIT = softmax.SoftmaxParams(epochs=3, rate=20.0)
+
+
+@query
+def linear_recipe(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression on vectors, best of three epochs."""
+    train, test = (t.withColumnRenamed("vec_id", "record_id") for t in _vector_sides(spark, sf))
+    packed = [softmax.pack(softmax.vector_features(t), t) for t in (train, test)]
+    found = softmax.fit(*packed, VECTOR_FIT).predict(packed[1], ("label",))
+    return found.withColumnRenamed("record_id", "vec_id")
+
+
+def _text_fit(spark: SparkSession, sf: str) -> tuple[softmax.SoftmaxModel, DataFrame]:
+    train, test = sides(spark, sf)
+    vocab = materialise(_train_vocabulary(train), "vocabulary")
+    packed = [softmax.pack(softmax.text_features(t, vocab), t) for t in (train, test)]
+    return softmax.fit(*packed, TEXT_FIT), packed[1]
+
+
+@query
+def linear_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression on the tf-idf weights of texts, best of three epochs by F1 on the held-out side."""
+    model, held = _text_fit(spark, sf)
+    return model.predict(held, ("label",))
+
+
+@query
+def linear_text_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    model, _ = _text_fit(spark, sf)
+    return rounded(model.history, *metrics.METRICS)
 
 
 # ---------------------------------------------------------------- pages and sources
@@ -654,9 +764,9 @@ def full_text_fallback(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lexicon_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     found = sentiment.lexicon_sentiment(records(spark, sf), fx.lexicon(spark))
-    # Means over 64 hits can be exact ties at six digits; the nudge rounds them alike everywhere.
-    nudged = found.withColumns({c: F.col(c) + 1e-9 for c in ("polarity", "subjectivity")})
-    return rounded(nudged, "compound", "polarity", "subjectivity")
+    # Sums in place of means: a mean over 64 hits can be an exact tie at six digits.
+    sums = {c: F.col(c) * F.col("n_hits") for c in ("polarity", "subjectivity")}
+    return rounded(found.withColumns(sums), "compound", "polarity", "subjectivity")
 
 
 @query
@@ -748,6 +858,15 @@ def article_store(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def retrieval_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Stories per day of retrieval, which is the store's partition column."""
+    path = new_run_dir(spark, "article-store")
+    spread_out = articles(spark, sf).withColumn("retrieved_at", F.col("retrieved_at") + F.expr("make_dt_interval(CAST(seq % 7 AS INT), CAST(seq % 24 AS INT))"))
+    article_files.append_articles(spread_out, path)
+    return spark.read.parquet(path).groupBy("retrieved_day").agg(F.count("*").alias("n"))
+
+
 @query
 def article_index(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs append to the index; older and newer entries of a story alternate."""
@@ -834,6 +953,16 @@ def leaderboard_store(spark: SparkSession, sf: str) -> DataFrame:
     return article_files.read_csv_export(spark, f"{path}/results", schema)
 
 
+@query
+def evaluation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary of an evaluation, through its JSON file."""
+    path = new_run_dir(spark, "leaderboard")
+    board = materialise(_board(spark, sf), "board")
+    split_files.write_leaderboard(board, leaderboard.evaluation_summary(board), path)
+    kind = "total_models bigint, successful_models bigint, failed_models bigint, best_model string"
+    return spark.read.schema(kind).json(f"{path}/evaluation_summary")
+
+
 @query
 def prediction_store(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions through CSV and Parquet."""
@@ -953,3 +1082,20 @@ def sweep_resume(spark: SparkSession, sf: str) -> DataFrame:
     sweep.alpha_sweep(model, test, sorted(rest)).write.mode("append").parquet(path)
     history = rounded(spark.read.parquet(path), *metrics.METRICS)
     return sweep.best_trial(history)
+
+
+TRIALS = [
+    sweep.NaiveBayesConfig("0", alpha=0.5, features=features.TfidfParams(norm="l1")),
+    sweep.NaiveBayesConfig("1", alpha=0.1, min_df=10**9),
+    sweep.NaiveBayesConfig("2", alpha=0.05, ngram_hi=2, min_df=2, max_df=0.9, features=features.TfidfParams(norm=None)),
+]
+
+
+@query
+def sweep_trials(spark: SparkSession, sf: str) -> DataFrame:
+    """Trials over smoothing, n-grams, bounds and norms with one commit each: stopped after a failed one, then resumed."""
+    history = new_run_dir(spark, "sweep-trials")
+    train, test = sides(spark, sf)
+    sweep.run_trials(train, test, TRIALS[:2], history)
+    done = sweep.run_trials(train, test, TRIALS, history)
+    return rounded(done, *metrics.METRICS).select("trial", "alpha", "ngram_hi", "norm", *metrics.METRICS, F.col("error").isNotNull().alias("failed"))

@@ -12,7 +12,7 @@ from corpuslab.plans.queries import REGISTRY
 from corpuslab.schemas import ARTICLE
 from test_registry import SLOW
 
-PYTHON_OK = {"batch_scoring"}
+PYTHON_OK: set[str] = set()  # no query maps pandas frames
 
 
 def plan(df) -> str:
