@@ -26,6 +26,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import as_bytes, narrow
 
@@ -313,21 +314,27 @@ def best_overlap(item: np.ndarray, found: np.ndarray, at: int, size: int, settin
     span = settings.reach(n)
     start, stop = max(0, at - span), min(len(found), at + size + span)
     near = found[start:stop]
-    hits = np.flatnonzero(np.isin(near, item))
+    held = np.zeros(max(int(item.max()), int(near.max(initial=0))) + 2, bool)
+    held[item] = True  # the last place, which is that of unknown words, stays free
+    hits = np.flatnonzero(held[near])
     need = settings.need(n)
     if len(hits) < need:
         return 0.0, 0.0
+    # a quarter of an item apart at least; the steps in between lie in the second stretch
+    step = max(1, n // 4)
+    before, after, beyond, following = np.searchsorted(hits, np.stack([hits - step, hits + span, hits + step + span, hits + step]))
+    places = np.arange(len(hits))
+    if max((after - before).max(), (beyond - places).max()) < need:
+        return 0.0, 0.0
     target, tail = item.tolist(), item[n - max(1, math.ceil(n * settings.answer_share)) :].tolist()
-    best, step, done = (False, 0, 0), max(1, n // 4), -1
-    for first in hits.tolist():  # a quarter of an item apart at least; the steps in between lie in the second stretch
-        if done >= 0 and first - done < step:
-            continue
-        done = first
-        for begin in (first - step, first):
-            inside = hits[np.searchsorted(hits, begin) : np.searchsorted(hits, begin + step + span)]
-            if len(inside) < need:
+    best, at_hit = (False, 0, 0), 0
+    words = near[hits].tolist()
+    before, after, beyond, following = before.tolist(), after.tolist(), beyond.tolist(), following.tolist()
+    while at_hit < len(words):
+        for low, high in ((before[at_hit], after[at_hit]), (at_hit, beyond[at_hit])):
+            if high - low < need:
                 continue
-            part = near[inside].tolist()
+            part = words[low:high]
             got = common_subsequence(target, part)
             if got < need:
                 continue
@@ -335,6 +342,7 @@ def best_overlap(item: np.ndarray, found: np.ndarray, at: int, size: int, settin
                 continue
             answer = common_subsequence(tail, part)
             best = max(best, (answer >= settings.min_answer * len(tail), got, answer))
+        at_hit = following[at_hit]
     return best[1] / n, best[2] / len(tail)
 
 
@@ -395,12 +403,16 @@ def matches(found: np.ndarray, near: list[tuple[int, int, int]], items: Items, s
 
 
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str, size: int) -> Iterator[list]:
-    """The benchmark's rows in blocks of about ``size``, in a fixed order within each."""
-    rows = benchmark.select(F.col(id_column).alias("i"), F.col(text_column).alias("t")).where("t is not null")
-    n = -(-rows.count() // size)
-    for block in range(n):
-        found = [tuple(r) for r in rows.where(F.expr(f"pmod(xxhash64(i, t), {n}) = {block}")).collect()]
-        yield sorted(found, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    """The benchmark's rows in blocks of ``size`` at most, in a fixed order; the driver holds one block at a time."""
+    rows = benchmark.select(F.col(id_column).alias("i"), F.col(text_column).alias("t")).where("t is not null").orderBy("i", "t")
+    block = []
+    for row in rows.toLocalIterator():
+        block.append((row["i"], row["t"]))
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
 
 
 def contaminated(
@@ -415,9 +427,8 @@ def contaminated(
     kept = narrow(docs, id_column, text_column)
     kind = T.StructType([docs.schema[id_column], benchmark.schema[item_column], T.StructField("overlap", T.DoubleType()), T.StructField("cosine", T.DoubleType())])
     out = docs.sparkSession.createDataFrame([], kind)
+    item_type = to_arrow_type(kind[item_column].dataType)
     for rows in _blocks(benchmark, item_column, text_column, settings.block_items):
-        if not rows:
-            continue
         held = docs.sparkSession.sparkContext.broadcast(fit(kept, rows, settings, text_column))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -431,7 +442,7 @@ def contaminated(
                         overlaps.append(overlap)
                         cosines.append(cosine)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(docs_at, pa.int64())), pa.array(item_ids, pa.int64()), pa.array(overlaps, pa.float64()), pa.array(cosines, pa.float64())],
+                    [batch.column(0).take(pa.array(docs_at, pa.int64())), pa.array(item_ids, item_type), pa.array(overlaps, pa.float64()), pa.array(cosines, pa.float64())],
                     names=kind.names,
                 )
 
@@ -440,20 +451,21 @@ def contaminated(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", settings: Settings = Settings()) -> DataFrame:
-    """Rows of ``docs``, all columns, that hold no item of the benchmark; decided where a document is read, without a join."""
+    """Rows of ``docs``, all columns, that hold no item of the benchmark: those that ``contaminated`` has no pair for.
+
+    Every block of the benchmark is fitted to all of ``docs``; then one pass decides where a document is read, without a join. A row that a block
+    has found leaves, so later blocks look at the others only.
+    """
     names, at = docs.columns, docs.columns.index(text_column)
-    schema = docs.schema
-    for rows in _blocks(benchmark, item_column, text_column, settings.block_items):
-        if not rows:
-            continue
-        held = docs.sparkSession.sparkContext.broadcast(fit(docs.select(text_column), rows, settings, text_column))
+    texts = docs.select(text_column)
+    blocks = _blocks(benchmark, item_column, text_column, settings.block_items)
+    held = [docs.sparkSession.sparkContext.broadcast(fit(texts, rows, settings, text_column)) for rows in blocks]
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = held.value
-            for batch in batches:
-                keep = [not found for found in all_matches(as_bytes(batch.column(at)), items, settings)]
-                kept = batch.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays(kept.columns, names=names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in held:
+                keep = [not found for found in all_matches(as_bytes(batch.column(at)), block.value, settings)]
+                batch = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
 
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)
