@@ -12,6 +12,8 @@ of one half to the other half:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
@@ -28,7 +30,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-#: Signs of an IBAN by country; elsewhere any length of the pattern counts.
+#: Signs of an IBAN by country; elsewhere any length of the pattern counts.
 IBAN_SIGNS = {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS",
     23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
@@ -171,67 +173,125 @@ def _ssn(m: Column, key: Column) -> Column:
     return F.when((area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0), out)
 
 
+#: Steps of a walk that looks for a day after the twelfth; about 39 of 100 steps fail, so no value is known to need more.
+WALK = 96
+
+
 def _date(m: Column, key: Column) -> Column:
-    def of(form: str) -> Column:
-        day = F.try_to_timestamp(m, F.lit(form)).cast("date")
-        number = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
+    """A day permuted among the days of its form. Slashed values with a first part over 12 are permuted among themselves, by
+    steps along the permutation of all days until such a day comes, so that month-first and day-first values never meet."""
+    first = F.lit(FIRST_DAY).cast("date")
+    n_days = DATE_PARTS[0] * DATE_PARTS[1]
+
+    def permuted(number: Column) -> Column:
         parts = permute_parts(F.floor(number / DATE_PARTS[1]), number % DATE_PARTS[1], DATE_PARTS, key, "date")
-        fresh = F.date_add(F.lit(FIRST_DAY).cast("date"), (parts["a"] * DATE_PARTS[1] + parts["b"]).cast("int"))
-        return F.when(number.between(0, DATE_PARTS[0] * DATE_PARTS[1] - 1), F.date_format(fresh, form))
+        return _let(parts, lambda p: (p["a"] * DATE_PARTS[1] + p["b"]).cast("int"))
+
+    def of(form: str) -> Column:
+        number = F.date_diff(F.try_to_timestamp(m, F.lit(form)).cast("date"), first)
+        return F.when(number.between(0, n_days - 1), F.date_format(F.date_add(first, permuted(number)), form))
+
+    def late(number: Column) -> Column:
+        return F.day(F.date_add(first, number)) > 12
 
-    slashed = F.coalesce(of("MM/dd/yyyy"), of("dd/MM/yyyy"))
+    def walked(form: str) -> Column:
+        number = F.date_diff(F.try_to_timestamp(m, F.lit(form)).cast("date"), first)
+        step = lambda now, k: F.when((k > 0) & late(now), now).otherwise(permuted(now))
+        ended = F.aggregate(F.sequence(F.lit(0), F.lit(WALK)), number, step)
+        return F.when(number.between(0, n_days - 1), F.date_format(F.date_add(first, ended), form))
+
+    slashed = F.when(F.substr(m, F.lit(1), F.lit(2)) > "12", walked("dd/MM/yyyy")).otherwise(of("MM/dd/yyyy"))
     return F.when(m.contains("-"), of("yyyy-MM-dd")).when(m.contains("."), of("dd.MM.yyyy")).otherwise(slashed)
 
 
 _MAKERS = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "iban": _iban, "card": _card}
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def kind_of(m: Column) -> Column:
+    """Kind of a match of ``ANY``, by signs that only one of the patterns can have there."""
+    dots = F.length(m) - F.length(F.replace(m, F.lit("."), F.lit("")))
+    phone = m.startswith("+") | m.contains("(")
+    return (
+        F.when(m.contains("@"), "email").when(phone, "phone").when(F.substr(m, F.lit(1), F.lit(1)) >= "A", "iban")
+        .when(dots == 3, "ip").when(F.length(m) == 10, "date").when(F.length(m) == 11, "ssn").otherwise("card")
+    )
+
+
 def pseudonym(m: Column, key: Column) -> Column:
     """Struct of a match's ``kind`` and pseudonym ``value``; both null if it is not valid in any format."""
-    out = None
-    for kind, pattern in PATTERNS.items():
-        value = _MAKERS[kind](m, key)
-        made = F.struct(F.when(value.isNotNull(), F.lit(kind)).alias("kind"), value.alias("value"))
-        test = m.rlike(f"^(?:{pattern})$")
-        out = F.when(test, made) if out is None else out.when(test, made)
-    return out
+
+    def of(kind: Column) -> Column:
+        value = F.lit(None).cast("string")
+        for name, maker in _MAKERS.items():
+            value = F.when(kind == name, maker(m, key)).otherwise(value)
+        return _let(value, lambda v: F.struct(F.when(v.isNotNull(), kind).alias("kind"), v.alias("value")))
+
+    return _let(kind_of(m), of)
 
 
 #: Texts without such a place have no card or IBAN with a further group.
 LONG = r"(?<![\w.-])\d(?:[ -]?\d){12}|(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11}"
 
 
-def _valid(m: Column) -> Column:
+#: Digits of a card by its first ones.
+CARD_DIGITS = {"4": 16, "5": 16, "2": 16, "6": 16, "34": 15, "37": 15}
+
+
+def _valid(m: Column, iban: Column) -> Column:
     """Whether a card or IBAN reading passes its check; an IBAN has its country's length."""
     plain = F.regexp_replace(m, "[ -]", "")
     country = F.substr(plain, F.lit(1), F.lit(2))
     wanted = F.lit(0)
     for n, names in IBAN_SIGNS.items():
         wanted = F.when(country.isin(names.split()), n).otherwise(wanted)
-    iban = wanted.isin(0, F.length(plain)) & (_mod97(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4)))) == 1)
-    return F.when(m.rlike(f"^(?:{PATTERNS['iban']})$"), iban).when(m.rlike(f"^(?:{PATTERNS['card']})$"), luhn_sum(plain, 1) % 10 == 0).otherwise(False)
+    long = F.length(plain).between(15, 34) & wanted.isin(0, F.length(plain))
+    account = long & (_mod97(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4)))) == 1)
+    return F.when(iban, account).otherwise(F.length(plain).between(13, 19) & (luhn_sum(plain, 1) % 10 == 0))
+
+
+def _usual(m: Column) -> Column:
+    """Whether a card number has as many digits as its first ones ask for."""
+    digits, wanted = _digits(m), F.lit(0)
+    for first, n in CARD_DIGITS.items():
+        wanted = F.when(digits.startswith(first), n).otherwise(wanted)
+    return F.length(digits) == wanted
+
+
+def _reading(m: Column, kind: Column) -> Column:
+    """Length of the reading of a card or IBAN match up to a group's end that counts instead of the whole match; null if the whole counts.
 
+    The first valid reading of a card with the digits that its issuer uses counts; else, where the whole fails, the longest valid one.
+    """
+    iban = kind == "iban"
+    ends = F.filter(F.sequence(F.length(m) - 1, F.lit(12), F.lit(-1)), lambda n: F.substr(m, n + 1, F.lit(1)).isin(" ", "-"))
+    short = F.filter(ends, lambda n: _valid(F.substr(m, F.lit(1), n), iban))
+
+    def of(found: Column) -> Column:
+        usual = F.get(F.filter(found, lambda n: ~iban & _usual(F.substr(m, F.lit(1), n))), F.lit(0))
+        return F.coalesce(F.when(~_usual(m), usual), F.when(~_valid(m, iban), F.get(found, F.lit(0))))
 
-def _reading(m: Column, key: Column) -> Column:
-    """Length of the longest valid reading of a card or IBAN match that fails as a whole, up to a group's end; null if none."""
-    ends = F.sequence(F.length(m) - 1, F.lit(12), F.lit(-1))
-    short = F.filter(ends, lambda n: F.substr(m, n + 1, F.lit(1)).isin(" ", "-") & _valid(F.substr(m, F.lit(1), n)))
-    number = m.rlike(f"^(?:{PATTERNS['iban']}|{PATTERNS['card']})$") & ~m.rlike(f"^(?:{PATTERNS['phone']})$") & (F.length(m) > 13)
-    whole = F.when(m.rlike("^[A-Z]"), _iban(m, key)).otherwise(_card(m, key))
-    return F.when(number, F.when(whole.isNull(), F.get(short, F.lit(0))))
+    long = kind.isin("iban", "card") & (F.length(m) > 13)
+    return F.when(long & m.rlike("[ -]"), _let(short, of))
 
 
-def _parted(text: Column, mark: Column, key: Column) -> Column:
+def _parted(text: Column, mark: Column) -> Column:
     """``text`` with ``mark`` behind every shorter reading. What follows one is read anew, until nothing more is found."""
 
-    def step(now: Column, _: Column) -> Column:
-        found = F.regexp_extract_all(now["text"], F.lit(ANY), F.lit(0))
-        ends = F.transform(found, lambda m: F.struct(m.alias("m"), _reading(m, key).alias("n")))
+    def joined(now: Column, ends: Column) -> Column:
         parted = F.transform(ends, lambda x: F.when(x["n"].isNull(), x["m"]).otherwise(F.concat(F.substr(x["m"], F.lit(1), x["n"]), mark, F.substr(x["m"], x["n"] + 1))))
         pieces = F.zip_with(F.split(now["text"], ANY, -1), F.concat(parted, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
         more = F.exists(ends, lambda x: x["n"].isNotNull())
-        fresh = F.struct(F.when(more, F.array_join(pieces, "")).otherwise(now["text"]).alias("text"), (~more).alias("done"))
-        return F.when(now["done"], now).otherwise(fresh)
+        return F.when(more, F.struct(F.array_join(pieces, "").alias("text"), F.lit(False).alias("done"))).otherwise(F.struct(now["text"].alias("text"), F.lit(True).alias("done")))
+
+    def step(now: Column, _: Column) -> Column:
+        found = F.regexp_extract_all(now["text"], F.lit(ANY), F.lit(0))
+        ends = F.transform(found, lambda m: F.struct(m.alias("m"), _let(kind_of(m), lambda kind: _reading(m, kind)).alias("n")))
+        return F.when(now["done"], now).otherwise(_let(ends, lambda x: joined(now, x)))
 
     rounds = F.sequence(F.lit(0), F.floor(F.length(text) / 13).cast("int"))
     start = F.struct(text.alias("text"), (~F.coalesce(text.rlike(LONG), F.lit(False))).alias("done"))
@@ -242,15 +302,16 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text") -> DataFr
     """All columns of ``docs``, the text with pseudonyms, and ``_n_private`` and ``_kinds`` (sorted, distinct).
 
     A null text stays null with a count of zero; empty texts and texts without a valid value stay as they are. What
-    looks like a value but is not valid (a failed check digit, an octet over 255, a day that the calendar lacks) stays. Where
-    a card or IBAN fails with the groups that follow it, its longest valid reading up to a group's end counts, and the rest is read anew. Rows
+    looks like a value but is not valid (a failed check digit, an octet over 255, a day that the calendar lacks) stays. A card that
+    is valid at a group's end with the digits of its issuer ends there; where a card or IBAN else fails with the groups that follow it, its longest
+    valid reading up to a group's end counts; the rest is read anew. Rows
     don't depend on each other, so repeated rows and further columns pass through; columns of the added names are replaced. No shuffle, no Python on the executors.
     """
     docs = docs.drop("_n_private", "_kinds", "_seen", "_mark", "_parted")
     secret, text = F.lit(key), F.col("_parted")
     runs = F.transform(F.regexp_extract_all(F.col(text_column), F.lit(f"{BREAK}+"), F.lit(0)), F.length)
     docs_marked = docs.withColumn("_mark", F.repeat(F.lit(BREAK), F.coalesce(F.array_max(runs), F.lit(0)) + 1))
-    docs_marked = docs_marked.withColumn("_parted", _parted(F.col(text_column), F.col("_mark"), secret))
+    docs_marked = docs_marked.withColumn("_parted", _parted(F.col(text_column), F.col("_mark")))
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     seen = docs_marked.withColumn("_seen", F.transform(found, lambda m: F.struct(m.alias("m"), pseudonym(m, secret).alias("p"))))
     fresh = F.transform("_seen", lambda x: F.coalesce(x["p"]["value"], x["m"]))
