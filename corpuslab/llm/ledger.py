@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .common import materialise, new_run_dir
 
@@ -52,6 +52,9 @@ FURTHER = (
 )
 RULES = BASE + FURTHER
 
+#: Parts that the versions of one blob are dealt to when findings are joined back; findings, one row a blob that has any, are repeated as often.
+SALTS = 8
+
 LEDGER = "blob string, rules array<string>, spans array<struct<rule: string, start: int, end: int>>"
 
 
@@ -113,19 +116,24 @@ def findings(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES, te
     """All rows and columns of ``versions`` but the text, with ``_blob`` and ``_findings``: what the ledger has for these rules.
 
     ``_findings`` is an array of (start, kind, end), by start, then by the order of ``rules``, then by end; it is empty where a blob has no secret or was never
-    scanned. A pair that two scans hold counts once. Columns of these two names are replaced. Versions are a written table and may
-    be split where a blob is in very many of them; a blob has one row on the other side.
+    scanned. A pair that two scans hold counts once. Columns of these two names are replaced. The versions of a blob are dealt to
+    ``SALTS`` parts by their other columns, and are a written table, so that a part may be split further where a blob is in very many versions.
     """
     spark = versions.sparkSession
     plain = versions.drop("_blob", "_findings").withColumn("_blob", blob_of(F.col(text_column))).drop(text_column)
-    addressed = materialise(plain.withColumnsRenamed({c: f"further_{k}" for k, c in enumerate(plain.columns[:-1])}), "versions")
+    further = [f"further_{k}" for k in range(len(plain.columns) - 1)]
+    simple = [c for c, f in zip(further, plain.schema.fields, strict=False) if isinstance(f.dataType, (T.NumericType, T.StringType, T.DateType, T.TimestampType))]
+    addressed = plain.toDF(*further, "_blob").withColumn("_salt", F.pmod(F.xxhash64("_blob", *simple), F.lit(SALTS)))
+    addressed = materialise(addressed, "versions")
     number = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.version, k)])
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     spans = read_ledger(spark, ledger).select("blob", F.explode("spans").alias("s")).withColumn("no", number[F.col("s.rule")]).where("no is not null")
     found = spans.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct("s.start", "no", "s.end"))).alias("found"))
+    found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salt", F.col("salt").cast("long"))
     listed = F.transform("found", lambda x: F.struct(x["start"].alias("start"), F.get(kinds, x["no"]).alias("kind"), x["end"].alias("end")))
     empty = F.array().cast("array<struct<start: int, kind: string, end: int>>")
-    out = addressed.join(found, addressed["_blob"] == found["blob"], "left").select(*addressed.columns, F.coalesce(listed, empty).alias("_findings"))
+    near = (addressed["_blob"] == found["blob"]) & (addressed["_salt"] == found["salt"])
+    out = addressed.join(found, near, "left").select(*further, "_blob", F.coalesce(listed, empty).alias("_findings"))
     return out.toDF(*plain.columns, "_findings")
 
 
