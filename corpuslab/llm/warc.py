@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -26,6 +30,7 @@ PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE_BYTES = 16 << 20  # raw record bytes after which a task closes an archive
 SAMPLE_BYTES = 1 << 20  # raw record bytes of an archive that train its dictionary
+PIECE_BYTES = 8 << 10  # longest sample
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 3
 
@@ -35,32 +40,47 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(kind: bytes, page: int | None, url: str | None, payload: bytes, sha: str, refers: int | None, date: str) -> bytes:
+def record(kind: bytes, page: int | str | None, url: str | None, payload: bytes, sha: str, refers: int | str | None, date: str) -> bytes:
     """A response record, or a revisit record that keeps the HTTP head only."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head if kind == b"revisit" else head + payload
     uri = " ".join((url or "").split()).encode()
     lines = [VERSION, b"WARC-Type: " + kind, b"WARC-Date: " + date.encode()]
-    lines.append(b"WARC-Record-ID: <urn:page:%s>" % (b"" if page is None else str(page).encode()))
+    name = lambda x: b"" if x is None else quote(str(x), safe="").encode()
+    lines.append(b"WARC-Record-ID: <urn:page:%s>" % name(page))
     lines.append(b"WARC-Target-URI: " + uri)
     lines.append(b"WARC-Payload-Digest: sha1:" + sha.encode())
     if kind == b"revisit":
-        lines += [b"WARC-Profile: " + PROFILE, b"WARC-Refers-To: <urn:page:%s>" % str(refers).encode()]
+        lines += [b"WARC-Profile: " + PROFILE, b"WARC-Refers-To: <urn:page:%s>" % name(refers)]
     lines += [b"Content-Type: application/http; msgtype=response", b"Content-Length: %d" % len(block)]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def samples(records: list[bytes], sample_bytes: int = SAMPLE_BYTES, piece: int = PIECE_BYTES) -> list[bytes]:
+    """Evenly spaced pieces of an archive, ``sample_bytes`` at most: records up to ``piece`` bytes whole, of longer ones stretches of that size."""
+    starts = list(accumulate(map(len, records), initial=0))
+    total = starts[-1]
+    count = max(1, min(sample_bytes, total) // piece) if total > sample_bytes else -(-total // 64)
+    chosen = {}
+    for k in range(count):
+        at = k * total // count
+        number = bisect_right(starts, at) - 1
+        offset = (at - starts[number]) // piece * piece
+        chosen[number, offset] = records[number][offset : offset + piece]
+    return [x for x in chosen.values() if x]
+
+
 def dictionary_of(records: list[bytes], sample_bytes: int = SAMPLE_BYTES, size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict | None:
-    """Dictionary of an archive's records, trained on evenly spaced whole records up to ``sample_bytes``; None where too few."""
-    total = sum(map(len, records))
-    step = max(1, -(-total // sample_bytes))
-    sample = records[::step]
-    if len(sample) < 8:
-        return None
+    """Dictionary trained on samples of an archive's records, whatever their number and size.
+
+    Where there is too little to train on, the samples themselves are the dictionary; None only where there are not even eight bytes.
+    """
+    sample = samples(records, sample_bytes)
     try:
         return zstandard.train_dictionary(size, sample, k=256, d=8)
-    except zstandard.ZstdError:  # too little or too uniform content to train on
-        return None
+    except (zstandard.ZstdError, ValueError):
+        raw = b"".join(sample)[-size:]
+        return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(raw) >= 8 else None
 
 
 def archive(records: list[bytes]) -> Iterator[bytes]:
@@ -73,22 +93,29 @@ def archive(records: list[bytes]) -> Iterator[bytes]:
         yield packer.compress(one)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path in it of a plain path or of a URI; local ones may be written ``file:/x`` or ``file:///x``."""
+    if re.match("file:/", path):
+        return pafs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return pafs.FileSystem.from_uri(path) if re.match("[A-Za-z][A-Za-z0-9+.-]*://", path) else (pafs.LocalFileSystem(), path)
+
+
 def parse(one: bytes) -> dict:
-    """Fields of an expanded record; the payload is None for a revisit."""
+    """Fields of an expanded record, ids as text; the payload is None for a revisit."""
     head, _, block = one.partition(b"\r\n\r\n")
     fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
     block = block[: int(fields[b"Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     length = int(http.rpartition(b"Content-Length: ")[2])
-    number = lambda name: int(x) if (x := fields.get(name, b"<urn:page:>")[10:-1]) else None
+    named = lambda name: unquote(x.decode()) if (x := fields.get(name, b"<urn:page:>")[10:-1]) else None
     kind = fields[b"WARC-Type"].decode()
     return {
-        "page_id": number(b"WARC-Record-ID"),
+        "page_id": named(b"WARC-Record-ID"),
         "url": fields[b"WARC-Target-URI"].decode(),
         "record_type": kind,
         "payload_digest": fields[b"WARC-Payload-Digest"].decode().removeprefix("sha1:"),
         "payload_bytes": length,
-        "refers_to": number(b"WARC-Refers-To"),
+        "refers_to": named(b"WARC-Refers-To"),
         "payload": payload if kind == "response" else None,
     }
 
@@ -145,7 +172,7 @@ def write_archives(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        files, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        files, root = file_system(folder)
         files.create_dir(root, recursive=True)
         held, size, count = [], 0, 0
 
@@ -166,7 +193,7 @@ def write_archives(
             urls, bodies = batch.column(1), batch.column(2)
             for row, page in enumerate(ids):
                 payload, first = as_bytes(bodies.slice(row, 1))[0], firsts[row]
-                again = first is not None and (page is None or page > first)
+                again = first is not None and page != first
                 kind = b"revisit" if again else b"response"
                 one = record(kind, page, urls[row].as_py(), payload, digest(payload), first, date)
                 held.append(one)
@@ -179,20 +206,22 @@ def write_archives(
     return materialise(rows.mapInArrow(run, "path string, n_records long, n_bytes long"), "archives")
 
 
-def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, payload: bool = True, id_type: str = "long") -> DataFrame:
     """The records of a table with archive ``path``s, read record by record; a response's digest is computed from its payload.
 
+    ``id_type`` is the type of the page ids, which an archive holds as text.
+
     Fails where a payload doesn't have the digest or length that its record states.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()),
-             ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())]
+            [("page_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()),
+             ("payload_bytes", pa.int64()), ("refers_to", pa.string()), ("payload", pa.binary())]
         )
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                files, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+                files, root = file_system(path)
                 rows, size = [], 0
                 with files.open_input_stream(root) as stream:
                     for one in expand(stream):
@@ -212,7 +241,7 @@ def read_archives(archives: DataFrame, payload: bool = True) -> DataFrame:
 
     spark = archives.sparkSession
     n = max(1, min(archives.count(), 4 * spark.sparkContext.defaultParallelism))
-    return archives.select("path").repartition(n).mapInArrow(
-        run,
-        "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary",
+    found = archives.select("path").repartition(n).mapInArrow(
+        run, "page_id string, url string, record_type string, payload_digest string, payload_bytes long, refers_to string, payload binary"
     )
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
