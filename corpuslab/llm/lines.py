@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import as_bytes, materialise, narrow
+from .common import as_bytes, materialise
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -28,7 +28,7 @@ def key_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def line_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Columns ``id``, ``h1``, ``h2``: the distinct non-empty keys of every document, one row each."""
+    """Columns ``id``, ``tie``, ``h1``, ``h2``: the distinct non-empty keys of every document, one row each; ``tie`` is a hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,11 +38,13 @@ def line_keys(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 parts.extend(map(xxhash.xxh3_128_digest, found))
                 rows.append(len(found))
             both = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), rows)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(both[:, 0]), pa.array(both[:, 1])], names=["id", "h1", "h2"])
+            owners = pa.array(np.repeat(np.arange(batch.num_rows), rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(owners), batch.column(2).take(owners), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["id", "tie", "h1", "h2"]
+            )
 
-    kept = narrow(docs, id_column, text_column)
-    return kept.mapInArrow(run, f"id {kept.schema[id_column].dataType.simpleString()}, h1 long, h2 long")
+    kept = docs.select(id_column, text_column, F.xxhash64(text_column).alias("tie"))
+    return kept.mapInArrow(run, f"id {kept.schema[id_column].dataType.simpleString()}, tie long, h1 long, h2 long")
 
 
 def drop_frequent_lines(
@@ -56,7 +58,8 @@ def drop_frequent_lines(
     row counts as a document, also where rows repeat an id or lack one.
 
     Keys are counted by 128-bit hash with a fold before the shuffle. Only ids and hashes are joined with the
-    frequent keys, a join that may split a hot key; every document then gets the few frequent keys it holds.
+    frequent keys, a join that may split a hot key; every document then gets the few frequent keys it holds, by its id and
+    a hash of its text, so that rows that share an id or lack one don't meet.
     """
     if min_chars < 1:
         raise ValueError("empty lines are never keys")
@@ -64,10 +67,10 @@ def drop_frequent_lines(
     keys = line_keys(docs, id_column, text_column)
     frequent = keys.groupBy("h1", "h2").count().where(F.col("count") >= min_docs).select("h1", "h2")
     frequent = materialise(frequent, "frequent")
-    hits = keys.join(frequent, ["h1", "h2"], "left_semi").groupBy("id").agg(
-        F.collect_list("h1").alias("_h1"), F.collect_list("h2").alias("_h2")
-    )
-    joined = docs.join(hits, docs[id_column].eqNullSafe(hits["id"]), "left").drop(hits["id"])
+    hits = keys.join(frequent, ["h1", "h2"], "left_semi").groupBy("id", "tie").agg(F.collect_set(F.struct("h1", "h2")).alias("_keys"))
+    hits = hits.select("id", "tie", F.col("_keys.h1").alias("_h1"), F.col("_keys.h2").alias("_h2"))
+    same = docs[id_column].eqNullSafe(hits["id"]) & (F.xxhash64(docs[text_column]) == hits["tie"])
+    joined = docs.join(hits, same, "left").drop(hits["id"], hits["tie"])
     at = docs.columns.index(text_column)
     # positions of columns, not names: the table may have columns of any name
     width = len(docs.columns)
