@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,6 +79,11 @@ def evaluated_once(**columns: Column) -> Column:
     return F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition: equal keys, null being equal to null."""
+    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def iso_timestamp(value: Column) -> Column:
     """ISO form of a time stamp in the session's time zone: no fraction where it is zero, else six digits."""
     whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")

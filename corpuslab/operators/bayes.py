@@ -20,18 +20,14 @@ from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from ..functions.columns import same_keys
 from ..session import materialise, new_run_dir
-from .features import (
-    TfidfParams,
-    document_count,
-    term_frequencies,
-    tf_value,
-    tfidf,
-    vocabulary,
-)
+from .features import HEAD_TERMS, TfidfParams, count_table, document_count, join_terms, tf_value, vocabulary, weights_of
 
 # Pseudo class that collects the total weight of a document.
 TOTAL_CLASS = -1
+#: Class and term pairs that are broadcast at most.
+HEAD_PAIRS = 200_000
 # Scores are compared after rounding, so equal sums in another order stay equal.
 TIE_DIGITS = 9
 
@@ -133,20 +129,25 @@ def score_sums(
     document totals come out of the same join. Documents without a known term
     stay, with a null class. The terms of a document are folded before the
     shuffle. The pairs of a term are packed into one row of a written table, so that a
-    token is joined once, whatever the number of classes, and Spark knows the table's size; a
-    common word on the other side of a shuffled join is left to the skew rule.
+    token is joined once, whatever the number of classes; frequent terms are joined by broadcast
+    (``features.join_terms``), as many as hold ``HEAD_PAIRS`` pairs at most.
     """
+    counts = count_table(documents, features, keep)
     totals = vocab.select("term", "idf", F.lit(TOTAL_CLASS).alias("class_id"))
     pairs = gains.unionByName(totals, allowMissingColumns=True)
     packed = F.collect_list(F.struct(*[c for c in pairs.columns if c not in ("term", "idf")]))
-    scorer = materialise(pairs.groupBy("term").agg(F.first("idf").alias("idf"), packed.alias("_pairs")), "scorer")
-    terms = term_frequencies(documents.select(*keep, "text"), features, keep)
+    scorer = pairs.groupBy("term").agg(F.first("idf").alias("idf"), packed.alias("_pairs"))
+    scorer = materialise(scorer.join(vocab.select("term", "df"), "term"), "scorer")
+    widest = scorer.agg(F.max(F.size("_pairs"))).first()[0] or 1
+    terms = counts.select(*keep, F.inline("counts"))
     weighted = (
-        terms.join(scorer, "term", "left")
+        join_terms(terms, scorer, head_rows=max(1, min(HEAD_TERMS, HEAD_PAIRS // widest)))
         .withColumn("w", tf_value(features) * F.col("idf"))
-        .select(*keep, "w", F.inline_outer("_pairs"))
+        .select(*keep, "w", F.inline("_pairs"))
     )
-    return weighted.groupBy(*keep, "class_id").agg(*[c.alias(n) for n, c in sums.items()])
+    found = weighted.groupBy(*keep, "class_id").agg(*[c.alias(n) for n, c in sums.items()])
+    every = counts.select(*keep).distinct()
+    return every.join(found, same_keys(every, found, keep), "left").select(*[every[c] for c in keep], "class_id", *sums)
 
 
 @dataclass(frozen=True)
@@ -313,14 +314,15 @@ def fit(
     """
     path = path or new_run_dir(train.sparkSession, "naive-bayes")
     labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    counted = term_frequencies(labelled.select("record_id", "text"), features)
+    counts = count_table(labelled, features, ("record_id", "label"))
+    counted = counts.select(F.inline("counts"))
     vocab = materialise(
-        vocabulary(counted, document_count(labelled), features), "vocab", f"{path}/vocab"
+        vocabulary(counted, document_count(counts), features), "vocab", f"{path}/vocab"
     )
     n_terms = vocab.count()
-    weights = tfidf(labelled, vocab, features, keep=("record_id", "label"))
+    weights = weights_of(counts, vocab, features, ("record_id", "label"))
     sums = materialise(term_sums(weights), "sums", f"{path}/sums")
-    classes = class_table(labelled, sums, F.lit(n_terms), params).withColumn(
+    classes = class_table(counts, sums, F.lit(n_terms), params).withColumn(
         "params", F.lit(_params_text(features, params))
     )
     return NaiveBayesModel(

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import same_keys
 from ..functions.text import DEFAULT_TOKEN_PATTERN, ngrams, term_counts, tokens
+from ..session import materialise
 
 
 @dataclass(frozen=True)
@@ -131,28 +133,57 @@ def document_count(documents: DataFrame) -> Column:
     return documents.agg(F.count("*")).scalar()
 
 
-def raw_weights(terms: DataFrame, vocab: DataFrame, params: TfidfParams) -> DataFrame:
+#: Terms of a vocabulary that are always broadcast, the most frequent ones.
+HEAD_TERMS = 5_000
+
+
+def count_table(documents: DataFrame, params: TfidfParams = TfidfParams(), keep: Sequence[str] = ("record_id",)) -> DataFrame:
+    """Written ``(*keep, counts)``: the terms of every document with their counts, one row a document. Runs a job.
+
+    Texts are tokenised once for it, and what needs terms later reads them here.
+    """
+    return materialise(documents.select(*keep, term_counts(document_terms(F.col("text"), params)).alias("counts")), "counts")
+
+
+def join_terms(rows: DataFrame, side: DataFrame, order: str = "df", head_rows: int = HEAD_TERMS) -> DataFrame:
+    """Inner join of token rows with a written table that has one row a term. Runs a small job.
+
+    A word of nearly every document would fill one task of a shuffled join. So the ``head_rows`` terms with the greatest ``order`` are joined
+    by broadcast, their number being fixed, and never shuffled; only the rare terms that are left meet in a join that Spark may
+    shuffle. Both parts run always.
+    """
+    head = materialise(side.orderBy(F.desc(order), "term").limit(head_rows), "head")
+    frequent = F.broadcast(head.select("term"))
+    common = rows.join(F.broadcast(head), "term")
+    rare = rows.join(frequent, "term", "left_anti").join(side.join(frequent, "term", "left_anti"), "term")
+    return common.unionByName(rare)
+
+
+def _weighted(counts: DataFrame, vocab: DataFrame, params: TfidfParams, keep: Sequence[str]) -> DataFrame:
     """tf times idf of the terms that are in the vocabulary."""
-    return terms.join(vocab.select("term", "idf"), "term").withColumn(
-        "weight", tf_value(params) * F.col("idf")
-    )
+    terms = counts.select(*keep, F.inline("counts"))
+    return join_terms(terms, vocab.select("term", "df", "idf")).withColumn("weight", tf_value(params) * F.col("idf"))
 
 
-def normalise(weights: DataFrame, params: TfidfParams, key: str = "record_id") -> DataFrame:
-    """Scale the weights of every document to unit l1 or l2 norm.
+def norms(counts: DataFrame, vocab: DataFrame, params: TfidfParams, key: str = "record_id") -> DataFrame:
+    """``(key, norm)`` of the documents with a known term; the terms of a document fold to one row before they are moved."""
+    w = F.col("weight")
+    size = F.sum(F.abs(w)) if params.norm == "l1" else F.sqrt(F.sum(w * w))
+    return _weighted(counts, vocab, params, [key]).groupBy(key).agg(size.alias("norm"))
 
-    The window is keyed by document; on input that is already partitioned by
-    document it adds no exchange.
+
+def weights_of(
+    counts: DataFrame, vocab: DataFrame, params: TfidfParams = TfidfParams(), keep: Sequence[str] = ("record_id",)
+) -> DataFrame:
+    """Normalised weights ``(*keep, term, idf, weight)`` from a count table.
+
+    Norms come first and are joined while a document is one row, so no row of a frequent term is ever moved.
     """
     if params.norm is None:
-        return weights
-    document = W.partitionBy(key)
-    w = F.col("weight")
-    if params.norm == "l1":
-        size = F.sum(F.abs(w)).over(document)
-    else:
-        size = F.sqrt(F.sum(w * w).over(document))
-    return weights.withColumn("weight", w / size)
+        return _weighted(counts, vocab, params, keep).select(*keep, "term", "idf", "weight")
+    sizes = norms(counts, vocab, params, keep[0])
+    sized = counts.join(sizes, same_keys(counts, sizes, keep[:1])).drop(sizes[keep[0]])
+    return _weighted(sized, vocab, params, [*keep, "norm"]).select(*keep, "term", "idf", (F.col("weight") / F.col("norm")).alias("weight"))
 
 
 def tfidf(
@@ -161,16 +192,8 @@ def tfidf(
     params: TfidfParams = TfidfParams(),
     keep: Sequence[str] = ("record_id",),
 ) -> DataFrame:
-    """Normalised weights ``(*keep, term, idf, weight)`` of any documents.
-
-    Documents are spread by id while they are still one row each, which is much
-    less data than their exploded terms, and everything after that runs on the
-    same partitioning.
-    """
-    spread = documents.select(*keep, "text").repartition(keep[0])
-    terms = term_frequencies(spread, params, keep).where(F.col("term").isNotNull())
-    weighted = raw_weights(terms, vocab, params)
-    return normalise(weighted, params, keep[0]).select(*keep, "term", "idf", "weight")
+    """Normalised weights ``(*keep, term, idf, weight)`` of any documents. Runs a job that counts their terms."""
+    return weights_of(count_table(documents, params, keep), vocab, params, keep)
 
 
 def truncate(sequence: Column, max_length: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ..functions.columns import same_keys
 from ..functions.text import is_blank
 from ..session import materialise
 from ..schemas import STATUS_NO_TEXT, STATUS_SUCCESS, STATUS_UNKNOWN
@@ -43,12 +44,6 @@ def reuse_stored(candidates: DataFrame, index: DataFrame, store: DataFrame, know
     return candidates.select("story_id", "seq").join(keys, "story_id", "left_semi").join(store.drop("seq"), "story_id")
 
 
-def _cut_after(new: DataFrame, limit: int) -> DataFrame:
-    """Frame with the position of the ``limit``-th new article, empty if there are fewer. Articles without a position don't count."""
-    placed = new.select("seq").where(F.col("seq").isNotNull())
-    return value_at_ranks(placed, "seq", [F.lit(limit)]).select(F.col("seq").alias("cut"))
-
-
 def ingest(
     candidates: DataFrame, index: DataFrame, store: DataFrame, limit: int | None = None, known: DataFrame | None = None
 ) -> DataFrame:
@@ -63,19 +58,24 @@ def ingest(
         return candidates.where(F.lit(False)).withColumn("status", derive_status(F.col("text"))).withColumn(
             "origin", F.lit("new")
         )
-    new = (
-        skip_retrieved(candidates, index, known)
-        .where(has_value(F.col("url")))
-        .withColumn("status", derive_status(F.col("text")))
-    )
-    old = reuse_stored(candidates, index, store, known)
-    if limit is not None:
-        cut = F.coalesce(_cut_after(new, limit).scalar(), F.lit(2**63 - 1))
-        new = new.where(F.col("seq") <= cut)
-        old = old.where(F.col("seq") < cut)
-    columns = new.columns
+    if limit is None:
+        fresh = skip_retrieved(candidates, index, known).where(has_value(F.col("url")))
+        old = reuse_stored(candidates, index, store, known)
+    else:
+        keys = (valid_index_keys(index) if known is None else known).withColumn("_known", F.lit(True))
+        narrow = candidates.select("story_id", "seq", has_value(F.col("url")).alias("_url")).join(keys, "story_id", "left")
+        # The index is asked once; the cut is found in, and both parts are taken from, a table of keys.
+        told = materialise(narrow.withColumn("_known", F.coalesce("_known", F.lit(False))).where("_known OR _url"), "told")
+        counted = told.where("NOT _known AND seq IS NOT NULL").select("seq", F.lit(1).cast("bigint").alias("_m"))
+        cut = F.coalesce(value_at_ranks(counted, "seq", [F.lit(limit)], weight="_m").select("seq").scalar(), F.lit(2**63 - 1))
+        taken = told.where(F.col("seq") <= cut)
+        first = taken.where("NOT _known").select("story_id", "seq")
+        fresh = candidates.join(first, same_keys(candidates, first, ["story_id", "seq"]), "left_semi").where(has_value(F.col("url")))
+        old = told.where(F.col("_known") & (F.col("seq") < cut)).select("story_id", "seq").join(store.drop("seq"), "story_id")
+    new = fresh.withColumn("status", derive_status(F.col("text")))
+    columns = candidates.columns if "status" in candidates.columns else [*candidates.columns, "status"]
     return (
-        new.withColumn("origin", F.lit("new"))
+        new.select(*columns).withColumn("origin", F.lit("new"))
         .unionByName(old.select(*columns).withColumn("origin", F.lit("existing")))
     )
 

@@ -8,6 +8,8 @@ only that one bucket is ranked, and the selection is then a plain comparison.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..session import materialise
@@ -50,7 +52,7 @@ def value_at_ranks(
 
     ``values`` has one non-null numeric column; the rank expressions may use the
     total count ``n``. Equal values are counted once and written, unless ``weight`` names
-    a column with the counts of distinct values. Each round cuts the interval that
+    a column with counts of values, which may then repeat. Each round cuts the interval that
     holds a rank into ``buckets`` parts and goes on with the one that holds it, until it holds one value; the
     driver sees one small row for each part. Nothing is sorted, and how many rounds it takes depends on the
     range of the values, not on their number. A rank beyond the end gives no row.
@@ -64,13 +66,25 @@ def value_at_ranks(
     whole = counts.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("_n").alias("n"))
     head = whole.select("lo", "hi", "n", *[r.cast("long").alias(f"_r{k}") for k, r in enumerate(ranks)]).first()
     out = []
+    exact = not isinstance(kind, (T.DoubleType, T.FloatType))
+
+    def part_of(lo, hi) -> Column:
+        """Part of the interval that holds a value; whole numbers and decimals are cut in units of their last digit."""
+        if exact:
+            scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+            units = lambda v: int(Decimal(v).scaleb(scale))
+            width = -(-(units(hi) - units(lo) + 1) // buckets)
+            step = F.lit(Decimal(width).scaleb(-scale)).cast(f"decimal(38,{scale})")
+            return F.floor((F.col(value).cast(f"decimal(38,{scale})") - F.lit(lo).cast(f"decimal(38,{scale})")) / step)
+        low, high = float(lo), float(hi)
+        return F.least(F.floor((F.col(value).cast("double") - low) / ((high - low) / buckets)), F.lit(buckets - 1))
+
     for which in range(len(ranks)):
         lo, hi, rank = head["lo"], head["hi"], head[f"_r{which}"]
         if rank is None or head["n"] is None or not 1 <= rank <= head["n"]:
             continue
         while lo < hi:
-            x, low, high = F.col(value).cast("double"), float(lo), float(hi)
-            part = F.least(F.floor((x - low) / ((high - low) / buckets)), F.lit(buckets - 1)) if high > low else F.lit(0)
+            part = part_of(lo, hi)
             inside = counts.where(F.col(value).between(F.lit(lo), F.lit(hi)))
             found = inside.groupBy(part.alias("_part")).agg(
                 F.sum("_n").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
@@ -79,12 +93,6 @@ def value_at_ranks(
                 if rank <= row["n"]:
                     break
                 rank -= row["n"]
-            if (row["lo"], row["hi"]) == (lo, hi):  # closer than doubles can tell apart
-                for one in inside.orderBy(value).collect():
-                    if rank <= one["_n"]:
-                        row = {"lo": one[value], "hi": one[value]}
-                        break
-                    rank -= one["_n"]
             lo, hi = row["lo"], row["hi"]
         out.append((which, lo))
     return spark.createDataFrame(out, T.StructType([T.StructField("which", T.IntegerType()), T.StructField(value, kind)]))

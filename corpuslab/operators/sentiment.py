@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import sentiment_class
+from ..functions.columns import same_keys, sentiment_class
 from .features import TfidfParams, term_frequencies
 
 # Fixed value: normalisation constant of the compound score (Hutto & Gilbert 2014).
@@ -28,7 +28,8 @@ def lexicon_sentiment(
         F.sum(tf).alias("n_hits"), *[F.sum(tf * F.col(c)).alias(n) for c, n in (("valence", "valence"), ("polarity", "polarity_sum"), ("subjectivity", "subjectivity_sum"))]
     )
     zero = {"n_hits": F.lit(0).cast("bigint"), "valence": F.lit(0.0), "polarity_sum": F.lit(0.0), "subjectivity_sum": F.lit(0.0)}
-    sums = documents.select(*keep).join(hits, list(keep), "left").select(*keep, *[F.coalesce(F.col(n), z).alias(n) for n, z in zero.items()])
+    every = documents.select(*keep)
+    sums = every.join(hits, same_keys(every, hits, keep), "left").select(*[every[c] for c in keep], *[F.coalesce(F.col(n), z).alias(n) for n, z in zero.items()])
     total = F.col("valence")
     compound = total / F.sqrt(total * total + COMPOUND_NORM)
     hits = F.col("n_hits")

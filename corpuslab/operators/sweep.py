@@ -9,11 +9,11 @@ from dataclasses import dataclass, replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..functions.columns import let
+from ..functions.columns import let, same_keys
 from ..functions.text import ngrams, term_counts
 from ..session import materialise
-from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
-from .features import TfidfParams, document_tokens, idf_value, tf_value
+from .bayes import HEAD_PAIRS, TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
+from .features import HEAD_TERMS, TfidfParams, document_tokens, idf_value, join_terms, tf_value
 from .metrics import METRICS, weighted_metrics
 
 
@@ -36,6 +36,11 @@ class NaiveBayesConfig:
         rest = {k: tuple(v) if isinstance(v, list) else v for k, v in self.features.as_dict().items()}
         return (*sorted(rest.items()), self.fit_prior, self.class_prior)
 
+    def token_rule(self) -> tuple:
+        """What decides the tokens of a text."""
+        stops = self.features.stop_words
+        return self.features.lowercase, self.features.token_pattern, tuple(stops) if isinstance(stops, list) else stops
+
     def whole(self) -> tuple[TfidfParams, NaiveBayesParams]:
         """The parameters of a single fit."""
         own = {"ngram_range": (self.ngram_lo, self.ngram_hi), "min_df": self.min_df, "max_df": self.max_df}
@@ -110,11 +115,12 @@ def fit_and_predict_many(
 ) -> DataFrame:
     """Predictions ``(config_id, record_id, y_true, y_pred)`` of all configurations.
 
-    Configurations that differ in smoothing, n-grams and document-frequency bounds only share one plan; the
+    Texts are tokenised once for each token rule (case, pattern, stop words) and written as counts, which all configurations of the
+    rule read. Configurations that differ in smoothing, n-grams and document-frequency bounds only share one plan; the
     others form a plan for each set of further parameters. One that bounds the vocabulary by
-    ``max_features`` is fitted by itself.
+    ``max_features`` is fitted by itself. Runs jobs.
     """
-    out, groups = None, {}
+    out, groups, tables = None, {}, {}
     for c in configs:
         if c.alpha <= 0:
             raise ValueError("alpha must be positive in every configuration")
@@ -126,7 +132,14 @@ def fit_and_predict_many(
                 F.lit(group[0].config_id).alias("config_id"), "record_id", F.col("label").alias("y_true"), "y_pred"
             )
         else:
-            part = _predict_group(train, test, group)
+            rule = group[0].token_rule()
+            if rule not in tables:
+                alike = [c for c in configs if c.token_rule() == rule]
+                low, high = min(c.ngram_lo for c in alike), max(c.ngram_hi for c in alike)
+                counts = _sized_terms(F.col("text"), low, high, group[0].features).alias("counts")
+                labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
+                tables[rule] = [materialise(t.select("record_id", "label", counts), "counts") for t in (labelled, test)]
+            part = _predict_group(*tables[rule], group)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -134,24 +147,16 @@ def fit_and_predict_many(
 def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBayesConfig]) -> DataFrame:
     """Predictions of configurations that share all but smoothing, n-grams and document-frequency bounds.
 
-    Tokens and document frequencies are computed once. Pruning decides per term
+    ``train`` and ``test`` are written counts ``(record_id, label, counts)``. Document frequencies are computed once. Pruning decides per term
     which configurations use it, and ``config_id`` is one more group key from
     there on. A configuration left without vocabulary yields no rows. The
-    vocabulary and the term sums are written once, which runs jobs.
+    vocabulary and the term sums are written once, which runs jobs. Token rows meet terms as in ``features.join_terms``, and a document's norms are
+    joined while it is one row.
     """
     params = configs[0].features
-    low, high = min(c.ngram_lo for c in configs), max(c.ngram_hi for c in configs)
-    labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    n_docs = labelled.agg(F.count("*")).scalar()
-
-    def terms_of(documents: DataFrame, *keep: str) -> DataFrame:
-        return documents.select(
-            *keep, F.inline_outer(_sized_terms(F.col("text"), low, high, params))
-        )
-
+    n_docs = train.agg(F.count("*")).scalar()
     counted = (
-        terms_of(labelled)
-        .where(F.col("term").isNotNull())
+        train.select(F.inline("counts"))
         .groupBy("n", "term")
         .agg(F.count("*").alias("df"))
         .withColumn("_n", n_docs)
@@ -169,41 +174,32 @@ def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBay
     )
     vocab = materialise(
         counted.select(
-            "term", idf_value(df, F.col("_n"), params).alias("idf"), users.alias("users")
+            "term", "df", idf_value(df, F.col("_n"), params).alias("idf"), users.alias("users")
         ).where(F.size("users") > 0),
         "sweep-vocab",
     )
 
-    spread = labelled.select("record_id", "label", "text").repartition("record_id")
-    raw = (
-        terms_of(spread, "record_id", "label")
-        .join(vocab, "term")
-        .select(
-            "record_id",
-            "label",
-            "term",
-            "idf",
-            (tf_value(params) * F.col("idf")).alias("weight"),
-            F.inline("users"),
-        )
-    )
+    def weighted(counts: DataFrame, *keep: str) -> DataFrame:
+        rows = join_terms(counts.select(*keep, F.inline("counts")), vocab, head_rows=max(1, min(HEAD_TERMS, HEAD_PAIRS // len(configs))))
+        return rows.select(*keep, "term", "df", "idf", (tf_value(params) * F.col("idf")).alias("weight"), F.inline("users"))
+
     weight = F.col("weight")
-    document = W.partitionBy("record_id", "config_id")
-    size = {
-        "l2": F.sqrt(F.sum(weight * weight).over(document)),
-        "l1": F.sum(F.abs(weight)).over(document),
-        None: F.lit(1.0),
-    }[params.norm]
+    if params.norm is None:
+        raw = weighted(train, "record_id", "label")
+    else:
+        size = F.sum(F.abs(weight)) if params.norm == "l1" else F.sqrt(F.sum(weight * weight))
+        each = weighted(train, "record_id").groupBy("record_id", "config_id").agg(size.alias("norm"))
+        sizes = each.groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("config_id", "norm"))).alias("norms"))
+        sized = train.join(sizes, same_keys(train, sizes, ["record_id"])).drop(sizes["record_id"])
+        raw = weighted(sized, "record_id", "label", "norms").withColumn("weight", weight / F.try_element_at("norms", F.col("config_id")))
     sums = materialise(
-        raw.withColumn("weight", weight / size)
-        .groupBy("config_id", "alpha", "label", "term")
-        .agg(F.sum("weight").alias("n_ct"), F.max("idf").alias("idf")),
+        raw.groupBy("config_id", "alpha", "label", "term").agg(F.sum("weight").alias("n_ct"), F.max("idf").alias("idf"), F.max("df").alias("df")),
         "sweep-sums",
     )
     totals = sums.groupBy("config_id", "alpha", "label").agg(F.sum("n_ct").alias("n_c"))
-    used = vocab.select("term", "idf", F.inline("users"))
+    used = vocab.select("term", "df", "idf", F.inline("users"))
     vocab_sizes = used.groupBy("config_id", "alpha").agg(F.count("*").alias("v"))
-    docs = labelled.groupBy("label").agg(F.count("*").alias("n_docs"))
+    docs = train.groupBy("label").agg(F.count("*").alias("n_docs"))
     everything = W.partitionBy(F.lit(1))
     if configs[0].class_prior is not None:
         given = F.array(*[F.lit(float(p)) for p in configs[0].class_prior])
@@ -233,15 +229,18 @@ def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBay
 
     delta = F.log(F.col("n_ct") + F.col("alpha")) - F.log("alpha")
     # Rows without a label carry the total weight of a document.
-    scorer = sums.select("term", "idf", "config_id", "label", delta.alias("delta")).unionByName(
-        used.select("term", "idf", "config_id"), allowMissingColumns=True
+    pairs = sums.select("term", "df", "idf", "config_id", "label", delta.alias("delta")).unionByName(
+        used.select("term", "df", "idf", "config_id"), allowMissingColumns=True
     )
+    listed = F.collect_list(F.struct("config_id", "label", "delta")).alias("_pairs")
+    scorer = materialise(pairs.groupBy("term").agg(F.max("df").alias("df"), F.max("idf").alias("idf"), listed), "scorer")
+    widest = scorer.agg(F.max(F.size("_pairs"))).first()[0] or 1
     w, is_total = F.col("w"), F.col("label").isNull()
+    terms = test.select("record_id", F.inline("counts"))
     hits = (
-        terms_of(test, "record_id", "label")
-        .withColumnRenamed("label", "y_true")
-        .join(scorer, "term")
+        join_terms(terms, scorer, head_rows=max(1, min(HEAD_TERMS, HEAD_PAIRS // widest)))
         .withColumn("w", tf_value(params) * F.col("idf"))
+        .select("record_id", "w", F.inline("_pairs"))
         .groupBy("record_id", "config_id", "label")
         .agg(F.sum(w * F.coalesce("delta", F.lit(1.0))).alias("s"), F.sum(w * w).alias("sq"))
         .groupBy("record_id", "config_id")

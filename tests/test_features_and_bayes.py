@@ -290,13 +290,16 @@ def test_config_mappings_and_draws():
     assert sweep.draw_configs(3) == sweep.draw_configs(3)
 
 
-def test_big_vocabularies_are_joined_by_shuffle(spark):
+def test_rare_terms_of_big_vocabularies_are_joined_by_shuffle(spark, monkeypatch):
     model = bayes.fit(docs(spark))
     want = rows(model.predict(docs(spark, UNSEEN)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(bayes, "HEAD_TERMS", 2)
     try:
         predicted = bayes.fit(docs(spark)).predict(docs(spark, UNSEEN))
-        assert "BroadcastHashJoin" not in predicted._jdf.queryExecution().executedPlan().toString()
+        plan = predicted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 3  # of the two frequent terms only
+        assert "SortMergeJoin" in plan
         assert rows(predicted) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -166,3 +166,23 @@ def test_new_tasks_keep_null_ids_and_match_missing_as_empty(spark):
     assert rows(tasks.new_tasks(new, project)) == [("b",), ("b",), (None,), (None,)]
     no_missing = spark.createDataFrame([("a",)], "story_id string")
     assert ("",) in rows(tasks.new_tasks(new, no_missing))
+
+
+def test_a_limit_asks_the_index_once_and_keeps_rows_without_a_story(spark):
+    found = candidates(spark).union(spark.createDataFrame([(8, None, "u/h", "no story"), (None, "i", "u/i", "no place")], CANDIDATE))
+    plain = ingest.ingest(found, index(spark), stored(spark))
+    limited = ingest.ingest(found, index(spark), stored(spark), limit=100)
+    assert rows(limited, "seq", "story_id", "origin") == rows(plain.where("seq IS NOT NULL"), "seq", "story_id", "origin")
+    assert ingest.ingest(found, index(spark), stored(spark), limit=4).columns == plain.columns
+    text = limited._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in text  # the index was asked when the keys were written
+
+
+@pytest.mark.parametrize("kind, data", [("decimal(38,3)", [10**30 + k for k in range(50)]), ("bigint", [2**62 + k for k in range(50)]), ("double", [k / 7 for k in range(50)])])
+def test_ranks_of_values_that_doubles_cannot_tell_apart(spark, kind, data):
+    from decimal import Decimal
+
+    values = [Decimal(v).scaleb(-3) if "decimal" in kind else v for v in data]
+    table = spark.createDataFrame([(v,) for v in reversed(values)], f"x {kind}")
+    got = value_at_ranks(table, "x", [F.lit(1), F.lit(17), F.lit(50), F.lit(51)], buckets=4).orderBy("which").collect()
+    assert [(r["which"], r["x"]) for r in got] == [(0, values[0]), (1, values[16]), (2, values[49])]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslab.operators import features, linediff, search
 from corpuslab.plans.queries import REGISTRY
 from corpuslab.schemas import ARTICLE
+from corpuslab.session import materialise
 from test_registry import SLOW
 
 PYTHON_OK: set[str] = set()  # no query maps pandas frames
@@ -55,10 +56,33 @@ def test_tokens_are_made_once_per_document(spark):
     assert text.count("regexp_extract_all") == 1
 
 
-def test_weights_use_one_exchange_of_whole_documents(spark, out):
+def test_frequent_terms_are_never_moved(spark):
+    """One word in every document, broadcasts by size off: only rare terms are shuffled, and no task has a hot word."""
+    rows = [(k, f"the the w{k % 700} x{k}") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "record_id long, text string")
+    counts = features.count_table(docs)
+    vocab = materialise(features.vocabulary(counts.select(F.inline("counts")), features.document_count(counts)), "vocab")
+    terms = counts.select("record_id", F.inline("counts"))
+    want = sorted(tuple(r) for r in terms.join(vocab, "term").select("record_id", "term", "tf", "df").collect())
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = features.join_terms(terms, vocab, head_rows=5)
+        assert sorted(tuple(r) for r in joined.select("record_id", "term", "tf", "df").collect()) == want
+        text = plan(joined)
+        assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 3
+        rare = terms.join(F.broadcast(vocab.orderBy(F.desc("df"), "term").limit(5)), "term", "left_anti")
+        sizes = [r["n"] for r in rare.repartition(4, "term").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+        weights = plan(features.weights_of(counts, vocab))
+        assert "text:string" not in weights
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_texts_are_not_read_again_after_counting(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (2, "aa")], "record_id long, text string")
-    vocab = features.vocabulary(features.term_frequencies(docs), features.document_count(docs))
-    vocab.write.parquet(out)
-    text = plan(features.tfidf(docs, spark.read.parquet(out)))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "REPARTITION_BY_COL" in text
+    counts = features.count_table(docs)
+    vocab = materialise(features.vocabulary(counts.select(F.inline("counts")), features.document_count(counts)), "vocab")
+    text = plan(features.weights_of(counts, vocab))
+    assert "regexp_extract_all" not in text and "LocalTableScan" not in text
