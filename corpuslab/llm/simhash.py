@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, materialise, narrow
+from .common import as_bytes, materialise
 from .components import components
 
 # Generator polynomial of the [23,12,7] Golay code, x^11+x^9+x^7+x^6+x^5+x+1.
@@ -110,15 +110,15 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 4) -> DataFrame:
-    """Columns ``id_column`` and ``fp`` (the fingerprint as a signed long) of every row; null texts count as empty."""
+    """Columns ``id_column``, ``fp`` (the fingerprint as a signed long) and ``tie`` (a hash of the text) of every row; null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t, shingle) for t in as_bytes(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[id_column, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], names=[id_column, "fp", "tie"])
 
-    kept = narrow(docs, id_column, text_column)
-    return kept.mapInArrow(run, f"{id_column} {kept.schema[id_column].dataType.simpleString()}, fp long")
+    kept = docs.select(id_column, text_column, F.xxhash64(text_column).alias("tie"))
+    return kept.mapInArrow(run, f"{id_column} {kept.schema[id_column].dataType.simpleString()}, fp long, tie long")
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -152,6 +152,12 @@ def near_duplicates(
     component's smallest id; a component of null ids only has a null ``component_id``. Repeated rows stay rows. An empty table
     gives no rows.
     """
+    found = _grouped(docs, id_column, text_column, shingle, max_bits)
+    return found.select(id_column, "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_column: str, text_column: str, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+    """Columns ``id_column``, ``fp``, ``tie``, ``root`` (a fingerprint that names the component) and ``component_id`` for every row."""
     prints = materialise(fingerprints(docs, id_column, text_column, shingle), "prints")
     classes = materialise(prints.groupBy("fp").agg(F.min(id_column).alias("least")), "classes")
     roots = components(links(classes, max_bits), "a", "b")
@@ -160,18 +166,21 @@ def near_duplicates(
     )
     rooted = materialise(rooted, "rooted")
     least = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    named = materialise(rooted.join(least, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp", "left").select(id_column, "fp", "component_id")
+    named = materialise(rooted.join(least, "root").select("fp", "root", "component_id"), "named")
+    return prints.join(named, "fp", "left")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, without near-duplicates: of every component the row with the smallest id stays.
 
-    Rows without an id can't be named and stay. Of rows that repeat an id with the same component one stays.
+    Decided by id and text: of rows that repeat an id, those with unrelated texts belong to components of their own and stay; of those
+    in one component the one with the smallest hash of its text stays, and of rows with the same id and text one. Rows without an id
+    can't be named and stay.
     """
-    found = near_duplicates(docs, id_column, text_column)
-    kept = materialise(found.where(F.col(id_column) == F.col("component_id")).select(id_column), "kept")
-    repeated = kept.groupBy(id_column).count().where("count > 1").limit(1).count() > 0
-    out = docs.join(kept.distinct() if repeated else kept, id_column, "left_semi")
-    out = out.dropDuplicates([id_column]) if repeated else out
+    found = materialise(_grouped(docs, id_column, text_column).where(F.col(id_column).isNotNull()), "grouped")
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col(id_column).alias("kept_id"), F.col("tie").alias("kept_tie"))).alias("k")).select("k.*")
+    kept = materialise(kept, "kept")
+    repeated = found.groupBy(id_column, "tie").count().where("count > 1").limit(1).count() > 0
+    out = docs.join(kept, (docs[id_column] == kept["kept_id"]) & (F.xxhash64(docs[text_column]) == kept["kept_tie"]), "left_semi")
+    out = out.dropDuplicates([id_column, text_column]) if repeated else out
     return out.select(docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
