@@ -159,20 +159,20 @@ def fit(
     """Fit on at most ``max_rows`` labelled documents, whole texts each.
 
     Labels other than 0 and 1 and labels without a document are left out; of several labels of an id the largest counts. The
-    labelled ids are chosen by hash and, being bounded by ``max_rows``, broadcast to the scan of the documents; the features of the chosen
-    rows meet in one task, which ``max_rows`` bounds as well. Without any labelled document every score is 0.5.
+    labelled ids are chosen by hash and, being bounded by ``max_rows``, broadcast to the scan of the documents; of rows that repeat a chosen id the one with
+    the smallest hash of its text counts. The features of the chosen rows meet in one task, which ``max_rows`` bounds as well. Without any labelled document every score is 0.5.
     """
     asked = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
     asked = asked.groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("double").alias("_label"))
     asked = asked.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     plain = docs.select(F.col(id_column).alias("_id"), *_columns(docs, text_column, chars_column))
-    rows = plain.join(F.broadcast(asked), "_id").select("_text", "_chars", F.col("_id").cast("string"), "_label")
+    rows = plain.join(F.broadcast(asked), "_id").select("_text", "_chars", F.col("_id").cast("string"), "_label", F.xxhash64("_text", "_chars").alias("_tie"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in _feature_batches(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(3), pa.array([i.tobytes() for i, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
-                names=["id", "label", "ids", "x"],
+                [batch.column(2), batch.column(3), batch.column(4), pa.array([i.tobytes() for i, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
+                names=["id", "label", "tie", "ids", "x"],
             )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,8 @@ def fit(
         model = train(rows, np.array([r[1] for r in got]), k, epochs) if got else Machine(0.0, np.zeros(N_FEATURES), np.zeros((N_FEATURES, k)))
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.pack()], pa.binary())})
 
-    found = rows.mapInArrow(extract, "id string, label double, ids binary, x binary")
+    found = rows.mapInArrow(extract, "id string, label double, tie long, ids binary, x binary")
+    found = found.groupBy("id").agg(F.min_by(F.struct("label", "ids", "x"), F.struct("tie", "ids")).alias("r")).select("id", "r.label", "r.ids", "r.x")
     model = found.repartition(1).mapInArrow(learn, "model binary").first()
     return Machine.unpack(bytes(model["model"]))
 
