@@ -55,8 +55,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id."""
-    return simhash.one_of_each(docs)
+    """Of every group of documents that share 0.8 of their five-word shingles, directly or in steps, the one with the smallest id."""
+    return simhash.one_of_similar(docs)
 
 
 @_stage
