@@ -180,7 +180,7 @@ def write_archives(
             nonlocal held, size, count
             name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{count:04d}.warc.zst"
             written = 0
-            with files.open_output_stream(f"{root}/{name}") as out:
+            with files.open_output_stream(f"{root}/{name}", compression=None) as out:
                 for frame in archive(held):
                     out.write(frame)
                     written += len(frame)
@@ -223,7 +223,7 @@ def read_archives(archives: DataFrame, payload: bool = True, id_type: str = "lon
             for path in batch.column(0).to_pylist():
                 files, root = file_system(path)
                 rows, size = [], 0
-                with files.open_input_stream(root) as stream:
+                with files.open_input_stream(root, compression=None) as stream:
                     for one in expand(stream):
                         found = parse(one)
                         if found["payload"] is not None:
