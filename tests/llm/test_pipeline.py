@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import itertools
 import os
 import sys
 
@@ -15,7 +14,8 @@ sys.path.insert(0, os.path.dirname(__file__))
 import corpus_pipeline as pipeline  # noqa: E402
 from corpuslab.llm import factorisation as fm, latent  # noqa: E402
 from corpuslab.llm.queries import tokenizer_path  # noqa: E402
-from test_simhash_lines_bpe import plain_components, plain_lines, plain_print  # noqa: E402
+from test_mended_operators import plain_similar  # noqa: E402
+from test_simhash_lines_bpe import plain_components, plain_lines  # noqa: E402
 
 STAGES = dict(pipeline.STAGES)
 NAMES = list(STAGES)
@@ -64,13 +64,13 @@ def test_stages_equal_plain_python(spark, corpus):
     assert all((r.text is None) == (r.n_chars is None) or r.n_chars is not None for r in out.collect())
     assert all(r.n_chars == len(r.text) for r in out.where("doc_id >= 9100").collect())
 
-    # near-duplicates: rows that repeat an id are one document
+    # near-duplicates: of every group of similar texts the smallest id; rows with the same id and text are one document
     out = STAGES[NAMES[2]](spark, docs, corpus)
-    prints = {r.doc_id: plain_print(r.text) for r in now if r.doc_id is not None}
-    close = [p for p in itertools.combinations(prints, 2) if (prints[p[0]] ^ prints[p[1]]).bit_count() <= 4]
-    roots = plain_components(prints, close)
+    own = sorted({(r.doc_id, r.text) for r in now if r.doc_id is not None}, key=lambda r: (r[0], r[1] or ""))
+    close = [(a, b) for a, b, _ in plain_similar([t for _, t in own])]
+    roots = plain_components(range(len(own)), close)
     kept = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
-    assert out.columns == columns and kept == sorted(i for i, r in roots.items() if i == r)
+    assert out.columns == columns and kept == sorted(own[k][0] for k, r in roots.items() if k == r) and len(kept) < len(own)
     assert out.where("doc_id is null").count() == 2
 
     # benchmark: no item's words in any row that stays, and rows without an item stay
