@@ -44,8 +44,12 @@ def decode_entities(text: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    """Array of the ``href`` values of anchors, in page order: quoted either way or not at all, entities decoded."""
-    raw = F.regexp_extract_all(html, F.lit(LINK_REGEX), F.lit(1))
+    """Array of the ``href`` values of anchors, in page order: quoted either way or not at all, entities decoded.
+
+    Scripts, styles and comments are dropped first; what looks like an anchor there is none.
+    """
+    visible = F.regexp_replace(html, HIDDEN_REGEX, "")
+    raw = F.regexp_extract_all(visible, F.lit(LINK_REGEX), F.lit(1))
     return F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, "^[\"']|[\"']$", "")))
 
 

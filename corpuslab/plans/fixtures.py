@@ -56,10 +56,10 @@ SELECT doc_id AS record_id, CASE WHEN source = 'src5' THEN NULL ELSE concat(sour
 FROM {documents}
 """
 
-# Every third page in double quotes, single quotes and without quotes; one link without scheme and one with an entity each.
+# Every third page in double quotes, single quotes and without quotes; one link without scheme and one with an entity each; links in a comment and in a script, which are none.
 LINK_FORMS = """
 SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN h WHEN 1 THEN replace(h, '"', chr(39)) ELSE replace(h, '"', '') END AS html
-FROM (SELECT page_id, url, concat(html, '<a href="//cdn.example.net/p', CAST(page_id AS STRING), '">x</a><A class="n" HREF = "/q?a=1&amp;b=2">y</A>') AS h
+FROM (SELECT page_id, url, concat(html, '<a href="//cdn.example.net/p', CAST(page_id AS STRING), '">x</a><A class="n" HREF = "/q?a=1&amp;b=2">y</A><!-- <a href="/hidden/', CAST(page_id AS STRING), '">z</a> --><script>w("<a href=/s>s</a>")</script>') AS h
       FROM {pages}) p
 """
 

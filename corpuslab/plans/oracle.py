@@ -248,7 +248,7 @@ def _hrefs(pages: str = "pages") -> str:
     return rf"""
 SELECT DISTINCT page_id, CASE WHEN h LIKE '//%' THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)//', 1), h)
        WHEN h LIKE '/%' THEN concat(regexp_extract(url, '{_ORIGIN}', 1), h) ELSE h END AS link, h
-FROM (SELECT page_id, url, {value} AS h FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS h FROM {pages}))
+FROM (SELECT page_id, url, {value} AS h FROM (SELECT page_id, url, unnest(regexp_extract_all({_VISIBLE}, '{_HREF}', 1)) AS h FROM {pages}))
 """
 
 

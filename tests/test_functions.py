@@ -114,3 +114,9 @@ def test_evaluated_once_keeps_the_row(spark):
         columns.evaluated_once(u=F.upper("t"), n=F.length("t"))
     )
     assert tuple(one(df)) == ("A", 1)
+
+
+def test_links_in_comments_and_scripts_are_none(spark):
+    page = '<a href="/a">a</a><!-- <a href="/b">b</a> --><script>w("<a href=/c>c</a>")</script><STYLE><a href=/d></STYLE><a href=/e>e</a>'
+    table = spark.createDataFrame([(page,)], "html string")
+    assert table.select(html.links(F.col("html")).alias("l")).first()["l"] == ["/a", "/e"]
