@@ -203,6 +203,8 @@ def keep_one(docs: DataFrame, grouped: DataFrame, id_column: str = "doc_id", tex
 FUZZY_WORDS, FUZZY_NEAR = 5, 4
 #: Differing bits of 64 that a pair may have; at similarity 0.8 the mean is 9.7 and the deviation 2.9.
 SKETCH_BITS = 20
+#: Parts that the rows of a class are dealt to when they get their component.
+PARTS_OF_A_CLASS = 8
 _PAIRS = list(combinations(range(FUZZY_WORDS), 2))
 
 
@@ -253,7 +255,10 @@ def near_codewords(surplus: np.ndarray) -> np.ndarray:
 
 
 def _fuzzy_prints(docs: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """``id_column``, ``tie``, ``cls`` (digest of the shingle set), ``sketch`` (64 fingerprint bits), ``near`` (codeword numbers) of every row."""
+    """``id_column``, ``tie``, ``cls`` (digest of the shingle set), ``sketch`` (64 fingerprint bits), ``near`` (codeword numbers) and ``shingles`` of every row.
+
+    The shingles are kept as sorted 32-bit digests, which decide about a pair: of two texts of n shingles n^2 / 2^32 meet by chance, 0.00006 for 500.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -264,13 +269,17 @@ def _fuzzy_prints(docs: DataFrame, id_column: str, text_column: str, shingle: in
                 classes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64)
                 sketch = np.packbits(surplus[:, :64] > 0, axis=1, bitorder="little").view("<u8")[:, 0]
                 near = near_codewords(surplus).astype("<u2")
+                short = [np.unique((x >> np.uint64(32)).astype("<u4")).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(classes.view(np.int64)), pa.array(sketch.view(np.int64)), pa.array([x.tobytes() for x in near], pa.binary())],
-                    names=[id_column, "tie", "cls", "sketch", "near"],
-                )
+                    [
+                        batch.column(0), batch.column(2), pa.array(classes.view(np.int64)), pa.array(sketch.view(np.int64)),
+                        pa.array([x.tobytes() for x in near], pa.binary()), pa.array(short, pa.binary()),
+                    ],
+                    names=[id_column, "tie", "cls", "sketch", "near", "shingles"],
+                )
 
     kept = docs.select(id_column, text_column, F.xxhash64(text_column).alias("tie"))
-    return kept.mapInArrow(run, f"`{id_column}` {kept.schema[id_column].dataType.simpleString()}, tie long, cls long, sketch long, near binary")
+    return kept.mapInArrow(run, f"`{id_column}` {kept.schema[id_column].dataType.simpleString()}, tie long, cls long, sketch long, near binary, shingles binary")
 
 
 def _fuzzy_keys(classes: DataFrame, side: int) -> DataFrame:
@@ -292,27 +301,19 @@ def _fuzzy_keys(classes: DataFrame, side: int) -> DataFrame:
     return classes.select("cls", "sketch", "comp", "near").mapInArrow(run, "key int, cls long, sketch long, comp long")
 
 
-def _verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, id_column: str, text_column: str, shingle: int, similarity: float) -> DataFrame:
+def _verified(prints: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs of classes (``a``, ``b``) whose shingle sets have a Jaccard similarity of at least ``similarity``; a written table."""
     pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "wanted")
     # one row of every class that is asked for, whatever the number of its copies
-    one = prints.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct(F.col(id_column).alias("i"), "tie")).alias("k"))
-    one = materialise(one.select("cls", "k.i", F.col("k.tie").alias("t")), "asked")
-    texts = docs.select(F.col(id_column).alias("i"), F.xxhash64(text_column).alias("t"), F.col(text_column).alias("text"))
-    held = texts.join(one, texts["i"].eqNullSafe(one["i"]) & (texts["t"] == one["t"])).groupBy("cls").agg(F.any_value("text").alias("text"))
-
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in as_bytes(batch.column(1))], pa.binary())], names=["cls", "shingles"])
-
-    sets = materialise(held.mapInArrow(to_sets, "cls long, shingles binary"), "sets")
+    sets = prints.select("cls", "shingles").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.any_value("shingles").alias("shingles"))
+    sets = materialise(sets, "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                p, q = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
                 if min(len(p), len(q)) < similarity * max(len(p), len(q)):
                     good.append(False)
                     continue
@@ -342,20 +343,26 @@ def similar_groups(
     both = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
     hubs = _fuzzy_keys(classes, 0).groupBy("key").agg(F.min("cls").alias("hub"), F.min_by("sketch", "cls").alias("hub_sketch"))
-    hubs = materialise(hubs, "hubs")
     met = _fuzzy_keys(classes, 1).join(hubs, "key").where((F.col("cls") != F.col("hub")) & alike(F.col("sketch"), F.col("hub_sketch")))
-    first = _verified(docs, prints, met.select(*both(F.col("cls"), F.col("hub"))).distinct(), id_column, text_column, shingle, similarity)
+    first = _verified(prints, met.select(*both(F.col("cls"), F.col("hub"))).distinct(), similarity)
 
     roots = materialise(components(first, "a", "b"), "roots")
     joined = classes.drop("comp").join(roots, classes["cls"] == roots["node"], "left").select("cls", "sketch", "near", F.coalesce("root", "cls").alias("comp"))
     joined = materialise(joined, "classes")
-    index, probe = (materialise(_fuzzy_keys(joined, k), "keys") for k in (0, 1))
+    index, probe = _fuzzy_keys(joined, 0), _fuzzy_keys(joined, 1)
     probe = probe.select("key", *[F.col(c).alias(f"{c}_") for c in ("cls", "sketch", "comp")])
     rest = index.join(probe, "key").where((F.col("comp") != F.col("comp_")) & alike(F.col("sketch"), F.col("sketch_")))
-    second = _verified(docs, prints, rest.select(*both(F.col("cls"), F.col("cls_"))).distinct(), id_column, text_column, shingle, similarity)
-
-    ends = materialise(components(first.union(second), "a", "b"), "ends")
-    return prints.select(id_column, "tie", "cls").join(ends, F.col("cls") == ends["node"], "left").select(id_column, "tie", F.coalesce("root", "cls").alias("root"))
+    second = _verified(prints, rest.select(*both(F.col("cls"), F.col("cls_"))).distinct(), similarity)
+
+    # only links between components are left; components are contracted to their roots
+    at = joined.select(F.col("cls").alias("at"), "comp")
+    ends = second.join(at, second["a"] == at["at"]).select(F.col("comp").alias("u"), "b").join(at, F.col("b") == at["at"]).select("u", F.col("comp").alias("v"))
+    merged = components(ends, "u", "v")
+    named = joined.select("cls", "comp").join(merged, F.col("comp") == merged["node"], "left").select("cls", F.coalesce("root", "comp").alias("root"))
+    # the rows of one class, exact copies, are dealt to parts, and the class's row is repeated as often
+    named = materialise(named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PARTS_OF_A_CLASS - 1)))), "named")
+    rows = prints.select(id_column, "tie", "cls").withColumn("salt", F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(PARTS_OF_A_CLASS)).cast("int"))
+    return rows.join(named, ["cls", "salt"]).select(id_column, "tie", "root")
 
 
 def one_of_similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
