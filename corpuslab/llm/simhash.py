@@ -198,7 +198,8 @@ def keep_one(docs: DataFrame, grouped: DataFrame, id_column: str = "doc_id", tex
 # whole Golay words, and a word is decoded softly: by the surplus of set over unset bits at each place, so that a bit
 # that was nearly even counts little. A word's near codewords are the four that its surpluses fit best. Two documents meet where
 # the best codeword of one is near the other's in one segment, and the other way round in a second segment; over the ten pairs of
-# segments 0.95 of the pairs at similarity 0.8 do, and more above. Sketches thin the chance meetings, and shingles decide.
+# segments 0.95 of the pairs at similarity 0.8 do, and more above. Sketches thin the chance meetings: 64 places that no word uses, or
+# else the texts that met by chance in two words would have most of their sketches in common as well. Shingles decide.
 
 FUZZY_WORDS, FUZZY_NEAR = 5, 4
 #: Differing bits of 64 that a pair may have; at similarity 0.8 the mean is 9.7 and the deviation 2.9.
@@ -206,6 +207,8 @@ SKETCH_BITS = 20
 #: Parts that the rows of a class are dealt to when they get their component.
 PARTS_OF_A_CLASS = 8
 _PAIRS = list(combinations(range(FUZZY_WORDS), 2))
+#: Seeds of the second and the third 64 places.
+_PLACES = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
 
 def _codewords() -> np.ndarray:
@@ -233,12 +236,12 @@ def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
 
 
 def surpluses(hashes: np.ndarray) -> np.ndarray:
-    """Set minus unset bits at each of 128 places over some hashes."""
-    counts = np.zeros(128, np.int64)
+    """Set minus unset bits at each of 192 places over some hashes."""
+    counts = np.zeros(192, np.int64)
     for at in range(0, len(hashes), 1 << 15):  # bounded memory for very long texts
         part = hashes[at : at + (1 << 15)]
-        both = np.stack([part, mix(part ^ np.uint64(0xA0761D6478BD642F))], axis=1).astype("<u8")
-        counts += np.unpackbits(both.view(np.uint8).reshape(len(part), 16), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        places = np.stack([part, *(mix(part ^ seed) for seed in _PLACES)], axis=1).astype("<u8")
+        counts += np.unpackbits(places.view(np.uint8).reshape(len(part), 24), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return 2 * counts - len(hashes)
 
 
@@ -248,9 +251,9 @@ def near_codewords(surplus: np.ndarray) -> np.ndarray:
     out = np.empty((len(words), FUZZY_NEAR), np.int64)
     for at in range(0, len(words), 512):
         fit = words[at : at + 512] @ _CODE.T  # a set bit is a minus one, so the least fits best
-        few = np.argpartition(fit, FUZZY_NEAR, axis=1)[:, :FUZZY_NEAR]
-        score = np.take_along_axis(fit, few, axis=1)
-        out[at : at + 512] = np.take_along_axis(few, np.lexsort((few, score), axis=1), axis=1)
+        for k in range(FUZZY_NEAR):  # ties go to the smaller number
+            best = out[at : at + 512, k] = fit.argmin(axis=1)
+            fit[np.arange(len(fit)), best] = np.inf
     return out.reshape(len(surplus), FUZZY_WORDS, FUZZY_NEAR)
 
 
@@ -267,7 +270,7 @@ def _fuzzy_prints(docs: DataFrame, id_column: str, text_column: str, shingle: in
                 sets = [shingle_set(t, shingle) for t in as_bytes(batch.column(1))]
                 surplus = np.stack([surpluses(x) for x in sets])
                 classes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64)
-                sketch = np.packbits(surplus[:, :64] > 0, axis=1, bitorder="little").view("<u8")[:, 0]
+                sketch = np.packbits(surplus[:, 128:] > 0, axis=1, bitorder="little").view("<u8")[:, 0]
                 near = near_codewords(surplus).astype("<u2")
                 short = [np.unique((x >> np.uint64(32)).astype("<u4")).tobytes() for x in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -283,7 +286,7 @@ def _fuzzy_prints(docs: DataFrame, id_column: str, text_column: str, shingle: in
 
 
 def _fuzzy_keys(classes: DataFrame, side: int) -> DataFrame:
-    """``key``, ``cls``, ``sketch``, ``comp`` of one side: near codewords of one segment with the best one of the other."""
+    """``key``, ``cls``, ``sketch``, ``comp`` (null: the class alone) of one side: near codewords of one segment with the best one of the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -337,7 +340,7 @@ def similar_groups(
     with the least class of each of its keys, then only classes that are not connected yet are. Classes are 64-bit digests.
     """
     prints = materialise(_fuzzy_prints(docs, id_column, text_column, shingle), "prints")
-    classes = prints.groupBy("cls").agg(F.any_value("sketch").alias("sketch"), F.any_value("near").alias("near")).withColumn("comp", F.col("cls"))
+    classes = prints.groupBy("cls").agg(F.any_value("sketch").alias("sketch"), F.any_value("near").alias("near")).withColumn("comp", F.lit(None).cast("long"))
     classes = materialise(classes, "classes")
     alike = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= sketch_bits
     both = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -347,18 +350,20 @@ def similar_groups(
     first = _verified(prints, met.select(*both(F.col("cls"), F.col("hub"))).distinct(), similarity)
 
     roots = materialise(components(first, "a", "b"), "roots")
-    joined = classes.drop("comp").join(roots, classes["cls"] == roots["node"], "left").select("cls", "sketch", "near", F.coalesce("root", "cls").alias("comp"))
+    joined = classes.drop("comp").join(roots, classes["cls"] == roots["node"], "left").select("cls", "sketch", "near", F.col("root").alias("comp"))
     joined = materialise(joined, "classes")
+    # most classes have no link yet; their null components cost nothing in the exchange of the keys
+    component = lambda end="": F.coalesce(f"comp{end}", f"cls{end}")
     index, probe = _fuzzy_keys(joined, 0), _fuzzy_keys(joined, 1)
     probe = probe.select("key", *[F.col(c).alias(f"{c}_") for c in ("cls", "sketch", "comp")])
-    rest = index.join(probe, "key").where((F.col("comp") != F.col("comp_")) & alike(F.col("sketch"), F.col("sketch_")))
+    rest = index.join(probe, "key").where((component() != component("_")) & alike(F.col("sketch"), F.col("sketch_")))
     second = _verified(prints, rest.select(*both(F.col("cls"), F.col("cls_"))).distinct(), similarity)
 
     # only links between components are left; components are contracted to their roots
-    at = joined.select(F.col("cls").alias("at"), "comp")
+    at = joined.select(F.col("cls").alias("at"), component().alias("comp"))
     ends = second.join(at, second["a"] == at["at"]).select(F.col("comp").alias("u"), "b").join(at, F.col("b") == at["at"]).select("u", F.col("comp").alias("v"))
     merged = components(ends, "u", "v")
-    named = joined.select("cls", "comp").join(merged, F.col("comp") == merged["node"], "left").select("cls", F.coalesce("root", "comp").alias("root"))
+    named = joined.select("cls", component().alias("comp")).join(merged, F.col("comp") == merged["node"], "left").select("cls", F.coalesce("root", "comp").alias("root"))
     # the rows of one class, exact copies, are dealt to parts, and the class's row is repeated as often
     named = materialise(named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PARTS_OF_A_CLASS - 1)))), "named")
     rows = prints.select(id_column, "tie", "cls").withColumn("salt", F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(PARTS_OF_A_CLASS)).cast("int"))
