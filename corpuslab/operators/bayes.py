@@ -27,7 +27,7 @@ from .features import HEAD_TERMS, TfidfParams, count_table, document_count, join
 # Pseudo class that collects the total weight of a document.
 TOTAL_CLASS = -1
 #: Class and term pairs that are broadcast at most.
-HEAD_PAIRS = 200_000
+HEAD_PAIRS = 1_000_000
 # Scores are compared after rounding, so equal sums in another order stay equal.
 TIE_DIGITS = 9
 

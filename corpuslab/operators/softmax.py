@@ -1,7 +1,8 @@
 """Multinomial logistic regression as DataFrame algebra: full-batch gradient steps, the best epoch by a held-out metric.
 
-Features are rows ``(record_id, feature, x)``, so texts (tf-idf weights) and vectors (dimensions) are fitted alike. An epoch
-sums the scores of a record over its features, gets the residuals, probability minus label, in the record's row, and sums them again by
+Features are rows ``(record_id, feature, x)``, so texts (tf-idf weights) and vectors (dimensions) are fitted alike. They are packed once, one
+row a record in a table bucketed by record, and not moved again. An epoch sums the scores of a record over its features, writes the residuals,
+probability minus label, one narrow row a record, joins them with the packed records by bucket, and sums them again by
 feature; both sums fold on the map side. Weights are one row a feature with an array over the classes, written after every
 epoch, so that a lost executor costs one epoch and Spark knows their size.
 """
@@ -13,8 +14,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise, new_run_dir
-from .bayes import TIE_DIGITS
+from ..session import materialise, materialise_buckets, new_run_dir
+from .bayes import HEAD_PAIRS, TIE_DIGITS
+from .features import HEAD_TERMS, join_terms
 from .metrics import METRICS, weighted_metrics
 
 
@@ -38,18 +40,20 @@ def _array(classes: list[str], value: Callable[[int], Column]) -> Column:
     return F.array(*[value(c) for c in range(len(classes))])
 
 
-def _scores(packed: DataFrame, weights: DataFrame | None, bias: list[float], keep: list[str]) -> DataFrame:
-    """``(*keep, record_id, features, scores)`` of packed records; a record without features scores the bias."""
+def _scores(packed: DataFrame, weights: DataFrame, bias: list[float], keep: list[str]) -> DataFrame:
+    """``(record_id, *keep, scores)`` of packed records; a record without features scores the bias.
+
+    Only the sums of a record are moved, and the features that ``weights`` count least.
+    """
     k = len(bias)
-    start = F.array(*[F.lit(b) for b in bias])
-    if weights is None:
-        return packed.select("record_id", *keep, "features", start.alias("scores"))
-    rows = packed.select("record_id", *keep, F.inline_outer("features")).join(weights, "feature", "left")
-    sums = [F.coalesce(F.sum(F.col("x") * F.get("w", F.lit(c))), F.lit(0.0)).alias(f"s{c}") for c in range(k)]
+    rows = packed.select("record_id", *keep, F.inline("features"))
+    met = join_terms(rows, weights, "n", max(1, min(HEAD_TERMS, HEAD_PAIRS // k)), "feature")
+    hits = met.select("record_id", *keep, *[(F.col("x") * F.get("w", F.lit(c))).alias(f"s{c}") for c in range(k)])
+    # Every record once more with nothing, so that one without known features stays.
+    every = packed.select("record_id", *keep, *[F.lit(0.0).alias(f"s{c}") for c in range(k)])
     kept = [F.first(c).alias(c) for c in keep]
-    listed = F.collect_list(F.when(F.col("x").isNotNull(), F.struct("feature", "x"))).alias("features")
-    found = rows.groupBy("record_id").agg(*kept, listed, *sums)
-    return found.select("record_id", *keep, "features", F.array(*[F.col(f"s{c}") + bias[c] for c in range(k)]).alias("scores"))
+    found = hits.unionByName(every).groupBy("record_id").agg(*kept, *[F.sum(f"s{c}").alias(f"s{c}") for c in range(k)])
+    return found.select("record_id", *keep, F.array(*[F.col(f"s{c}") + bias[c] for c in range(k)]).alias("scores"))
 
 
 def _best_class(classes: list[str]) -> Column:
@@ -59,12 +63,21 @@ def _best_class(classes: list[str]) -> Column:
     return F.get(names, -F.array_max(ranked)["i"])
 
 
-def pack(features: DataFrame, records: DataFrame, keep: tuple[str, ...] = ("label",)) -> DataFrame:
-    """Written ``(record_id, *keep, features)``: every record with all its features in one row."""
-    listed = features.groupBy("record_id").agg(F.collect_list(F.struct("feature", "x")).alias("features"))
+def pack(features: DataFrame, records: DataFrame, keep: tuple[str, ...] = ("label",), norm: str | None = None) -> DataFrame:
+    """Written ``(record_id, *keep, features)``: every record with all its features in one row, bucketed by record.
+
+    ``norm`` (l1 or l2) divides the features of a record by their norm, which costs no further move here.
+    """
+    x = F.col("x")
+    size = {"l2": F.sqrt(F.sum(x * x)), "l1": F.sum(F.abs(x)), None: F.lit(1.0)}[norm]
+    listed = features.groupBy("record_id").agg(F.collect_list(F.struct("feature", "x")).alias("features"), size.alias("_size"))
+    if norm is not None:
+        scaled = F.transform("features", lambda f: F.struct(f["feature"].alias("feature"), (f["x"] / F.col("_size")).alias("x")))
+        listed = listed.withColumn("features", scaled)
+    listed = listed.drop("_size")
     empty = F.array().cast(listed.schema["features"].dataType)
     rows = records.select("record_id", *keep).join(listed, "record_id", "left").withColumn("features", F.coalesce("features", empty))
-    return materialise(rows, "packed")
+    return materialise_buckets(rows, "packed", "record_id")
 
 
 @dataclass(frozen=True)
@@ -95,21 +108,29 @@ def fit(train: DataFrame, held: DataFrame, params: SoftmaxParams = SoftmaxParams
         raise ValueError("no labelled records to fit")
     k = len(classes)
     names = F.array(*[F.lit(c) for c in classes])
+    own = F.array_position(names, F.col("label")) - 1
+    top = F.array_max("scores")
+    powers = F.transform("scores", lambda s: F.exp(s - top))
+    residual = F.transform("e", lambda e, i: e / F.col("all") - F.when(i == own, 1.0).otherwise(0.0)).alias("r")
+
+    def missed(scored: DataFrame, *columns: str) -> DataFrame:
+        """Probability minus label, an array ``r`` over the classes."""
+        return scored.withColumn("e", powers).withColumn("all", F.aggregate("e", F.lit(0.0), lambda a, x: a + x)).select(*columns, residual)
+
     weights, bias = None, [0.0] * k
     all_weights, biases, rows = [], [], []
     for epoch in range(params.epochs):
-        top = F.array_max("scores")
-        powers = F.transform("scores", lambda s: F.exp(s - top))
-        shares = _scores(train, weights, bias, ["label"]).withColumn("e", powers).withColumn("all", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
-        own = F.array_position(names, F.col("label")) - 1
-        residual = F.transform("e", lambda e, i: e / F.col("all") - F.when(i == own, 1.0).otherwise(0.0))
-        residuals = materialise(shares.select("record_id", "features", residual.alias("r")), "residuals")
+        if weights is None:  # all records score the same, so that a residual stands in the record's row
+            residuals = with_features = missed(train.withColumn("scores", F.array(*[F.lit(b) for b in bias])), "features")
+        else:
+            residuals = materialise(missed(_scores(train, weights, bias, ["label"]), "record_id"), "residuals")
+            with_features = train.select("record_id", "features").join(residuals.hint("shuffle_hash"), "record_id")
         total = residuals.agg(*[F.sum(F.get("r", F.lit(c))).alias(f"r{c}") for c in range(k)]).first()
-        step = residuals.select("r", F.inline("features")).groupBy("feature")
-        step = step.agg(_array(classes, lambda c: F.sum(F.col("x") * F.get("r", F.lit(c)))).alias("g"))
-        joined = step.withColumn("w", _array(classes, lambda c: F.lit(0.0))) if weights is None else step.join(weights, "feature")
+        step = with_features.select("r", F.inline("features")).groupBy("feature")
+        step = step.agg(_array(classes, lambda c: F.sum(F.col("x") * F.get("r", F.lit(c)))).alias("g"), F.count("*").alias("n"))
+        joined = step.withColumn("w", _array(classes, lambda c: F.lit(0.0))) if weights is None else step.drop("n").join(weights, "feature")
         moved = F.zip_with("w", "g", lambda w, g: w - params.rate * (g / n + params.decay * w))
-        weights = materialise(joined.select("feature", moved.alias("w")), "weights", f"{path}/epoch={epoch}")
+        weights = materialise(joined.select("feature", moved.alias("w"), "n"), "weights", f"{path}/epoch={epoch}")
         bias = [b - params.rate * total[f"r{c}"] / n for c, b in enumerate(bias)]
         scored = _scores(held.where("label is not null"), weights, bias, ["label"])
         told = scored.select(F.lit(epoch).alias("epoch"), F.col("label").alias("y_true"), _best_class(classes).alias("y_pred"))
@@ -126,10 +147,15 @@ def fit(train: DataFrame, held: DataFrame, params: SoftmaxParams = SoftmaxParams
 
 
 def text_features(documents: DataFrame, vocab: DataFrame, **params) -> DataFrame:
-    """tf-idf weights of documents as ``(record_id, feature, x)``."""
-    from .features import TfidfParams, tfidf
+    """tf-idf weights of documents as ``(record_id, feature, x)``.
+
+    The feature is the term, or the number that the vocabulary gives it in a column ``number``.
+    """
+    from .features import TfidfParams, count_table, weights_of
 
-    return tfidf(documents, vocab, TfidfParams(**params)).select("record_id", F.col("term").alias("feature"), F.col("weight").alias("x"))
+    chosen = TfidfParams(**params)
+    found = weights_of(count_table(documents, chosen), vocab, chosen, name="number" if "number" in vocab.columns else "term")
+    return found.select("record_id", F.col(found.columns[1]).alias("feature"), F.col("weight").alias("x"))
 
 
 def vector_features(rows: DataFrame, column: str = "embedding") -> DataFrame:

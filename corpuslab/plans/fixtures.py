@@ -144,15 +144,16 @@ def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = True) -> DataFrame:
-    """Driver table. The text-heavy ones hold all rows in one row group of one file, so they are dealt to all cores first.
+    """Driver table. The text-heavy ones may hold all rows in one row group of one file and are dealt to all cores first.
 
-    A table of many files needs no ``rebalance``.
+    A table whose files give work to half of the cores is read as it lies, so that its texts are not moved; ``rebalance=False`` asks for that anyway.
     """
     rows = read_table(spark, sf_dir, name)
     key = {"documents": "doc_id", "pages": "page_id"}.get(name)
-    if not rebalance or key is None:
+    cores = spark.sparkContext.defaultParallelism
+    if not rebalance or key is None or 2 * len(rows.inputFiles()) >= max(cores, 3):
         return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, key)
+    return rows.repartition(cores, key)
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
