@@ -9,11 +9,11 @@ from dataclasses import dataclass, replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..functions.columns import let, same_keys
+from ..functions.columns import let
 from ..functions.text import ngrams, term_counts
 from ..session import materialise
 from .bayes import HEAD_PAIRS, TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
-from .features import HEAD_TERMS, TfidfParams, document_tokens, idf_value, join_terms, tf_value
+from .features import HEAD_TERMS, TfidfParams, document_tokens, idf_value, join_sizes, join_terms, tf_value
 from .metrics import METRICS, weighted_metrics
 
 
@@ -38,8 +38,7 @@ class NaiveBayesConfig:
 
     def token_rule(self) -> tuple:
         """What decides the tokens of a text."""
-        stops = self.features.stop_words
-        return self.features.lowercase, self.features.token_pattern, tuple(stops) if isinstance(stops, list) else stops
+        return self.features.token_rule()
 
     def whole(self) -> tuple[TfidfParams, NaiveBayesParams]:
         """The parameters of a single fit."""
@@ -190,7 +189,7 @@ def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBay
         size = F.sum(F.abs(weight)) if params.norm == "l1" else F.sqrt(F.sum(weight * weight))
         each = weighted(train, "record_id").groupBy("record_id", "config_id").agg(size.alias("norm"))
         sizes = each.groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("config_id", "norm"))).alias("norms"))
-        sized = train.join(sizes, same_keys(train, sizes, ["record_id"])).drop(sizes["record_id"])
+        sized = join_sizes(train, sizes)
         raw = weighted(sized, "record_id", "label", "norms").withColumn("weight", weight / F.try_element_at("norms", F.col("config_id")))
     sums = materialise(
         raw.groupBy("config_id", "alpha", "label", "term").agg(F.sum("weight").alias("n_ct"), F.max("idf").alias("idf"), F.max("df").alias("df")),
