@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, types as T
 from .common import as_bytes, narrow
 
 #: Words whose encodings a task remembers; beyond, it starts anew. Results don't depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
+#: Texts that are coded at once.
+TEXTS = 256
 
 
 def byte_symbols() -> list[str]:
@@ -246,8 +248,8 @@ def _coded(docs: DataFrame, path: str, text_column: str, added: T.StructType, ou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(definition.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
+            for start in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(start, TEXTS)
                 found = [out(*x) for x in bpe.encode([t.decode() for t in as_bytes(batch.column(at))])]
                 made = [pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=names)
