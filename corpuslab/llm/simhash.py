@@ -123,7 +123,10 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Distinct fingerprint pairs ``a`` < ``b`` at most ``max_bits`` (4 or fewer) apart, of a table with distinct ``fp``."""
+    """Distinct fingerprint pairs ``a`` < ``b`` at most ``max_bits`` (4 or fewer) apart, of a table with distinct ``fp``.
+
+    Spark takes the keys for as small as the table they are made of, though a fingerprint has up to 36 on each side, so it is told not to broadcast them.
+    """
     if max_bits > MAX_BITS:
         raise ValueError("the keys guarantee pairs up to four bits apart")
 
@@ -138,7 +141,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
         return prints.select("fp").mapInArrow(run, "key long, fp long")
 
-    index, probe = keyed(0).withColumnRenamed("fp", "a"), keyed(1).withColumnRenamed("fp", "b")
+    index, probe = keyed(0).withColumnRenamed("fp", "a").hint("merge"), keyed(1).withColumnRenamed("fp", "b").hint("merge")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     return index.join(probe, (index["key"] == probe["key"]) & (F.col("a") < F.col("b")) & apart).select("a", "b").distinct()
 

@@ -102,6 +102,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {i: r.component_id for i, r in got.items()} == want
 
 
+def test_keys_are_not_broadcast(spark):
+    """Spark knows the table of fingerprints, not how many keys they have."""
+    ship(spark)
+    prints = simhash.materialise(spark.createDataFrame([(5,), (7,), (-1,)], "fp long"), "prints")
+    found = simhash.links(prints)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [tuple(r) for r in found.collect()] == [(5, 7)]
+
+
 def test_repeated_rows_null_ids_and_empty_tables(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (7, "a b c d e"), (None, "a b c d e"), (None, "other words are here now")]
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(table(spark, rows)).collect()), key=repr)
