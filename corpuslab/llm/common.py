@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialise, new_run_dir  # noqa: F401  (re-used by the operators)
+from ..session import materialise, new_run_dir, ship  # noqa: F401  (re-used by the operators)
 from ..sources.tables import read_table  # noqa: F401
 
 
@@ -27,17 +23,3 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     """Values of a string or binary Arrow column as bytes; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return [x or b"" for x in column.cast(kind).to_pylist()]
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors' Python workers, once a session; installed packages need it not."""
-    context = spark.sparkContext
-    if getattr(context, "_corpuslab_sent", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="corpuslab-")) / f"{top.name}_sources.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
-        for file in sorted(top.rglob("*.py")):
-            out.write(file, file.relative_to(top.parent))
-    context.addPyFile(str(target))
-    context._corpuslab_sent = True

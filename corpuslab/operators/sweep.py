@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from contextvars import ContextVar
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..functions.columns import let
-from ..functions.text import ngrams, term_counts
 from ..session import materialise
-from .bayes import HEAD_PAIRS, TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
-from .features import HEAD_TERMS, TfidfParams, document_tokens, idf_value, join_sizes, join_terms, tf_value
+from .bayes import TIE_DIGITS, TOTAL_CLASS, NaiveBayesModel, NaiveBayesParams, fit, score_sums
+from .features import TfidfParams
 from .metrics import METRICS, weighted_metrics
+from .termblocks import Bounds, Numbered, class_sums, number_terms
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,11 @@ class NaiveBayesConfig:
         """What decides the tokens of a text."""
         return self.features.token_rule()
 
+    def bounds(self, n_docs: int) -> Bounds:
+        """Sizes of the n-grams and numbers of documents of the terms it uses, of so many documents."""
+        share = [x * n_docs if isinstance(x, float) else x for x in (self.min_df, self.max_df)]
+        return self.ngram_lo, self.ngram_hi, *share
+
     def whole(self) -> tuple[TfidfParams, NaiveBayesParams]:
         """The parameters of a single fit."""
         own = {"ngram_range": (self.ngram_lo, self.ngram_hi), "min_df": self.min_df, "max_df": self.max_df}
@@ -66,47 +71,6 @@ def configs_from_mappings(models: Sequence[Mapping]) -> list[NaiveBayesConfig]:
     return out
 
 
-def _config_array(configs: Sequence[NaiveBayesConfig]) -> Column:
-    """The configurations as one literal array of structs."""
-
-    def bound(value: int | float) -> list[Column]:
-        is_share = isinstance(value, float)
-        return [F.lit(is_share), F.lit(float(value))]
-
-    rows = []
-    for c in configs:
-        min_share, min_value = bound(c.min_df)
-        max_share, max_value = bound(c.max_df)
-        rows.append(
-            F.struct(
-                F.lit(c.config_id).alias("config_id"),
-                F.lit(float(c.alpha)).alias("alpha"),
-                F.lit(c.ngram_lo).alias("lo"),
-                F.lit(c.ngram_hi).alias("hi"),
-                min_share.alias("min_share"),
-                min_value.alias("min_value"),
-                max_share.alias("max_share"),
-                max_value.alias("max_value"),
-            )
-        )
-    return F.array(*rows)
-
-
-def _sized_terms(text: Column, low: int, high: int, params: TfidfParams) -> Column:
-    """Array of ``(n, term, tf)`` for every n-gram size, tokens made once."""
-
-    def one_size(words: Column, n: int) -> Column:
-        return F.transform(
-            term_counts(ngrams(words, n, n)),
-            lambda e: F.struct(F.lit(n).alias("n"), e["term"].alias("term"), e["tf"].alias("tf")),
-        )
-
-    def all_sizes(words: Column) -> Column:
-        return F.concat(*[one_size(words, n) for n in range(low, high + 1)])
-
-    return let(document_tokens(text, params), all_sizes)
-
-
 def fit_and_predict_many(
     train: DataFrame,
     test: DataFrame,
@@ -114,12 +78,14 @@ def fit_and_predict_many(
 ) -> DataFrame:
     """Predictions ``(config_id, record_id, y_true, y_pred)`` of all configurations.
 
-    Texts are tokenised once for each token rule (case, pattern, stop words) and written as counts, which all configurations of the
-    rule read. Configurations that differ in smoothing, n-grams and document-frequency bounds only share one plan; the
-    others form a plan for each set of further parameters. One that bounds the vocabulary by
+    Texts are tokenised and their terms numbered once for each token rule (case, pattern, stop words); all configurations of the
+    rule read the numbered blocks. Configurations that differ in smoothing, n-grams and document-frequency bounds only share their class sums; the
+    others form sums for each set of further parameters. One that bounds the vocabulary by
     ``max_features`` is fitted by itself. Runs jobs.
     """
-    out, groups, tables = None, {}, {}
+    out, groups = None, {}
+    tables = _TABLES.get()
+    tables = _Tables(configs, {}) if tables is None else tables
     for c in configs:
         if c.alpha <= 0:
             raise ValueError("alpha must be positive in every configuration")
@@ -131,74 +97,48 @@ def fit_and_predict_many(
                 F.lit(group[0].config_id).alias("config_id"), "record_id", F.col("label").alias("y_true"), "y_pred"
             )
         else:
-            rule = group[0].token_rule()
-            if rule not in tables:
-                alike = [c for c in configs if c.token_rule() == rule]
-                low, high = min(c.ngram_lo for c in alike), max(c.ngram_hi for c in alike)
-                counts = _sized_terms(F.col("text"), low, high, group[0].features).alias("counts")
-                labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
-                tables[rule] = [materialise(t.select("record_id", "label", counts), "counts") for t in (labelled, test)]
-            part = _predict_group(*tables[rule], group)
+            part = _predict_group(tables.numbered(train, test, group[0]), group)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBayesConfig]) -> DataFrame:
-    """Predictions of configurations that share all but smoothing, n-grams and document-frequency bounds.
+@dataclass(frozen=True)
+class _Tables:
+    """Numbered terms of two sides for each token rule of some configurations, made when they are asked for."""
 
-    ``train`` and ``test`` are written counts ``(record_id, label, counts)``. Document frequencies are computed once. Pruning decides per term
-    which configurations use it, and ``config_id`` is one more group key from
-    there on. A configuration left without vocabulary yields no rows. The
-    vocabulary and the term sums are written once, which runs jobs. Token rows meet terms as in ``features.join_terms``, and a document's norms are
-    joined while it is one row.
-    """
-    params = configs[0].features
-    n_docs = train.agg(F.count("*")).scalar()
-    counted = (
-        train.select(F.inline("counts"))
-        .groupBy("n", "term")
-        .agg(F.count("*").alias("df"))
-        .withColumn("_n", n_docs)
-    )
-    df = F.col("df")
+    configs: Sequence[NaiveBayesConfig]
+    made: dict
 
-    def uses(c: Column) -> Column:
-        floor = F.when(c["min_share"], c["min_value"] * F.col("_n")).otherwise(c["min_value"])
-        ceiling = F.when(c["max_share"], c["max_value"] * F.col("_n")).otherwise(c["max_value"])
-        return F.col("n").between(c["lo"], c["hi"]) & (df >= floor) & (df <= ceiling)
+    def numbered(self, train: DataFrame, test: DataFrame, config: NaiveBayesConfig) -> Numbered:
+        rule = config.token_rule()
+        if rule not in self.made:
+            alike = [c for c in self.configs if c.token_rule() == rule and not c.features.max_features]
+            low, high = min(c.ngram_lo for c in alike), max(c.ngram_hi for c in alike)
+            labelled = train.where(F.col("label").isNotNull() & F.col("text").isNotNull())
+            self.made[rule] = number_terms(labelled, test, config.features, low, high, lambda n_docs: [c.bounds(n_docs) for c in alike])
+        return self.made[rule]
 
-    users = F.transform(
-        F.filter(_config_array(configs), uses),
-        lambda c: F.struct(c["config_id"].alias("config_id"), c["alpha"].alias("alpha")),
-    )
-    vocab = materialise(
-        counted.select(
-            "term", "df", idf_value(df, F.col("_n"), params).alias("idf"), users.alias("users")
-        ).where(F.size("users") > 0),
-        "sweep-vocab",
-    )
 
-    def weighted(counts: DataFrame, *keep: str) -> DataFrame:
-        rows = join_terms(counts.select(*keep, F.inline("counts")), vocab, head_rows=max(1, min(HEAD_TERMS, HEAD_PAIRS // len(configs))))
-        return rows.select(*keep, "term", "df", "idf", (tf_value(params) * F.col("idf")).alias("weight"), F.inline("users"))
+#: Tables that the trials of a running sweep share.
+_TABLES: ContextVar[_Tables | None] = ContextVar("_TABLES", default=None)
 
-    weight = F.col("weight")
-    if params.norm is None:
-        raw = weighted(train, "record_id", "label")
-    else:
-        size = F.sum(F.abs(weight)) if params.norm == "l1" else F.sqrt(F.sum(weight * weight))
-        each = weighted(train, "record_id").groupBy("record_id", "config_id").agg(size.alias("norm"))
-        sizes = each.groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("config_id", "norm"))).alias("norms"))
-        sized = join_sizes(train, sizes)
-        raw = weighted(sized, "record_id", "label", "norms").withColumn("weight", weight / F.try_element_at("norms", F.col("config_id")))
-    sums = materialise(
-        raw.groupBy("config_id", "alpha", "label", "term").agg(F.sum("weight").alias("n_ct"), F.max("idf").alias("idf"), F.max("df").alias("df")),
-        "sweep-sums",
-    )
-    totals = sums.groupBy("config_id", "alpha", "label").agg(F.sum("n_ct").alias("n_c"))
-    used = vocab.select("term", "df", "idf", F.inline("users"))
-    vocab_sizes = used.groupBy("config_id", "alpha").agg(F.count("*").alias("v"))
-    docs = train.groupBy("label").agg(F.count("*").alias("n_docs"))
+
+def _predict_group(known: Numbered, configs: Sequence[NaiveBayesConfig]) -> DataFrame:
+    """Predictions of configurations that share all but smoothing, n-grams and document-frequency bounds.
+
+    A term's document frequency decides which configurations use it, and the number of the configuration is one more group key from there on.
+    A configuration left without vocabulary yields no rows. Runs the jobs of ``termblocks.class_sums``.
+    """
+    params = configs[0].features
+    spark = known.table.sparkSession
+    found, hits = class_sums(known, params, [c.bounds(known.n_docs) for c in configs], [float(c.alpha) for c in configs])
+    found = materialise(found, "sweep-totals")
+    named = spark.createDataFrame([(i, c.config_id, float(c.alpha)) for i, c in enumerate(configs)], "config int, config_id string, alpha double")
+    kind = known.table.schema["labels"].dataType.elementType.simpleString()
+    ids = spark.createDataFrame(list(enumerate(known.labels)), f"label_id int, label {kind}")
+    vocab_sizes = found.where("label_id is null and v > 0").select("config", "v").join(named, "config")
+    totals = found.where("label_id is not null").select("config", "label_id", "n_c")
+    docs = known.table.where("train").select(F.explode("labels").alias("label")).groupBy("label").agg(F.count("*").alias("n_docs"))
     everything = W.partitionBy(F.lit(1))
     if configs[0].class_prior is not None:
         given = F.array(*[F.lit(float(p)) for p in configs[0].class_prior])
@@ -207,14 +147,16 @@ def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBay
         log_prior = F.log(F.col("n_docs") / F.sum("n_docs").over(everything))
     else:
         log_prior = -F.log(F.count("*").over(everything).cast("double"))
-    priors = docs.select("label", log_prior.alias("log_prior"))
+    priors = docs.select("label", log_prior.alias("log_prior")).join(ids, "label")
     # Every used configuration meets every training class, also one without terms.
-    all_priors = priors.agg(F.collect_list(F.struct("label", "log_prior"))).scalar()
+    all_priors = priors.agg(F.collect_list(F.struct("label_id", "label", "log_prior"))).scalar()
     classes = (
-        vocab_sizes.select("config_id", "alpha", "v", F.inline_outer(all_priors))
-        .join(totals.drop("alpha"), ["config_id", "label"], "left")
+        vocab_sizes.select("config", "config_id", "alpha", "v", F.inline_outer(all_priors))
+        .join(totals, ["config", "label_id"], "left")
         .select(
+            "config",
             "config_id",
+            "label_id",
             "label",
             "log_prior",
             (
@@ -222,51 +164,36 @@ def _predict_group(train: DataFrame, test: DataFrame, configs: Sequence[NaiveBay
                 - F.log(F.coalesce("n_c", F.lit(0.0)) + F.col("alpha") * F.col("v"))
             ).alias("base"),
         )
-        .groupBy("config_id")
-        .agg(F.sort_array(F.collect_list(F.struct("label", "log_prior", "base"))).alias("classes"))
+        .groupBy("config", "config_id")
+        .agg(F.sort_array(F.collect_list(F.struct("label_id", "label", "log_prior", "base"))).alias("classes"))
     )
 
-    delta = F.log(F.col("n_ct") + F.col("alpha")) - F.log("alpha")
-    # Rows without a label carry the total weight of a document.
-    pairs = sums.select("term", "df", "idf", "config_id", "label", delta.alias("delta")).unionByName(
-        used.select("term", "df", "idf", "config_id"), allowMissingColumns=True
-    )
-    listed = F.collect_list(F.struct("config_id", "label", "delta")).alias("_pairs")
-    scorer = materialise(pairs.groupBy("term").agg(F.max("df").alias("df"), F.max("idf").alias("idf"), listed), "scorer")
-    widest = scorer.agg(F.max(F.size("_pairs"))).first()[0] or 1
-    w, is_total = F.col("w"), F.col("label").isNull()
-    terms = test.select("record_id", F.inline("counts"))
+    is_total = F.col("label_id").isNull()
     hits = (
-        join_terms(terms, scorer, head_rows=max(1, min(HEAD_TERMS, HEAD_PAIRS // widest)))
-        .withColumn("w", tf_value(params) * F.col("idf"))
-        .select("record_id", "w", F.inline("_pairs"))
-        .groupBy("record_id", "config_id", "label")
-        .agg(F.sum(w * F.coalesce("delta", F.lit(1.0))).alias("s"), F.sum(w * w).alias("sq"))
-        .groupBy("record_id", "config_id")
+        hits.groupBy("record_id", "config", "label_id")
+        .agg(F.sum("s").alias("s"), F.sum("sq").alias("sq"))
+        .groupBy("record_id", "config")
         .agg(
-            F.map_from_entries(F.collect_list(F.when(~is_total, F.struct("label", "s")))).alias("s"),
+            F.map_from_entries(F.collect_list(F.when(~is_total, F.struct("label_id", "s")))).alias("s"),
             F.max(F.when(is_total, F.col("s"))).alias("w"),
             F.max(F.when(is_total, F.col("sq"))).alias("sq"),
         )
     )
-    wanted = test.select(
-        "record_id", F.col("label").alias("y_true"), F.explode(_config_array(configs)).alias("c")
-    ).select("record_id", "y_true", F.col("c.config_id").alias("config_id"))
+    rows = known.table.where("not train").select(F.inline(F.arrays_zip(F.col("ids").alias("record_id"), F.col("labels").alias("y_true"))))
+    wanted = rows.select("record_id", "y_true", F.explode(F.array(*[F.lit(i) for i in range(len(configs))])).alias("config"))
     # A row for each configuration of the caller's list; written, so that Spark knows its size.
-    found = wanted.join(hits, ["record_id", "config_id"], "left").join(
-        materialise(classes, "sweep-classes"), "config_id"
-    )
+    met = wanted.join(hits, ["record_id", "config"], "left").join(materialise(classes, "sweep-classes"), "config")
     norm = {"l2": F.sqrt("sq"), "l1": F.col("w"), None: F.lit(1.0)}[params.norm]
 
     def scored(c: Column, i: Column) -> Column:
-        seen = F.coalesce(F.try_element_at("s", c["label"]), F.lit(0.0))
+        seen = F.coalesce(F.try_element_at("s", c["label_id"]), F.lit(0.0))
         gain = F.coalesce((c["base"] * F.col("w") + seen) / norm, F.lit(0.0))
         return F.struct(
             F.round(c["log_prior"] + gain, TIE_DIGITS).alias("score"), -i, c["label"].alias("label")
         )
 
     best = F.array_max(F.transform("classes", scored))
-    return found.select("config_id", "record_id", "y_true", best["label"].alias("y_pred"))
+    return met.select("config_id", "record_id", "y_true", best["label"].alias("y_pred"))
 
 
 def evaluate_many(
@@ -419,16 +346,18 @@ def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[NaiveBayesCon
     """Run the trials that ``history`` lacks, each one committed as a folder of its own; all finished trials. Runs jobs.
 
     A sweep that was stopped anywhere goes on where it was: a trial counts once its folder is written whole, and a left-anti join of the plan with the
-    history names the rest. A trial that fails, or finds no vocabulary, scores 0.0 and keeps its message; the sweep goes on.
+    history names the rest. A trial that fails, or finds no vocabulary, scores 0.0 and keeps its message; the sweep goes on. The trials that are left
+    share the numbered terms of their texts, which are made once for each token rule.
     """
     spark = train.sparkSession
     plan = spark.createDataFrame([(int(c.config_id),) for c in trials], "trial int")
     left = {r["trial"] for r in remaining_trials(plan, read_history(spark, history)).collect()}
-    for config in trials:
+    asked = [c for c in trials if int(c.config_id) in left]
+    shared = _Tables([c for c in asked if c.alpha > 0], {})
+    for config in asked:
         number = int(config.config_id)
-        if number not in left:
-            continue
         values, message = dict.fromkeys(METRICS, 0.0), None
+        token = _TABLES.set(shared)
         try:
             found = evaluate_many(train, test, [config]).first()
             if found["f1"] is None:
@@ -437,6 +366,8 @@ def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[NaiveBayesCon
                 values = {m: float(found[m]) for m in METRICS}
         except Exception as error:  # one trial must not end the sweep
             message = str(error)[:500]
+        finally:
+            _TABLES.reset(token)
         row = (number, float(config.alpha), config.ngram_hi, float(config.min_df), float(config.max_df), config.features.norm, *values.values(), message)
         spark.createDataFrame([row], TRIAL).coalesce(1).write.mode("overwrite").parquet(f"{history}/trial={number}")
     return read_history(spark, history)

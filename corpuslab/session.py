@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,17 @@ def materialise_buckets(table: DataFrame, purpose: str, key: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(name)
     return spark.table(name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors' Python workers, once a session; installed packages need it not."""
+    context = spark.sparkContext
+    if getattr(context, "_corpuslab_sent", False):
+        return
+    top = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="corpuslab-")) / f"{top.name}_sources.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    context.addPyFile(str(target))
+    context._corpuslab_sent = True
